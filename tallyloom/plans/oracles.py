@@ -16,7 +16,7 @@ movies AS (SELECT p_partkey AS movie_id, p_name AS title FROM part)
 
 EVENTS = """
 ev AS (
-  SELECT event_id, user_id, event_type, value, ts, props, epoch_ms(ts) AS ms,
+  SELECT event_id, user_id, event_type, value, ts, props, epoch_us(ts) // 1000 AS ms,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
   FROM events)
 """
@@ -398,7 +398,7 @@ WITH {ORDER_DOCS} SELECT last_day, id AS document_id FROM stored
 """
 
 ORACLES["keyed_lookup"] = f"""
-WITH {ORDER_DOCS} SELECT id, n_orders, last_day, origin FROM stored WHERE id = '7#5-LOW'
+WITH {ORDER_DOCS} SELECT id, n_orders, last_day, origin FROM stored WHERE id = '10#1-URGENT'
 """
 
 ORACLES["keyed_append"] = """

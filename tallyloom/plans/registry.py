@@ -506,7 +506,7 @@ def keyed_scan(spark, sf):
 @query
 def keyed_lookup(spark, sf):
     table, _ = _order_table(spark, sf, "lookup")
-    return table.lookup("7#5-LOW")
+    return table.lookup("10#1-URGENT")
 
 
 @query
