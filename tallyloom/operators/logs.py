@@ -16,17 +16,27 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     A line that is no log record is kept whole in the corrupt column: broken JSON, a missing part,
     or a timestamp that is no number. Naming the corrupt column as a parser option also keeps the
     optimizer from narrowing the JSON schema, which would let half-read records pass as good.
+
+    Each line is parsed by a generator of exactly one row: filters on the result stay above it, so
+    no line is parsed a second time to evaluate them.
     """
-    parts = F.split(F.col("value"), ENVELOPE_SEPARATOR, 3)
-    parsed = lines.select(
-        "value",
-        F.get(parts, F.lit(0)).try_cast("long").alias("timestamp"),
-        F.get(parts, F.lit(1)).alias("ip"),
-        F.from_json(
-            F.get(parts, F.lit(2)),
-            LOG_RECORD,
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
-        ).alias("_r"),
+    split = lines.select("value", F.split(F.col("value"), ENVELOPE_SEPARATOR, 3).alias("_p"))
+    record = F.from_json(
+        F.get("_p", F.lit(2)),
+        LOG_RECORD,
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+    )
+    parsed = split.select(
+        F.inline(
+            F.array(
+                F.struct(
+                    F.get("_p", F.lit(0)).try_cast("long").alias("timestamp"),
+                    F.get("_p", F.lit(1)).alias("ip"),
+                    record.alias("_r"),
+                    F.col("value").alias("_line"),
+                )
+            )
+        )
     )
     broken = (
         F.col("timestamp").isNull()
@@ -38,7 +48,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         "ip",
         F.col("_r.us").alias("us"),
         F.col("_r.se").alias("se"),
-        F.when(broken, F.col("value")).alias(CORRUPT),
+        F.when(broken, F.col("_line")).alias(CORRUPT),
     )
 
 

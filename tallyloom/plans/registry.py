@@ -445,18 +445,21 @@ def session_flatten(spark, sf):
     )
 
 
+def _log_table(spark, sf, *columns: str) -> DataFrame:
+    """Columns of the log rows, parsed once and written, for operators that read them twice."""
+    return stage(views.log_rows(spark, sf).select(*columns), "log-rows")
+
+
 @query
 def latest_per_key(spark, sf):
-    return latest.latest_rows(views.log_rows(spark, sf), ["im"], "timestamp").select(
-        "im", "timestamp", "pn", "ch", "ip"
-    )
+    rows = _log_table(spark, sf, "im", "timestamp", "pn", "ch", "ip")
+    return latest.latest_rows(rows, ["im"], "timestamp")
 
 
 @query
 def latest_per_key2(spark, sf):
-    return latest.latest_rows(views.log_rows(spark, sf), ["pn", "ch"], "timestamp").select(
-        "pn", "ch", "timestamp", "im", "ip"
-    )
+    rows = _log_table(spark, sf, "pn", "ch", "timestamp", "im", "ip")
+    return latest.latest_rows(rows, ["pn", "ch"], "timestamp")
 
 
 @query
@@ -546,7 +549,9 @@ def device_resolve(spark, sf):
 
 def _identified_rows(spark, sf) -> DataFrame:
     """Log rows with the device id found for their identifiers (no devices stored before)."""
-    rows = views.log_rows(spark, sf)
+    rows = _log_table(
+        spark, sf, "im", "mac", "timestamp", "appkey", "ch", "c", "pn", "la", "t"
+    )
     named = rows.withColumnsRenamed({"im": "imei"})
     none = spark.createDataFrame([], files.as_schema(schemas.DEVICES))
     resolved = devices.resolve_devices(named, none)
@@ -565,7 +570,8 @@ def app_devices(spark, sf):
 
 
 def _stats_after(spark, sf, once: bool) -> DataFrame:
-    rows = stats.with_statistic_id(views.log_rows(spark, sf)).select("id", "timestamp")
+    log_rows = _log_table(spark, sf, "pn", "ch", "c", "appkey", "timestamp")
+    rows = stats.with_statistic_id(log_rows).select("id", "timestamp")
     table = KeyedTable(
         spark, "channel_statistics", schemas.CHANNEL_STATISTICS, new_folder(spark, "statistics")
     )
@@ -588,7 +594,9 @@ def stats_increment_once(spark, sf):
 @query
 def stats_seed(spark, sf):
     """Seed rows for the statistics of apps that have none stored."""
-    rows = stats.with_statistic_id(views.log_rows(spark, sf))
+    rows = stats.with_statistic_id(
+        _log_table(spark, sf, "pn", "ch", "c", "appkey", "timestamp")
+    )
     table = KeyedTable(
         spark, "seeded_statistics", schemas.CHANNEL_STATISTICS, new_folder(spark, "seeds")
     )

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.session import bounded_broadcast, stage
 from tallyloom.sources.files import as_schema
 
 
@@ -127,8 +128,12 @@ class KeyedTable:
     def replace(self, incoming: DataFrame, order: str | None = None) -> DataFrame:
         """Index by id: an incoming row takes the place of the whole stored row."""
         incoming = self._shaped(self.one_per_key(incoming, order))
-        stored = self.read()
-        kept = stored.join(incoming.select(self.key), self.key, "left_anti")
+        if not self._versions()[0]:
+            return self._write_next(incoming)
+        incoming = stage(incoming, "incoming")
+        kept = self.read().join(
+            bounded_broadcast(incoming.select(self.key)), self.key, "left_anti"
+        )
         return self._write_next(kept.unionByName(incoming))
 
     def upsert(
@@ -137,9 +142,13 @@ class KeyedTable:
         """Update by id: supplied columns win, other columns stay, unknown ids are added.
 
         ``skip_nulls`` keeps the stored value where a supplied one is null, as a document store
-        that does not write null fields would.
+        that does not write null fields would. The incoming rows are written once and joined
+        twice, to the stored rows and to the stored keys.
         """
         incoming = self.one_per_key(incoming, order)
+        if not self._versions()[0]:
+            return self._write_next(incoming)
+        incoming = stage(incoming, "incoming")
         stored = self.read()
         given = [f.name for f in self.schema if f.name in incoming.columns and f.name != self.key]
         tagged = incoming.select(
@@ -154,7 +163,7 @@ class KeyedTable:
                 return F.coalesce(new, old).alias(name)
             return F.when(F.col("_hit"), new).otherwise(old).alias(name)
 
-        kept = stored.join(tagged, self.key, "left").select(
+        kept = stored.join(bounded_broadcast(tagged), self.key, "left").select(
             *[merged(f.name) if f.name != self.key else F.col(self.key) for f in self.schema]
         )
         added = incoming.join(stored.select(self.key), self.key, "left_anti")
