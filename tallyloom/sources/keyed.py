@@ -35,6 +35,10 @@ class KeyedTable:
         self.key = key
         self.buckets = buckets
 
+    def on(self, spark: SparkSession) -> KeyedTable:
+        """The same table through another session, such as that of a micro-batch."""
+        return KeyedTable(spark, self.name, self.schema, self.folder, self.key, self.buckets)
+
     # snapshots ---------------------------------------------------------------------------
 
     def _versions(self) -> tuple[int, int]:
