@@ -69,6 +69,11 @@ def component_roots(edges: DataFrame) -> DataFrame:
 
 def _is_stars(edges: DataFrame) -> bool:
     """Whether each child hangs on one parent and no parent hangs on another node."""
-    tangled = edges.groupBy("u").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("u")
-    inner = edges.select("u").join(edges.select(F.col("v").alias("u")), "u", "left_semi")
-    return tangled.unionByName(inner).isEmpty()
+    no, yes = F.lit(0), F.lit(1)
+    ends = edges.select(F.col("u").alias("node"), yes.alias("child"), no.alias("parent")).unionByName(
+        edges.select(F.col("v").alias("node"), no.alias("child"), yes.alias("parent"))
+    )
+    roles = ends.groupBy("node").agg(F.sum("child").alias("parents"), F.max("parent").alias("is_parent"))
+    return roles.filter(
+        (F.col("parents") > 1) | ((F.col("parents") > 0) & (F.col("is_parent") == 1))
+    ).isEmpty()

@@ -1,13 +1,16 @@
 """Keyed document tables: snapshots bucketed by key behind a named view.
 
-A table is a folder of snapshots ``v=1, v=2, ...``. A change reads the current snapshot and writes
-the next one, so no reader ever sees half a change and a failed job leaves the old snapshot in
-place. Snapshots are bucketed by key: a merge shuffles only the incoming rows, never the stored
-ones. The view called like the table always shows the newest complete snapshot.
+A table is a folder of snapshots ``v=1.buckets=200, v=2.buckets=200, ...``. A change reads the
+current snapshot and writes the next one, so no reader ever sees half a change and a failed job
+leaves the old snapshot in place. Snapshots are bucketed by key: a merge shuffles only the incoming
+rows, never the stored ones. Unless told otherwise a snapshot gets as many buckets as the session
+has shuffle partitions, so a shuffled write makes one file per bucket and the table grows with the
+cluster's own sizing. The view called like the table always shows the newest complete snapshot.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +29,7 @@ class KeyedTable:
         schema: str | T.StructType,
         folder: str,
         key: str = "id",
-        buckets: int = 8,
+        buckets: int | None = None,
     ):
         self.spark = spark
         self.name = name
@@ -41,47 +44,49 @@ class KeyedTable:
 
     # snapshots ---------------------------------------------------------------------------
 
-    def _versions(self) -> tuple[int, int]:
-        """Newest complete version and newest version of any state (0 when there is none)."""
+    def _snapshots(self) -> list[tuple[int, int, bool]]:
+        """``version, buckets, complete`` of every snapshot folder, in order."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        complete = newest = 0
-        if fs.exists(path):
-            for status in fs.listStatus(path):
-                leaf = status.getPath().getName()
-                if leaf.startswith("v="):
-                    number = int(leaf[2:])
-                    newest = max(newest, number)
-                    done = self.spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-                    if fs.exists(done):
-                        complete = max(complete, number)
-        return complete, newest
+        found = []
+        for status in fs.listStatus(path) if fs.exists(path) else []:
+            name = re.fullmatch(r"v=(\d+)\.buckets=(\d+)", status.getPath().getName())
+            if name:
+                done = self.spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+                found.append((int(name[1]), int(name[2]), fs.exists(done)))
+        return sorted(found)
+
+    def _current(self) -> tuple[int, int] | None:
+        """Version and buckets of the newest complete snapshot."""
+        complete = [(version, buckets) for version, buckets, done in self._snapshots() if done]
+        return complete[-1] if complete else None
 
     def _table(self, version: int) -> str:
         """Catalog name of a snapshot; tells apart equally named tables in different folders."""
         return f"{self.name}_{zlib.crc32(self.folder.encode()):08x}_v{version}"
 
-    def _columns_ddl(self) -> str:
-        return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
+    def _path(self, version: int, buckets: int) -> str:
+        return f"{self.folder}/v={version}.buckets={buckets}"
 
-    def _declare(self, version: int) -> str:
+    def _declare(self, version: int, buckets: int) -> str:
         """Make a snapshot known to the catalog, with its bucketing, and return its name."""
         table = self._table(version)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} ({self._columns_ddl()}) USING parquet "
-            f"CLUSTERED BY (`{self.key}`) INTO {self.buckets} BUCKETS "
-            f"LOCATION '{self.folder}/v={version}'"
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+            f"CLUSTERED BY (`{self.key}`) INTO {buckets} BUCKETS "
+            f"LOCATION '{self._path(version, buckets)}'"
         )
         return table
 
     def _write_next(self, df: DataFrame) -> DataFrame:
-        _, newest = self._versions()
-        version = newest + 1
+        version = max((v for v, _, _ in self._snapshots()), default=0) + 1
+        buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         (
             self._shaped(df)
             .write.format("parquet")
-            .bucketBy(self.buckets, self.key)
-            .option("path", f"{self.folder}/v={version}")
+            .bucketBy(buckets, self.key)
+            .option("path", self._path(version, buckets))
             .saveAsTable(self._table(version))
         )
         return self.read()
@@ -101,10 +106,10 @@ class KeyedTable:
 
     def read(self) -> DataFrame:
         """The newest complete snapshot; also points the view at it."""
-        version, _ = self._versions()
-        if not version:
+        snapshot = self._current()
+        if not snapshot:
             return self.spark.createDataFrame([], self.schema)
-        current = self.spark.table(self._declare(version))
+        current = self.spark.table(self._declare(*snapshot))
         current.createOrReplaceTempView(self.name)
         return current
 
@@ -132,7 +137,7 @@ class KeyedTable:
     def replace(self, incoming: DataFrame, order: str | None = None) -> DataFrame:
         """Index by id: an incoming row takes the place of the whole stored row."""
         incoming = self._shaped(self.one_per_key(incoming, order))
-        if not self._versions()[0]:
+        if not self._current():
             return self._write_next(incoming)
         incoming = stage(incoming, "incoming")
         kept = self.read().join(
@@ -150,7 +155,7 @@ class KeyedTable:
         twice, to the stored rows and to the stored keys.
         """
         incoming = self.one_per_key(incoming, order)
-        if not self._versions()[0]:
+        if not self._current():
             return self._write_next(incoming)
         incoming = stage(incoming, "incoming")
         stored = self.read()
@@ -176,13 +181,13 @@ class KeyedTable:
     def insert_missing(self, incoming: DataFrame, order: str | None = None) -> DataFrame:
         """Add the rows whose id is unknown; stored rows are neither read in full nor rewritten."""
         incoming = self.one_per_key(incoming, order)
-        version, _ = self._versions()
-        if not version:
+        snapshot = self._current()
+        if not snapshot:
             return self._write_next(incoming)
-        stored = self.read()
-        added = incoming.join(stored.select(self.key), self.key, "left_anti")
-        self._shaped(added).write.insertInto(self._table(version))
-        self.spark.catalog.refreshTable(self._table(version))
+        added = incoming.join(self.read().select(self.key), self.key, "left_anti")
+        table = self._table(snapshot[0])
+        self._shaped(added).write.insertInto(table)
+        self.spark.catalog.refreshTable(table)
         return self.read()
 
 

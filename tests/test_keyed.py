@@ -65,7 +65,7 @@ def test_a_failed_write_leaves_the_last_snapshot(spark, table, rows_of):
     broken = incoming(spark, ("a", 1)).withColumn("n", F.raise_error(F.lit("stop")).cast("bigint"))
     with pytest.raises(Exception):
         table.upsert(broken)
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{table.folder}/v=2")
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{table.folder}/v=2.buckets=4")
     fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(fs_path)
     assert rows_of(table.read()) == [("a", 1, "old"), ("b", 2, "old")]
     assert rows_of(table.upsert(incoming(spark, ("c", 3))))[-1] == ("c", 3, None)
