@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import float_ratio, strict_number
-from tallyloom.session import bounded_broadcast
+from tallyloom.session import bounded_broadcast, stage
 
 
 def movie_id_of(movies: DataFrame, title: str) -> DataFrame:
@@ -45,8 +45,11 @@ def audience_profile(
 def audience_profile_distinct(
     ratings: DataFrame, users: DataFrame, movies: DataFrame, title: str
 ) -> DataFrame:
-    """Users who rated a movie, by gender and age; a user counts once."""
-    raters = _raters(ratings, movies, title).select("user_id")
+    """Users who rated a movie, by gender and age; a user counts once.
+
+    The raters are written once, then measured to choose between broadcast and shuffle.
+    """
+    raters = stage(_raters(ratings, movies, title).select("user_id"), "raters")
     return (
         users.join(bounded_broadcast(raters), "user_id", "left_semi")
         .groupBy("gender", "age")
@@ -79,7 +82,7 @@ def top_movies_for_named(
     """Same list with titles, through a semi-join on the chosen users.
 
     A movie without a title row keeps a null title; of several title rows the greatest counts.
-    Only the ids in the list are looked up: ``k`` of them bound both broadcasts.
+    The list is computed once and only its ids are looked up: ``k`` of them bound both broadcasts.
     """
     chosen = users.filter(in_group(gender, age)).select("user_id")
     counts = (
@@ -87,7 +90,7 @@ def top_movies_for_named(
         .groupBy("movie_id")
         .agg(F.count("*").alias("n"))
     )
-    best = top(counts, "n", "movie_id", k)
+    best = stage(top(counts, "n", "movie_id", k), "best")
     titles = (
         movies.join(F.broadcast(best.select("movie_id")), "movie_id", "left_semi")
         .groupBy("movie_id")
