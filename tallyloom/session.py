@@ -55,24 +55,26 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 def drop_staged(staged: DataFrame) -> None:
     """Delete the files of a staged table that nothing reads any more."""
     spark = staged.sparkSession
-    root = scratch_root(spark)
-    folders = {f.rsplit("/", 1)[0] for f in staged.inputFiles()}
-    for folder in folders:
-        if "/tallyloom/" in folder and root.rsplit("/", 1)[-1] in folder:
+    for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
+        if folder.rsplit("/", 2)[-2] == scratch_root(spark).rsplit("/", 1)[-1]:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Payload size of a flat DataFrame, found by one aggregation over its rows."""
+    """Payload size of a DataFrame, found by one aggregation over its rows.
+
+    Numbers count 16 bytes, texts their bytes, nested values twice their JSON text.
+    """
     width = F.lit(16)
     for field in df.schema.fields:
         if isinstance(field.dataType, T.StringType):
-            width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + F.lit(16)
+            width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) + F.lit(16)
         elif isinstance(field.dataType, T.AtomicType):
             width = width + F.lit(16)
         else:
-            raise TypeError(f"{field.name}: only flat columns can be measured")
+            text = F.to_json(F.struct(F.col(f"`{field.name}`")))
+            width = width + F.octet_length(text) * F.lit(2) + F.lit(16)
     return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("b")).first()["b"]
 
 

@@ -1,11 +1,13 @@
 """Keyed document tables: snapshots bucketed by key behind a named view.
 
-A table is a folder of snapshots ``v=1.buckets=200, v=2.buckets=200, ...``. A change reads the
+A table is a folder of snapshots ``v=1.buckets=64, v=2.buckets=64, ...``. A change reads the
 current snapshot and writes the next one, so no reader ever sees half a change and a failed job
-leaves the old snapshot in place. Snapshots are bucketed by key: a merge shuffles only the incoming
-rows, never the stored ones. Unless told otherwise a snapshot gets as many buckets as the session
-has shuffle partitions, so a shuffled write makes one file per bucket and the table grows with the
-cluster's own sizing. The view called like the table always shows the newest complete snapshot.
+leaves the old snapshot in place. The view called like the table always shows the newest complete
+snapshot.
+
+Snapshots are bucketed by key. A merge is one full outer join on the key in which only the incoming
+rows are exchanged: each task streams one stored bucket past its share of them and writes one file.
+The number of buckets follows the size of the table.
 """
 
 from __future__ import annotations
@@ -17,9 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.session import bounded_broadcast, stage
+from tallyloom.session import BROADCAST_LIMIT, drop_staged, measured_bytes, stage
 from tallyloom.sources.files import as_schema
 
+# Stored bytes one bucket is planned for.
+BUCKET_BYTES = 128 * 1024 * 1024
+
 
 class KeyedTable:
     def __init__(
@@ -44,10 +49,17 @@ class KeyedTable:
 
     # snapshots ---------------------------------------------------------------------------
 
+    def _file_system(self, folder: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _stored_bytes(self, folder: str) -> int:
+        fs, path = self._file_system(folder)
+        return fs.getContentSummary(path).getLength()
+
     def _snapshots(self) -> list[tuple[int, int, bool]]:
         """``version, buckets, complete`` of every snapshot folder, in order."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs, path = self._file_system(self.folder)
         found = []
         for status in fs.listStatus(path) if fs.exists(path) else []:
             name = re.fullmatch(r"v=(\d+)\.buckets=(\d+)", status.getPath().getName())
@@ -61,6 +73,19 @@ class KeyedTable:
         complete = [(version, buckets) for version, buckets, done in self._snapshots() if done]
         return complete[-1] if complete else None
 
+    def _buckets_for(self, incoming: DataFrame) -> int:
+        """Buckets of the next snapshot: a power of two by stored size, never fewer than now."""
+        if self.buckets:
+            return self.buckets
+        snapshot = self._current()
+        folders = {f.rsplit("/", 1)[0] for f in incoming.inputFiles()}
+        if snapshot:
+            folders.add(self._path(*snapshot))
+        needed = sum(self._stored_bytes(f) for f in folders) // BUCKET_BYTES
+        power = 1 << int(needed).bit_length()
+        limit = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+        return max(min(power, limit), snapshot[1] if snapshot else 1)
+
     def _table(self, version: int) -> str:
         """Catalog name of a snapshot; tells apart equally named tables in different folders."""
         return f"{self.name}_{zlib.crc32(self.folder.encode()):08x}_v{version}"
@@ -79,9 +104,8 @@ class KeyedTable:
         )
         return table
 
-    def _write_next(self, df: DataFrame) -> DataFrame:
+    def _write_next(self, df: DataFrame, buckets: int) -> DataFrame:
         version = max((v for v, _, _ in self._snapshots()), default=0) + 1
-        buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         (
             self._shaped(df)
             .write.format("parquet")
@@ -134,16 +158,46 @@ class KeyedTable:
         picked = incoming.groupBy(self.key).agg(best)
         return picked.select(self.key, *[F.col(f"_row.`{c}`").alias(c) for c in rest])
 
+    def _staged(self, incoming: DataFrame, order: str | None) -> DataFrame:
+        return stage(self.one_per_key(incoming, order), "incoming")
+
+    def _merge(self, incoming: DataFrame, order: str | None, new_value) -> DataFrame:
+        """Next snapshot from stored and incoming rows.
+
+        ``new_value(old, new)`` is what a column of a supplied row becomes; ``new`` is None
+        for a column that is not supplied. The incoming rows of a bucket are hashed while their
+        measured share of memory is small, and sorted beyond that.
+        """
+        incoming = self._staged(incoming, order)
+        buckets = self._buckets_for(incoming)
+        snapshot = self._current()
+        if not snapshot:
+            first = self._write_next(self._shaped(incoming).repartition(buckets, self.key), buckets)
+            drop_staged(incoming)
+            return first
+        names = [f.name for f in self.schema if f.name != self.key]
+        given = [n for n in names if n in incoming.columns]
+        tagged = incoming.select(
+            self.key, F.lit(True).alias("_hit"), *[F.col(f"`{n}`").alias(f"_new_{n}") for n in given]
+        )
+        if measured_bytes(tagged) <= BROADCAST_LIMIT * snapshot[1]:
+            tagged = tagged.hint("shuffle_hash")
+        merged = self.read().join(tagged, self.key, "full_outer")
+
+        def column(name: str):
+            old = F.col(f"`{name}`")
+            new = F.col(f"`_new_{name}`") if name in given else None
+            return F.when(F.col("_hit"), new_value(old, new)).otherwise(old).alias(name)
+
+        following = self._write_next(merged.select(self.key, *[column(n) for n in names]), buckets)
+        drop_staged(incoming)
+        return following
+
     def replace(self, incoming: DataFrame, order: str | None = None) -> DataFrame:
         """Index by id: an incoming row takes the place of the whole stored row."""
-        incoming = self._shaped(self.one_per_key(incoming, order))
-        if not self._current():
-            return self._write_next(incoming)
-        incoming = stage(incoming, "incoming")
-        kept = self.read().join(
-            bounded_broadcast(incoming.select(self.key)), self.key, "left_anti"
+        return self._merge(
+            incoming, order, lambda old, new: F.lit(None) if new is None else new
         )
-        return self._write_next(kept.unionByName(incoming))
 
     def upsert(
         self, incoming: DataFrame, order: str | None = None, skip_nulls: bool = False
@@ -151,39 +205,22 @@ class KeyedTable:
         """Update by id: supplied columns win, other columns stay, unknown ids are added.
 
         ``skip_nulls`` keeps the stored value where a supplied one is null, as a document store
-        that does not write null fields would. The incoming rows are written once and joined
-        twice, to the stored rows and to the stored keys.
+        that does not write null fields would.
         """
-        incoming = self.one_per_key(incoming, order)
-        if not self._current():
-            return self._write_next(incoming)
-        incoming = stage(incoming, "incoming")
-        stored = self.read()
-        given = [f.name for f in self.schema if f.name in incoming.columns and f.name != self.key]
-        tagged = incoming.select(
-            self.key, F.lit(True).alias("_hit"), *[F.col(f"`{c}`").alias(f"_new_{c}") for c in given]
-        )
 
-        def merged(name: str):
-            old, new = F.col(f"`{name}`"), F.col(f"`_new_{name}`")
-            if name not in given:
+        def value(old, new):
+            if new is None:
                 return old
-            if skip_nulls:
-                return F.coalesce(new, old).alias(name)
-            return F.when(F.col("_hit"), new).otherwise(old).alias(name)
+            return F.coalesce(new, old) if skip_nulls else new
 
-        kept = stored.join(bounded_broadcast(tagged), self.key, "left").select(
-            *[merged(f.name) if f.name != self.key else F.col(self.key) for f in self.schema]
-        )
-        added = incoming.join(stored.select(self.key), self.key, "left_anti")
-        return self._write_next(kept.unionByName(self._shaped(added)))
+        return self._merge(incoming, order, value)
 
     def insert_missing(self, incoming: DataFrame, order: str | None = None) -> DataFrame:
         """Add the rows whose id is unknown; stored rows are neither read in full nor rewritten."""
-        incoming = self.one_per_key(incoming, order)
         snapshot = self._current()
         if not snapshot:
-            return self._write_next(incoming)
+            return self._merge(incoming, order, None)
+        incoming = self.one_per_key(incoming, order)
         added = incoming.join(self.read().select(self.key), self.key, "left_anti")
         table = self._table(snapshot[0])
         self._shaped(added).write.insertInto(table)

@@ -24,10 +24,9 @@ def test_empty_table(spark):
     assert empty.read().count() == 0 and empty.read().columns == ["id", "n", "note"]
 
 
-@pytest.mark.parametrize("limit", [None, 0])
+@pytest.mark.parametrize("limit", [keyed.BROADCAST_LIMIT, 0], ids=["hashed", "sorted"])
 def test_replace_upsert_insert(spark, table, rows_of, monkeypatch, limit):
-    if limit is not None:
-        monkeypatch.setattr(keyed, "bounded_broadcast", lambda df: df)
+    monkeypatch.setattr(keyed, "BROADCAST_LIMIT", limit)
     assert rows_of(table.upsert(incoming(spark, ("b", 5), ("c", 6)))) == [
         ("a", 1, "old"), ("b", 5, "old"), ("c", 6, None)]
     assert rows_of(table.replace(incoming(spark, ("a", 9), ("d", 7)))) == [
@@ -91,16 +90,59 @@ def test_lookup_reads_the_files_of_one_bucket(spark, table):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-def test_merge_does_not_shuffle_stored_rows(spark, table):
-    """Beyond the broadcast limit only the incoming side is exchanged."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def merge_plan(spark, table, batch, monkeypatch):
+    """The plan of the snapshot a merge writes."""
+    written = []
+    monkeypatch.setattr(
+        table, "_write_next",
+        lambda df, buckets: written.append((df._jdf.queryExecution().executedPlan().toString(), buckets)),
+    )
+    table.upsert(batch)
+    return written[0]
+
+
+@pytest.mark.parametrize("partitions", [2, 4, 16])
+def test_merge_exchanges_only_incoming_rows(spark, table, monkeypatch, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
-        stored, batch = table.read(), incoming(spark, ("b", 5))
-        joined = stored.join(batch, "id", "left")
-        plan = joined._jdf.queryExecution().executedPlan().toString()
+        plan, buckets = merge_plan(spark, table, incoming(spark, ("b", 5)), monkeypatch)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert buckets == 4
+    assert "ShuffledHashJoin" in plan and "FullOuter" in plan
     assert plan.count("Exchange hashpartitioning") == 1
+    assert "hashpartitioning(id" in plan and ", 4)" in plan
+    assert "Bucketed: true" in plan
+
+
+def test_merge_of_many_rows_sorts(spark, table, monkeypatch):
+    monkeypatch.setattr(keyed, "BROADCAST_LIMIT", 0)
+    plan, _ = merge_plan(spark, table, incoming(spark, ("b", 5)), monkeypatch)
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_buckets_follow_the_size(spark, rows_of, monkeypatch):
+    grown = KeyedTable(spark, "grown", SCHEMA, new_folder(spark, "grown"))
+    grown.replace(incoming(spark, ("a", 1)))
+    assert grown._current() == (1, 1)
+    monkeypatch.setattr(keyed, "BUCKET_BYTES", 1000)
+    many = spark.range(500).select(
+        F.concat(F.lit("k"), "id").alias("id"), F.col("id").alias("n"), F.lit("x").alias("note")
+    )
+    assert grown.upsert(many).count() == 501
+    version, buckets = grown._current()
+    assert version == 2 and buckets >= 4 and buckets & (buckets - 1) == 0
+    assert grown.upsert(incoming(spark, ("k3", 0))).filter("id = 'k3' and note = 'x' and n = 0").count() == 1
+    assert grown.read().count() == 501
+    monkeypatch.setattr(keyed, "BUCKET_BYTES", 1 << 30)
+    grown.upsert(incoming(spark, ("z", 0)))
+    assert grown._current()[1] >= buckets
+
+
+def test_another_session_reads_the_same_table(spark, table, rows_of):
+    other = KeyedTable(spark.newSession(), "elsewhere", SCHEMA, table.folder)
+    assert rows_of(other.read()) == rows_of(table.read())
 
 
 def test_append_with_generated_ids(spark):

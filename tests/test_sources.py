@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import basics
-from tallyloom.session import bounded_broadcast, measured_bytes, new_folder, scratch_root, stage
+from tallyloom.session import bounded_broadcast, drop_staged, measured_bytes, new_folder, scratch_root, stage
 from tallyloom.sources import files, schemas
 from tallyloom.sources.jdbc import JdbcTable
 
@@ -152,6 +152,19 @@ def test_stage_keeps_rows_and_cuts_lineage(spark, rows_of):
     assert all("/tallyloom/t-" in f for f in staged.inputFiles())
 
 
+def test_nested_columns_are_measured(spark):
+    df = spark.createDataFrame([([1, 2], {"a": "b"}), (None, None)], "l array<int>, m map<string,string>")
+    assert measured_bytes(df) > 2 * 16
+
+
+def test_dropping_a_staged_table_leaves_others(spark):
+    kept, dropped = stage(spark.range(3).toDF("n"), "kept"), stage(spark.range(3).toDF("n"), "gone")
+    drop_staged(dropped)
+    assert kept.count() == 3
+    with pytest.raises(Exception):
+        spark.read.parquet(dropped.inputFiles()[0]).count()
+
+
 def test_broadcast_only_within_the_limit(spark):
     def plan(df):
         return df._jdf.queryExecution().optimizedPlan().toString()
