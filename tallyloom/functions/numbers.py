@@ -22,10 +22,16 @@ def add_counts(left: Column, right: Column) -> Column:
     return F.coalesce(left.cast("long"), zero) + F.coalesce(right.cast("long"), zero)
 
 
+def _as_float(value: Column) -> Column:
+    """32-bit value. The product keeps the optimizer from merging this cast with the cast to
+    double that a division adds, which would skip the rounding."""
+    return value.cast("float") * F.lit(1.0).cast("float")
+
+
 def float_ratio(numerator: Column, denominator: Column) -> Column:
     """32-bit quotient of two whole numbers, each rounded to 32 bits first; null for a zero divisor."""
-    divisor = F.when(denominator != 0, denominator.cast("float"))
-    return (numerator.cast("float") / divisor).cast("float")
+    divisor = F.when(denominator != 0, _as_float(denominator))
+    return (_as_float(numerator) / divisor).cast("float")
 
 
 def squared_norm(a: Column, b: Column) -> Column:

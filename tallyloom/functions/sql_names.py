@@ -8,7 +8,8 @@ from pyspark.sql import SparkSession
 _BODIES = {
     "add_counts(a BIGINT, b BIGINT) RETURNS BIGINT": "coalesce(a, 0L) + coalesce(b, 0L)",
     "float_ratio(a BIGINT, b BIGINT) RETURNS FLOAT": (
-        "cast(cast(a AS FLOAT) / nullif(cast(b AS FLOAT), cast(0 AS FLOAT)) AS FLOAT)"
+        "cast(cast(a AS FLOAT) * cast(1 AS FLOAT) / "
+        "nullif(cast(b AS FLOAT) * cast(1 AS FLOAT), cast(0 AS FLOAT)) AS FLOAT)"
     ),
 }
 

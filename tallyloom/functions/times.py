@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 # Output and input formats, home zone of the day strings, bucket sizes in seconds.
 BASIC_OFFSET_FORMAT = "yyyyMMdd'T'HHmmss.SSSZ"
 BASIC_ZULU_FORMAT = "yyyyMMdd'T'HHmmss.SSSX"
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSX"
+ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 HOME_ZONE = "Asia/Shanghai"
 HOUR_SECONDS = 3600
 DAY_SECONDS = 86400
@@ -43,7 +43,7 @@ def iso_utc(millis: Column) -> Column:
 
 
 def instant_from_iso(text: Column) -> Column:
-    """Instant of an ISO text such as :func:`iso_utc` writes."""
+    """Instant of an ISO text with milliseconds and ``Z`` or an offset such as ``+08:00``."""
     return F.to_timestamp(text, ISO_FORMAT)
 
 

@@ -170,6 +170,13 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS season, o_orderstatus AS team, coun
 FROM orders GROUP BY 1, 2
 """
 
+ORACLES["scan_vectors"] = """
+SELECT CAST(len(embedding) AS INTEGER) AS dimension, count(*) AS n,
+       CAST(min(list_min(embedding)) AS DOUBLE) AS least,
+       CAST(max(list_max(embedding)) AS DOUBLE) AS greatest
+FROM embeddings GROUP BY 1
+"""
+
 ORACLES["range_indicator"] = """
 SELECT CAST(sum(CASE WHEN a * a + b * b > 0 THEN 1 ELSE 0 END) AS BIGINT) AS hits
 FROM (SELECT i % 7 * 2 - 6 AS a, i % 5 * 2 - 4 AS b

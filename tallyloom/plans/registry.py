@@ -171,6 +171,28 @@ def csv_seasons(spark, sf):
     )
 
 
+def _vector_files(spark, sf) -> DataFrame:
+    """Embeddings written as space-separated numbers and read back as vectors."""
+    folder = new_folder(spark, "vectors")
+    numbers_of = F.col("embedding").cast("array<double>").cast("array<string>")
+    views.table(spark, sf, "embeddings").select(F.array_join(numbers_of, " ")).write.text(folder)
+    return files.read_vectors(spark, folder)
+
+
+@query
+def scan_vectors(spark, sf):
+    """Vectors read from text, by dimension, with their least and greatest number."""
+    return (
+        _vector_files(spark, sf)
+        .groupBy(F.size("features").alias("dimension"))
+        .agg(
+            F.count("*").alias("n"),
+            F.min(F.array_min("features")).alias("least"),
+            F.max(F.array_max("features")).alias("greatest"),
+        )
+    )
+
+
 @query
 def range_indicator(spark, sf):
     """1..n over the number of line items: how many have a positive squared norm."""
@@ -652,7 +674,5 @@ def retention(spark, sf):
 @query
 def kmeans_fit(spark, sf):
     """Two clusters over the embeddings; vectors per cluster."""
-    _, clustered = clusters.fit_kmeans(
-        views.table(spark, sf, "embeddings"), F.col("embedding"), k=2, seed=7
-    )
+    _, clustered = clusters.fit_kmeans(_vector_files(spark, sf), F.col("features"), k=2, seed=7)
     return clustered.groupBy("cluster").agg(F.count("*").alias("n"))

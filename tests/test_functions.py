@@ -1,11 +1,13 @@
 from datetime import datetime, timedelta, timezone
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyloom.functions import keys, numbers, records, sql_names, text, times
+from tallyloom.session import stage
 
 
 def jvm_split(value: str, sep: str) -> list[str]:
@@ -58,6 +60,8 @@ def test_iso_text(spark):
     assert one(spark, times.iso_utc, 1474300800002) == "2016-09-19T16:00:00.002Z"
     assert one(spark, times.iso_utc, 0) == "1970-01-01T00:00:00.000Z"
     assert one(spark, times.iso_utc, -1) == "1969-12-31T23:59:59.999Z"
+    for value in ("2016-09-19T16:00:00.002Z", "2016-09-20T00:00:00.002+08:00"):
+        assert one(spark, times.millis_from_iso, value, "string") == 1474300800002
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Shanghai"])
@@ -112,6 +116,23 @@ def test_numbers(spark):
     assert [r.r for r in ratio.collect()] == [3.3333332538604736, None]
 
 
+def test_float_ratio_rounds_its_operands(spark):
+    """Sums past 24 bits: rounding before the division is not the same as after it."""
+    pairs = [(s, n) for s in range(123456789, 123456989, 7) for n in (3, 7, 33554435, 16777219)]
+    want = [float(np.float32(s) / np.float32(n)) for s, n in pairs]
+    assert want != [float(np.float32(s / n)) for s, n in pairs]
+    sql_names.register_sql_functions(spark)
+    df = spark.createDataFrame([(i, s, n) for i, (s, n) in enumerate(pairs)], "i int, s bigint, n bigint")
+    got = stage(df, "pairs").select(
+        "i",
+        numbers.float_ratio(F.col("s"), F.col("n")).alias("r"),
+        F.expr("float_ratio(s, n)").alias("q"),
+    )
+    rows = got.orderBy("i").collect()
+    assert [r.r for r in rows] == want
+    assert [r.q for r in rows] == want
+
+
 def test_random_int_is_repeatable_and_in_range(spark):
     draw = [r.r for r in spark.range(0, 500, 1, 2).select(numbers.random_int(3).alias("r")).collect()]
     again = [r.r for r in spark.range(0, 500, 1, 2).select(numbers.random_int(3).alias("r")).collect()]
