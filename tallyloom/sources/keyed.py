@@ -161,12 +161,17 @@ class KeyedTable:
     def _staged(self, incoming: DataFrame, order: str | None) -> DataFrame:
         return stage(self.one_per_key(incoming, order), "incoming")
 
+    def _hashed(self, incoming: DataFrame, buckets: int) -> DataFrame:
+        """Ask for a hash of the incoming rows of each bucket while their measured size is small;
+        beyond that both sides are sorted within their bucket."""
+        small = measured_bytes(incoming) <= BROADCAST_LIMIT * buckets
+        return incoming.hint("shuffle_hash") if small else incoming
+
     def _merge(self, incoming: DataFrame, order: str | None, new_value) -> DataFrame:
         """Next snapshot from stored and incoming rows.
 
         ``new_value(old, new)`` is what a column of a supplied row becomes; ``new`` is None
-        for a column that is not supplied. The incoming rows of a bucket are hashed while their
-        measured share of memory is small, and sorted beyond that.
+        for a column that is not supplied.
         """
         incoming = self._staged(incoming, order)
         buckets = self._buckets_for(incoming)
@@ -180,9 +185,7 @@ class KeyedTable:
         tagged = incoming.select(
             self.key, F.lit(True).alias("_hit"), *[F.col(f"`{n}`").alias(f"_new_{n}") for n in given]
         )
-        if measured_bytes(tagged) <= BROADCAST_LIMIT * snapshot[1]:
-            tagged = tagged.hint("shuffle_hash")
-        merged = self.read().join(tagged, self.key, "full_outer")
+        merged = self.read().join(self._hashed(tagged, snapshot[1]), self.key, "full_outer")
 
         def column(name: str):
             old = F.col(f"`{name}`")
@@ -216,15 +219,19 @@ class KeyedTable:
         return self._merge(incoming, order, value)
 
     def insert_missing(self, incoming: DataFrame, order: str | None = None) -> DataFrame:
-        """Add the rows whose id is unknown; stored rows are neither read in full nor rewritten."""
+        """Add the rows whose id is unknown; of the stored rows only the keys are read."""
         snapshot = self._current()
         if not snapshot:
             return self._merge(incoming, order, None)
-        incoming = self.one_per_key(incoming, order)
-        added = incoming.join(self.read().select(self.key), self.key, "left_anti")
+        incoming = self._staged(incoming, order)
+        stored = self.read().select(self.key, F.lit(True).alias("_stored"))
+        added = stored.join(
+            self._hashed(incoming, snapshot[1]), self.key, "right_outer"
+        ).filter(F.col("_stored").isNull())
         table = self._table(snapshot[0])
         self._shaped(added).write.insertInto(table)
         self.spark.catalog.refreshTable(table)
+        drop_staged(incoming)
         return self.read()
 
 
