@@ -6,11 +6,15 @@ from tallyloom.llm.bpe import op10_bpe
 from tallyloom.llm.mixing import OP9_SQL, op9_mixing
 from tallyloom.llm.quality import op8_quality
 from tallyloom.llm.sharding import op4_sharding, op4_sql
+from tallyloom.llm.simhash import op7_simhash
+from tallyloom.llm.urls import op5_urls
 
 QUERIES = {
     f.__name__: f
     for f in (
         op4_sharding,
+        op5_urls,
+        op7_simhash,
         op8_quality,
         op9_mixing,
         op10_bpe,
