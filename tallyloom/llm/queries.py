@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from tallyloom.llm.bpe import op10_bpe
+from tallyloom.llm.lines import OP2_SQL, op2_lines
 from tallyloom.llm.mixing import OP9_SQL, op9_mixing
 from tallyloom.llm.quality import op8_quality
 from tallyloom.llm.sharding import op4_sharding, op4_sql
 from tallyloom.llm.simhash import op7_simhash
+from tallyloom.llm.spans import op6_spans
 from tallyloom.llm.urls import op5_urls
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_lines,
         op4_sharding,
         op5_urls,
+        op6_spans,
         op7_simhash,
         op8_quality,
         op9_mixing,
@@ -23,4 +27,4 @@ QUERIES = {
 
 
 def oracles() -> dict[str, str]:
-    return {"op4_sharding": op4_sql(), "op9_mixing": OP9_SQL}
+    return {"op2_lines": OP2_SQL, "op4_sharding": op4_sql(), "op9_mixing": OP9_SQL}
