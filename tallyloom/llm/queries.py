@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tallyloom.llm.bpe import op10_bpe
+from tallyloom.llm.covertree import op1_covertree
 from tallyloom.llm.lines import OP2_SQL, op2_lines
 from tallyloom.llm.mixing import OP9_SQL, op9_mixing
 from tallyloom.llm.quality import op8_quality
@@ -14,6 +15,7 @@ from tallyloom.llm.urls import op5_urls
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_covertree,
         op2_lines,
         op4_sharding,
         op5_urls,
