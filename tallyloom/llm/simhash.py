@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import BLANK, free_name, session, table
@@ -17,9 +17,12 @@ from tallyloom.operators.components import component_roots
 from tallyloom.session import bounded_broadcast, drop_staged, stage
 
 SEED = 42
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Members of a cell that one task compares with one another; a fuller cell is cut into more tasks.
 HOME_BLOCK = 4096
 VISITOR_BLOCK = 65536
+# Members of cells that share a task.
+TASK_MEMBERS = 100_000
 # Elements of a comparison held at once.
 MATRIX = 1 << 21
 
@@ -52,29 +55,36 @@ def majority_bits(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.int64)[0])
 
 
+def remixed(hashes: np.ndarray) -> np.ndarray:
+    """Hashes whose bits say nothing about the given ones: a second draw without hashing again."""
+    mixed = hashes * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
+    return mixed ^ (mixed >> np.uint64(29))
+
+
 def fingerprints(
-    docs: DataFrame, text: str = "text", width: int = 3, seeds: tuple[int, ...] = (SEED,)
+    docs: DataFrame, text: str = "text", width: int = 3, second: bool = False
 ) -> DataFrame:
-    """Input rows with ``fingerprint`` and, for further seeds, ``fingerprint2`` and so on, and
-    ``n_shingles``. Columns of those names are replaced. A null text counts as empty."""
-    names = ["fingerprint", *[f"fingerprint{i}" for i in range(2, len(seeds) + 1)]]
+    """Input rows with ``fingerprint`` (a long), ``n_shingles``, and with ``second`` also a
+    fingerprint of remixed hashes, ``second``. Columns of those names are replaced. A null text
+    counts as empty."""
+    names = ["fingerprint", "n_shingles", *(["second"] if second else [])]
 
-    @F.pandas_udf(", ".join(f"{n} long" for n in [*names, "n_shingles"]))
+    @F.pandas_udf(", ".join(f"{n} long" for n in names))
     def measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        mixers = [np.uint64(s * 2 + 1) for s in seeds]
         for batch in batches:
             rows = []
             for body in batch:
-                hashes = shingle_hashes(body or "", width, seeds[0])
-                # Further fingerprints remix the hashes by an odd factor and a shift.
-                rest = [h ^ (h >> np.uint64(29)) for h in (hashes * m for m in mixers[1:])]
-                rows.append((*map(majority_bits, (hashes, *rest)), len(hashes)))
-            yield pd.DataFrame(rows, columns=[*names, "n_shingles"])
+                hashes = shingle_hashes(body or "", width)
+                row = (majority_bits(hashes), len(hashes))
+                rows.append((*row, majority_bits(remixed(hashes))) if second else row)
+            yield pd.DataFrame(rows, columns=names)
 
-    base = docs.drop(*names, "n_shingles")
+    base = docs.drop(*names)
     made = free_name(base.columns, "_made")
     return base.withColumn(made, measured(F.col(text))).select(
-        *base.columns, *[F.col(f"{made}.{n}").alias(n) for n in (*names, "n_shingles")]
+        *base.columns, *[F.col(f"{made}.{n}").alias(n) for n in names]
     )
 
 
@@ -193,6 +203,20 @@ def _cell_forest(cell: pd.DataFrame, threshold: int, check: int | None) -> pd.Da
     return pd.DataFrame({"a": node[first_row[linked]], "b": node[first_row[labels[linked]]]})
 
 
+def _forests(part: pd.DataFrame, threshold: int, check: int | None) -> pd.DataFrame:
+    """The links of all cells of a task."""
+    part = part.sort_values("cell", kind="stable", ignore_index=True)
+    cells = part["cell"].to_numpy()
+    cuts = np.flatnonzero(np.diff(cells)) + 1
+    found = []
+    for start, end in zip([0, *cuts], [*cuts, len(cells)]):
+        if end - start > 2:  # one fingerprint alone is its own guest
+            links = _cell_forest(part.iloc[start:end], threshold, check)
+            if len(links):
+                found.append(links)
+    return pd.concat(found) if found else pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+
+
 def near_links(prints: DataFrame, threshold: int, check: int | None = None) -> DataFrame:
     """``a, b``: links between nodes whose fingerprints differ in at most ``threshold`` bits, one
     for each member of a compared block at most, so that exactly the true links' components come
@@ -230,14 +254,17 @@ def near_links(prints: DataFrame, threshold: int, check: int | None = None) -> D
         .mapInPandas(counted, "cell long, hosts long, guests long")
         .groupBy("cell")
         .agg(F.sum("hosts").alias("hosts"), F.sum("guests").alias("guests"))
-        .filter((F.col("hosts") > HOME_BLOCK) | (F.col("guests") > VISITOR_BLOCK))
+        .collect()
     )
     split = spark.sparkContext.broadcast(
         {
             r["cell"]: (-(-r["hosts"] // HOME_BLOCK) or 1, -(-r["guests"] // VISITOR_BLOCK))
-            for r in counts.collect()
+            for r in counts
+            if r["hosts"] > HOME_BLOCK or r["guests"] > VISITOR_BLOCK
         }
     )
+    # Cells that share a task, so that a task has enough to do however thin the cells are.
+    tasks = min(cover.parts << cover.length, sum(r["guests"] for r in counts) // TASK_MEMBERS + 64)
 
     def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         size = 1 << cover.length
@@ -269,16 +296,16 @@ def near_links(prints: DataFrame, threshold: int, check: int | None = None) -> D
                     order = np.concatenate([np.flatnonzero(keep), again])
                     block = np.concatenate([block[keep], blocks])
                     place, cells, home = place[order], cells[order], home[order]
-                out = {"cell": cells, "block": block, "home": home, "node": nodes[place]}
+                out = {"task": cells % tasks, "block": block, "cell": cells, "home": home, "node": nodes[place]}
                 out |= {"fingerprint": values[place]}
                 out |= {c: batch[c].to_numpy(np.int64)[place] for c in extra}
                 yield pd.DataFrame(out)
 
-    fields = "cell long, block long, home boolean, node long, fingerprint long"
+    fields = "task long, block long, cell long, home boolean, node long, fingerprint long"
     fields += "".join(f", {c} long" for c in extra)
     members = prints.select("node", "fingerprint", *extra).mapInPandas(dealt, fields)
-    return members.groupBy("cell", "block").applyInPandas(
-        lambda cell: _cell_forest(cell, threshold, check), "a long, b long"
+    return members.groupBy("task", "block").applyInPandas(
+        lambda part: _forests(part, threshold, check), "a long, b long"
     )
 
 
@@ -293,8 +320,9 @@ def link_fingerprints(
     and never name a component that has another key. Repeated rows stay.
     """
     rows = stage(
-        fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", width)
-        .select("key", "fingerprint"),
+        fingerprints(
+            docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", width
+        ).select("key", "fingerprint"),
         "fingerprints",
     )
     nodes = rows.groupBy("fingerprint").agg(F.min("key").alias("least"))
@@ -310,6 +338,149 @@ def link_fingerprints(
     )
 
 
+# near duplicates ---------------------------------------------------------------------------
+
+# Candidates differ in at most so many bits of the fingerprint and of the second one. Texts whose
+# five-word shingles are 0.8 alike differ in 7 of 64 bits of their three-word fingerprints on
+# average; the bounds leave about two deviations more.
+CANDIDATE_BITS = 11
+SECOND_BITS = 15
+SIMILARITY = 0.8
+SHINGLE = 5
+# Texts of a candidate group that one task holds; larger groups are compared block by block.
+GROUP_BLOCK = 768
+
+
+def normal_text(text: Column) -> Column:
+    """The words with A-Z lower-cased, joined by single blanks."""
+    lowered = F.translate(F.coalesce(text, F.lit("")), _UPPER, _UPPER.lower())
+    return F.array_join(F.array_remove(F.split(lowered, BLANK + "+"), ""), " ")
+
+
+def _verified(group: pd.DataFrame, min_similarity: float) -> pd.DataFrame:
+    """Links that connect the texts of a block pair whose shingle sets are similar enough."""
+    group = group.drop_duplicates("node").sort_values("node", ignore_index=True)
+    sets = [set(shingle_hashes(text, SHINGLE).tolist()) for text in group["text"]]
+    node = group["node"].to_numpy(np.int64)
+    prints, second = (group[c].to_numpy(np.int64) for c in ("fingerprint", "second"))
+    parent = list(range(len(node)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    links = []
+    for i in range(len(node) - 1):
+        near = np.bitwise_count(prints[i] ^ prints[i + 1 :]) <= CANDIDATE_BITS
+        near &= np.bitwise_count(second[i] ^ second[i + 1 :]) <= SECOND_BITS
+        for j in (np.flatnonzero(near) + i + 1).tolist():
+            a, b = root(i), root(j)
+            if a == b:
+                continue
+            both = len(sets[i] & sets[j])
+            if both >= min_similarity * (len(sets[i]) + len(sets[j]) - both):
+                parent[max(a, b)] = min(a, b)
+                links.append((node[i], node[j]))
+    return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
+
+
+def near_duplicate_groups(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", min_similarity: float = SIMILARITY
+) -> DataFrame:
+    """``doc, node, root``: every document's text class and its group of near duplicates.
+
+    Texts equal in their words are one class. Classes whose three-word fingerprints meet at an
+    anchor become candidates; the candidates' connected groups are then checked exactly: two texts
+    are linked if the sets of their five-word shingles have a Jaccard similarity of at least
+    ``min_similarity``. Groups of any size are compared in pairs of bounded blocks, and only
+    connecting links leave a task.
+    """
+    rows = docs.select(row_key(docs, key).alias("doc"), F.col(text).alias("text")).withColumn(
+        "node", F.xxhash64(normal_text(F.col("text")))
+    )
+    marked = fingerprints(rows, "text", 3, second=True)
+    prints = stage(marked.select("doc", "node", "fingerprint", "second", "n_shingles"), "near-prints")
+    nodes = stage(
+        prints.groupBy("node").agg(
+            F.first("fingerprint").alias("fingerprint"),
+            F.first("second").alias("second"),
+            F.first("n_shingles").alias("size"),
+            F.min("doc").alias("doc"),
+        ),
+        "near-nodes",
+    )
+    links = near_links(nodes.filter("size > 0"), CANDIDATE_BITS, SECOND_BITS)
+    candidates = component_roots(links)
+    sizes = candidates.groupBy("root").agg(F.count("*").alias("n"))
+    blocks = F.ceil(F.col("n") / GROUP_BLOCK).cast("int")
+    wanted = stage(
+        candidates.join(sizes, "root")
+        .join(nodes, "node")
+        .select("node", "root", "fingerprint", "second", "doc", blocks.alias("blocks")),
+        "near-wanted",
+    )
+    # One text per class: that of its least document (of several rows equal in all, any).
+    texts = rows.select("doc", "text").join(
+        bounded_broadcast(wanted), "doc"
+    )
+    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
+    dealt = (
+        texts.withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "root",
+            F.least("own", "other").alias("lo"),
+            F.greatest("own", "other").alias("hi"),
+            "node",
+            "fingerprint",
+            "second",
+            "text",
+        )
+    )
+    verified = dealt.groupBy("root", "lo", "hi").applyInPandas(
+        lambda group: _verified(group, min_similarity), "a long, b long"
+    )
+    roots = component_roots(verified)
+    return prints.select("doc", "node").join(roots, "node", "left").select(
+        "doc", "node", F.coalesce("root", "node").alias("root")
+    )
+
+
+def row_key(docs: DataFrame, key: str) -> Column:
+    """What tells rows apart and orders them: the key (null last) and a hash of all columns."""
+    return F.struct(
+        F.col(key).isNull().alias("no_key"),
+        F.col(key).alias("key"),
+        F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", min_similarity: float = SIMILARITY
+) -> DataFrame:
+    """One row of each group of near duplicates: that with the least key (null last).
+
+    Groups are the components of links between texts at least ``min_similarity`` alike in their
+    five-word shingles. Texts without words, null ones included, are equal and make one group.
+    Rows equal in every column stand for one another: one of them stays. Columns are unchanged.
+    """
+    groups = stage(near_duplicate_groups(docs, key, text, min_similarity), "near-groups")
+    counted = groups.groupBy("root", "doc").agg(F.count("*").alias("n"))
+    best = counted.groupBy("root").agg(F.min(F.struct("doc", "n")).alias("best"))
+    best = stage(best.select("root", "best.doc", "best.n"), "near-best")
+    losers = counted.join(best.select("doc"), "doc", "left_anti").select("doc")
+    repeated = best.filter("n > 1").select("doc")
+    own = free_name(docs.columns, "_row")
+    keyed = docs.withColumn(own, row_key(docs, key))
+    same = F.col(own).eqNullSafe(F.col("doc"))
+    kept = keyed.join(bounded_broadcast(stage(losers, "near-losers")), same, "left_anti")
+    once = kept.join(bounded_broadcast(repeated), same, "left_anti")
+    twice = kept.join(bounded_broadcast(repeated), same, "left_semi").dropDuplicates([own])
+    return once.unionByName(twice).select(*docs.columns)
+
+
 def op7_simhash(spark, sf_dir):
     """Fingerprint and component of every document."""
     docs = table(session(spark), sf_dir, "documents")
