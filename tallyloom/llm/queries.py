@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallyloom.llm.bpe import op10_bpe
 from tallyloom.llm.covertree import op1_covertree
+from tallyloom.llm.katz import op3_katz
 from tallyloom.llm.lines import OP2_SQL, op2_lines
 from tallyloom.llm.mixing import OP9_SQL, op9_mixing
 from tallyloom.llm.quality import op8_quality
@@ -17,6 +18,7 @@ QUERIES = {
     for f in (
         op1_covertree,
         op2_lines,
+        op3_katz,
         op4_sharding,
         op5_urls,
         op6_spans,
