@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import hash60, word_count
+from tallyloom.llm.common import free_name, hash60, session, table, word_count
 from tallyloom.session import bounded_broadcast, drop_staged, stage
 
 HASH_BITS = 60
 LEVEL_BITS = 12
 
+_ADDED = ("size", "source_size", "target", "repeats")
+
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame:
     """``source, source_size, target`` from ``source, source_size``.
@@ -118,7 +120,7 @@ def mix_sources(
     together. Null is a source of its own. Columns of the input named like the added ones are
     replaced. An empty input gives an empty result.
     """
-    added = ("size", "source_size", "target", "repeats")
+    added = _ADDED
     base = docs.drop(*added)
     sized = base.withColumn("size", word_count(F.col(text)))
     h = hash60(F.col(key), seed)
@@ -143,36 +145,40 @@ def mix_sources(
         drop_staged(state)
         state = following
     drop_staged(rows)
+    own, place, fills, ends = (
+        free_name([*base.columns, *added], n) for n in ("_source", "_h", "_fills", "_ends")
+    )
     bounds = state.select(
-        F.col("source").alias("_source"),
+        F.col("source").alias(own),
         "source_size",
         "target",
-        F.col("fills").alias("_fills"),
-        F.coalesce("prefix", "ends").alias("_ends"),
+        F.col("fills").alias(fills),
+        F.coalesce("prefix", "ends").alias(ends),
     )
     return (
-        sized.withColumn("_h", h)
-        .join(
-            bounded_broadcast(bounds),
-            sized[source].cast("string").eqNullSafe(bounds["_source"]),
-        )
-        .withColumn("repeats", F.col("_fills") + (F.col("_h") < F.col("_ends")).cast("long"))
+        sized.withColumn(place, h)
+        .join(bounded_broadcast(bounds), F.col(source).cast("string").eqNullSafe(F.col(own)))
+        .withColumn("repeats", F.col(fills) + (F.col(place) < F.col(ends)).cast("long"))
         .select(*base.columns, *added)
     )
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every row as often as ``mix_sources`` takes it, with the input's columns."""
-    mixed = mix_sources(docs, **options)
-    kept = [c for c in docs.columns if c in mixed.columns]
+    # Columns that the operator would replace pass it under another name.
+    safe = {c: f"given_{i}" for i, c in enumerate(docs.columns) if c in _ADDED}
+    mixed = mix_sources(docs.withColumnsRenamed(safe), **options)
+    copy = free_name(mixed.columns, "_copy")
     again = F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))
-    return mixed.filter(F.col("repeats") > 0).select(*kept, again.alias("_copy")).drop("_copy")
+    return (
+        mixed.filter(F.col("repeats") > 0)
+        .withColumn(copy, again)
+        .select(*[F.col(safe.get(c, c)).alias(c) for c in docs.columns])
+    )
 
 
 def op9_mixing(spark, sf_dir):
     """All documents mixed to the weights 5, 2, 1 under a cap of three times a source's size."""
-    from tallyloom.llm.common import session, table
-
     docs = table(session(spark), sf_dir, "documents")
     return mix_sources(docs).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken")

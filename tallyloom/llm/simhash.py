@@ -472,12 +472,14 @@ def drop_near_duplicates(
     best = stage(best.select("root", "best.doc", "best.n"), "near-best")
     losers = counted.join(best.select("doc"), "doc", "left_anti").select("doc")
     repeated = best.filter("n > 1").select("doc")
-    own = free_name(docs.columns, "_row")
+    own, other = free_name(docs.columns, "_row"), free_name(docs.columns, "_other")
     keyed = docs.withColumn(own, row_key(docs, key))
-    same = F.col(own).eqNullSafe(F.col("doc"))
-    kept = keyed.join(bounded_broadcast(stage(losers, "near-losers")), same, "left_anti")
-    once = kept.join(bounded_broadcast(repeated), same, "left_anti")
-    twice = kept.join(bounded_broadcast(repeated), same, "left_semi").dropDuplicates([own])
+    losers = bounded_broadcast(stage(losers.withColumnRenamed("doc", other), "near-losers"))
+    repeated = bounded_broadcast(repeated.withColumnRenamed("doc", other))
+    same = F.col(own).eqNullSafe(F.col(other))
+    kept = keyed.join(losers, same, "left_anti")
+    once = kept.join(repeated, same, "left_anti")
+    twice = kept.join(repeated, same, "left_semi").dropDuplicates([own])
     return once.unionByName(twice).select(*docs.columns)
 
 
