@@ -17,3 +17,22 @@ def fit_kmeans(
         k=k, seed=seed, featuresCol="_features", predictionCol="cluster"
     ).fit(vectors)
     return model, model.transform(vectors).drop("_features")
+
+
+def squared_distances(model: KMeansModel, features: Column) -> Column:
+    """Squared distances of a vector to every centre, in cluster order."""
+    vector = features.cast("array<double>")
+    return F.array(
+        *[
+            F.aggregate(
+                F.zip_with(
+                    vector,
+                    F.array(*[F.lit(float(x)) for x in centre]),
+                    lambda a, b: (a - b) * (a - b),
+                ),
+                F.lit(0.0),
+                lambda total, part: total + part,
+            )
+            for centre in model.clusterCenters()
+        ]
+    )

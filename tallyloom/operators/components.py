@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,32 +36,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(own).filter(F.col("u") > F.col("v")).distinct()
 
 
-def _unsettled(edges: DataFrame) -> DataFrame:
-    """Nodes that keep the edges from being stars: children of several parents, and parents that
-    hang on another node."""
-    no, yes = F.lit(0), F.lit(1)
-    ends = edges.select(
-        F.col("u").alias("node"), yes.alias("child"), no.alias("parent")
-    ).unionByName(edges.select(F.col("v").alias("node"), no.alias("child"), yes.alias("parent")))
-    roles = ends.groupBy("node").agg(
-        F.sum("child").alias("parents"), F.max("parent").alias("is_parent")
-    )
-    return roles.filter(
-        (F.col("parents") > 1) | ((F.col("parents") > 0) & (F.col("is_parent") == 1))
-    ).select("node")
-
-
-def _marked(edges: DataFrame, unsettled: DataFrame) -> DataFrame:
-    """Edges with ``active``: whether the parent still has an unsettled node at or around it.
-
-    The other parents are roots of finished stars, with all their edges.
-    """
-    around = edges.join(unsettled.withColumnRenamed("node", "u"), "u", "left_semi").select("v")
-    parents = around.unionByName(unsettled.select(F.col("node").alias("v"))).distinct()
-    flagged = parents.withColumn("active", F.lit(True))
-    return edges.join(flagged, "v", "left").select(
-        "u", "v", F.coalesce("active", F.lit(False)).alias("active")
-    )
+def _summary(edges: DataFrame) -> tuple:
+    """What two equal edge tables have in common, and practically no others: one aggregation."""
+    h = F.xxhash64("u", "v")
+    found = edges.agg(
+        F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 24)).alias("s")
+    ).first()
+    return tuple(found)
 
 
 def component_roots(edges: DataFrame) -> DataFrame:
@@ -71,36 +50,30 @@ def component_roots(edges: DataFrame) -> DataFrame:
 
     The root is the least node of the component and is its own root. Alternates the large-star and
     small-star steps of Kiveris et al. (2014), which need a number of rounds logarithmic in the
-    component size in practice, until the edges form stars. Stars leave the search when they are
-    finished, so later rounds only touch what is still tangled. Each round is a written table.
+    component size in practice, until a round changes nothing, that is, until the edges form stars.
+    The input is computed once, each round is one written table, and superseded ones are deleted.
     """
-    start = (
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .filter(F.col("u") != F.col("v"))
-        .distinct()
-    )
-    nodes = (
-        edges.select(F.col("a").alias("node"))
-        .unionByName(edges.select(F.col("b").alias("node")))
-        .distinct()
+    given = stage(
+        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
+        "links",
     )
-    current = stage(start, "edges")
-    finished = []
+    current, summary = None, None
     while True:
-        unsettled = stage(_unsettled(current), "unsettled")
-        if unsettled.isEmpty():
-            finished.append(current)
+        start = given.filter(F.col("u") != F.col("v")) if current is None else current
+        following = stage(_small_star(_large_star(start)), "edges")
+        if current is not None:
+            drop_staged(current)
+        current, before, summary = following, summary, _summary(following)
+        if summary == before or summary[0] == 0:
             break
-        marked = stage(_marked(current, unsettled), "marked")
-        finished.append(marked.filter(~F.col("active")).select("u", "v"))
-        active = marked.filter("active").select("u", "v")
-        following = stage(_small_star(_large_star(active)), "edges")
-        drop_staged(current)
-        drop_staged(unsettled)
-        current = following
-    stars = functools.reduce(DataFrame.unionByName, finished)
-    parents = stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    roots = nodes.join(parents, "node", "left").select(
-        "node", F.coalesce("root", "node").alias("root")
+    nodes = given.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    parents = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    roots = stage(
+        nodes.join(parents, "node", "left").select(
+            "node", F.coalesce("root", "node").alias("root")
+        ),
+        "roots",
     )
-    return stage(roots, "roots")
+    drop_staged(given)
+    drop_staged(current)
+    return roots

@@ -9,7 +9,7 @@ from tallyloom.functions.keys import app_device_key, device_hash
 from tallyloom.functions.times import iso_utc
 from tallyloom.operators.components import component_roots
 from tallyloom.operators.latest import latest_rows
-from tallyloom.session import stage
+from tallyloom.session import bounded_broadcast, drop_staged, stage
 
 _PAIR = ["imei", "mac"]
 
@@ -29,10 +29,15 @@ def _nodes(df: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def _stored_by(stored: DataFrame, column: str) -> DataFrame:
-    """The device stored under each identifier; of several, the one seen first."""
+def _stored_by(stored: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
+    """The device stored under each identifier of the batch; of several, the one seen first.
+
+    The stored side is reduced to the batch's identifiers before anything of it is exchanged, as
+    long as they measure small enough to be sent along.
+    """
+    wanted = pairs.filter(F.col(column).isNotNull()).select(column).distinct()
     return (
-        stored.filter(F.col(column).isNotNull())
+        stored.join(bounded_broadcast(wanted), column, "left_semi")
         .groupBy(column)
         .agg(F.min(F.struct("first_time", "device_id")).alias(f"_{column}"))
     )
@@ -50,13 +55,14 @@ def resolve_devices(rows: DataFrame, stored: DataFrame) -> DataFrame:
     The answer does not depend on row order. It can join chains that a row-by-row lookup with a
     lag would have kept apart. A pair with neither identifier has no device.
     """
-    pairs = rows.groupBy(*_PAIR).agg(F.min("timestamp").alias("since"))
+    pairs = stage(rows.groupBy(*_PAIR).agg(F.min("timestamp").alias("since")), "pairs")
     known = (
-        pairs.join(_stored_by(stored, "imei"), "imei", "left")
-        .join(_stored_by(stored, "mac"), "mac", "left")
+        pairs.join(_stored_by(stored, pairs, "imei"), "imei", "left")
+        .join(_stored_by(stored, pairs, "mac"), "mac", "left")
         .select(*_PAIR, "since", F.coalesce("_imei", "_mac").alias("device"))
     )
-    known = stage(known, "pairs")
+    known = stage(known, "known-pairs")
+    drop_staged(pairs)
     resolved = known.filter(F.col("device").isNotNull())
     open_pairs = known.filter(
         F.col("device").isNull() & (F.col("imei").isNotNull() | F.col("mac").isNotNull())

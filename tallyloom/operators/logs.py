@@ -13,8 +13,8 @@ ENVELOPE_SEPARATOR = "[|]"
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Lines (column ``value``) as ``timestamp, ip, us, se`` and the corrupt-record text.
 
-    A line that is no log record is kept whole in the corrupt column: broken JSON, a missing part,
-    or a timestamp that is no number. Naming the corrupt column as a parser option also keeps the
+    A line that is no log record is kept whole in the corrupt column: broken JSON, a missing part
+    (also a record without its ``us``), or a timestamp that is no number. Naming the corrupt column as a parser option also keeps the
     optimizer from narrowing the JSON schema, which would let half-read records pass as good.
 
     Each line is parsed by a generator of exactly one row: filters on the result stay above it, so
@@ -41,6 +41,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     broken = (
         F.col("timestamp").isNull()
         | F.col("_r").isNull()
+        | F.col("_r.us").isNull()
         | F.col(f"_r.{CORRUPT}").isNotNull()
     )
     return parsed.select(

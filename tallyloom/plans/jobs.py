@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions.keys import app_device_key
 from tallyloom.operators import basics, devices, logs, ratings, stats
-from tallyloom.session import stage
+from tallyloom.session import scratch_scope, stage
 from tallyloom.sources import files, schemas
 from tallyloom.sources.keyed import KeyedTable
 
@@ -26,30 +27,55 @@ def channel_tables(spark: SparkSession, store: str) -> dict[str, KeyedTable]:
     }
 
 
-def channel_log(spark: SparkSession, path: str, store: str) -> dict[str, DataFrame]:
+def channel_log(
+    spark: SparkSession, path: str, store: str, batch: str | None = None
+) -> dict[str, DataFrame]:
     """Load log files: resolve devices, keep the three tables up to date, set aside bad lines.
 
-    Lines are parsed once. The counters are written last: everything before them can be repeated,
-    so a job that failed anywhere can simply be run again.
+    Lines are parsed once. Devices and app devices can be written again without harm, and the
+    counters of a ``batch`` (by default the path) are added once, however often the job is run; so
+    a job that failed anywhere can simply be run again. Only the parsed lines stay behind, for the
+    malformed rows that are returned.
     """
     tables = channel_tables(spark, store)
     parsed = stage(logs.parse_lines(files.read_lines(spark, path)), "parsed")
-    rows = (
-        logs.device_rows(logs.good_records(parsed))
-        .withColumnsRenamed({"im": "imei", "ai": "android_id"})
-        .withColumn("uuid", F.sha2(F.concat_ws("|", "imei", "mac", "timestamp", "ip"), 256))
-    )
-    known = tables["devices"].read()
-    resolved = stage(devices.resolve_devices(rows, known), "resolved")
-    attached = devices.attach_device(rows, resolved).withColumnsRenamed({"device_id": "deviceId"})
-    counted = stats.with_statistic_id(rows)
-    counters = tables["channel_statistics"]
-    return {
-        "malformed": logs.malformed(parsed),
-        "devices": tables["devices"].upsert(devices.device_table_update(rows, resolved)),
-        "app_devices": tables["app_devices"].upsert(devices.app_devices(attached)),
-        "channel_statistics": counters.upsert(stats.incremented(counted, counters.read())),
-    }
+    with scratch_scope(spark):
+        rows = (
+            logs.device_rows(logs.good_records(parsed))
+            .withColumnsRenamed({"im": "imei", "ai": "android_id"})
+            .withColumn("uuid", F.sha2(F.concat_ws("|", "imei", "mac", "timestamp", "ip"), 256))
+        )
+        known = tables["devices"].read()
+        resolved = stage(devices.resolve_devices(rows, known), "resolved")
+        attached = devices.attach_device(rows, resolved)
+        attached = attached.withColumnsRenamed({"device_id": "deviceId"})
+        counted = stats.increments(stats.with_statistic_id(rows))
+        return {
+            "malformed": logs.malformed(parsed),
+            "devices": tables["devices"].upsert(devices.device_table_update(rows, resolved)),
+            "app_devices": tables["app_devices"].upsert(devices.app_devices(attached)),
+            "channel_statistics": tables["channel_statistics"].add(counted, batch or path),
+        }
+
+
+def seed_new_devices(rows: DataFrame, apps: KeyedTable, statistics: KeyedTable) -> DataFrame:
+    """Insert the app devices that are missing, then seed the statistics of those alone.
+
+    ``rows`` are log rows with ``deviceId``. A statistic is seeded from the rows whose app device
+    was new, and only if it has no row yet. Returns the statistics.
+    """
+    with scratch_scope(apps.spark):
+        found = devices.app_devices(rows)
+        new = stage(found.join(apps.read().select("id"), "id", "left_anti"), "new-apps")
+        own = app_device_key(F.col("pn"), F.col("deviceId"))
+        named = rows.withColumn("_app", own).join(
+            new.select(F.col("id").alias("_app")).distinct(), "_app", "left_semi"
+        )
+        seeds = stage(stats.seeds(stats.with_statistic_id(named)), "seeds")
+        statistics.insert_missing(seeds)
+        # Last, so that a run that fails before it finds the same devices new again.
+        apps.insert_missing(new)
+        return statistics.read()
 
 
 def top_lists(spark: SparkSession, ratings_path: str, users_path: str) -> dict[str, DataFrame]:

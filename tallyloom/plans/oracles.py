@@ -1,6 +1,6 @@
 """DuckDB SQL for the registered queries, written against the given tables.
 
-``kmeans_fit`` has none: an iterative fit has no SQL form.
+``kmeans_fit`` states what holds for any sound fit: an iterative fit itself has no SQL form.
 """
 
 from __future__ import annotations
@@ -182,6 +182,12 @@ SELECT CAST(sum(CASE WHEN a * a + b * b > 0 THEN 1 ELSE 0 END) AS BIGINT) AS hit
 FROM (SELECT i % 7 * 2 - 6 AS a, i % 5 * 2 - 4 AS b
       FROM (SELECT unnest(range(1, (SELECT count(*) FROM lineitem) + 1)) AS i))
 """
+ORACLES["range_indicator"] = f"""
+SELECT r.hits, i.item_hits FROM ({ORACLES["range_indicator"]}) r, (
+  SELECT count(*) FILTER (WHERE l_linenumber * 2 - 6 <> 0
+                          OR CAST(trunc(l_quantity) AS BIGINT) % 5 * 2 - 4 <> 0) AS item_hits
+  FROM lineitem) i
+"""
 
 ORACLES["drop_column"] = """
 SELECT o_custkey || '@mail.test' AS author_email, md5(CAST(o_orderkey AS VARCHAR)) AS "commit",
@@ -401,11 +407,11 @@ SELECT id, n_orders, last_day, NULL FROM incoming WHERE id NOT IN (SELECT id FRO
 """
 
 ORACLES["keyed_scan"] = f"""
-WITH {ORDER_DOCS} SELECT last_day, id AS document_id FROM stored
+SELECT last_day, id AS document_id FROM ({ORACLES["keyed_upsert"]})
 """
 
 ORACLES["keyed_lookup"] = f"""
-WITH {ORDER_DOCS} SELECT id, n_orders, last_day, origin FROM stored WHERE id = '10#1-URGENT'
+SELECT id, n_orders, last_day, origin FROM ({ORACLES["keyed_upsert"]}) WHERE id = '10#1-URGENT'
 """
 
 ORACLES["keyed_append"] = """
@@ -525,6 +531,35 @@ SELECT id, {iso('"timestamp"')} AS "@timestamp", {iso('"timestamp"')} AS create_
 FROM first WHERE pn NOT IN ('app.click', 'app.view')
 """
 
+ORACLES["seed_new_devices"] = f"""
+WITH {LOG},
+identified AS (SELECT *, sha256(im || '|' || mac) AS device_id FROM good),
+early_apps AS ({_APP_DEVICE_BATCH.replace("CUT", "ms < epoch_ms(TIMESTAMP '2024-01-15')")}),
+late_apps AS ({_APP_DEVICE_BATCH.replace("CUT", "ms >= epoch_ms(TIMESTAMP '2024-01-15')")}),
+named AS (
+  SELECT k.*, k.pn || '#' || sha256(k.im || '|' || k.mac) AS app,
+         k."timestamp" >= epoch_ms(TIMESTAMP '2024-01-15') AS late FROM keyed k),
+seeding AS (
+  SELECT * FROM named WHERE NOT late AND app IN (SELECT id FROM early_apps)
+  UNION ALL
+  SELECT * FROM named WHERE late AND app IN (SELECT id FROM late_apps)
+    AND app NOT IN (SELECT id FROM early_apps)),
+first AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY id ORDER BY late, "timestamp", appkey, ch NULLS FIRST, c NULLS FIRST, pn) AS rn
+    FROM seeding) WHERE rn = 1)
+SELECT id, {iso('"timestamp"')} AS "@timestamp", {iso('"timestamp"')} AS create_time,
+       appkey AS app_id, appkey AS app_key, ch AS channel, c AS country, pn AS pkg_name,
+       CAST(0 AS BIGINT) AS actives, CAST(0 AS BIGINT) AS "day", CAST(0 AS BIGINT) AS keep1,
+       CAST(0 AS BIGINT) AS keep3, CAST(0 AS BIGINT) AS keep7, CAST(0 AS BIGINT) AS keep30,
+       CAST(0 AS FLOAT) AS "startAvg", CAST(0 AS FLOAT) AS "keep1Ratio",
+       CAST(0 AS FLOAT) AS "keep3Ratio", CAST(0 AS FLOAT) AS "keep7Ratio",
+       CAST(0 AS FLOAT) AS "keep30Ratio", CAST(1 AS BIGINT) AS news, CAST(1 AS BIGINT) AS starts,
+       '' AS agent, '' AS channel_id, '' AS source, '' AS "type"
+FROM first
+"""
+
 _NEWS = """
 firsts AS (
   SELECT event_type, device_id, min(ts) AS ts FROM visits GROUP BY event_type, device_id),
@@ -591,3 +626,9 @@ SELECT event_type, CAST(install_day AS VARCHAR) AS install_day, news, keep_1, ke
        CAST(CAST(keep_30 AS FLOAT) / CAST(news AS FLOAT) AS FLOAT) AS keep_30_ratio
 FROM kept
 """
+
+ORACLES["kmeans_fit"] = """
+SELECT count(*) AS vectors, CAST(max(len(embedding)) AS INTEGER) AS dimensions,
+       CAST(2 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS misplaced
+FROM embeddings
+"""

@@ -20,7 +20,7 @@ from tallyloom.operators import (
     ratings,
     stats,
 )
-from tallyloom.plans import views
+from tallyloom.plans import jobs, views
 from tallyloom.session import configure, new_folder, stage
 from tallyloom.sources import files, schemas
 from tallyloom.sources.keyed import KeyedTable, append_generated
@@ -195,11 +195,15 @@ def scan_vectors(spark, sf):
 
 @query
 def range_indicator(spark, sf):
-    """1..n over the number of line items: how many have a positive squared norm."""
-    n = views.table(spark, sf, "lineitem").count()
-    numbers_1_to_n = files.integer_range(spark, n)
+    """How many of 1..n, and how many of the n line items, have a positive squared norm."""
+    items = views.table(spark, sf, "lineitem")
+    numbers_1_to_n = files.integer_range(spark, items.count())
     a, b = F.col("id") % 7 * 2 - 6, F.col("id") % 5 * 2 - 4
-    return basics.positive_norms(numbers_1_to_n, a, b)
+    item_a = F.col("l_linenumber").cast("long") * 2 - 6
+    item_b = F.col("l_quantity").cast("long") % 5 * 2 - 4
+    ranged = basics.positive_norms(numbers_1_to_n, a, b)
+    counted = basics.positive_norms(items, item_a, item_b).withColumnRenamed("hits", "item_hits")
+    return ranged.withColumn("item_hits", counted.scalar())
 
 
 # projections and filters -------------------------------------------------------------------
@@ -522,7 +526,8 @@ def keyed_insert_missing(spark, sf):
 
 @query
 def keyed_scan(spark, sf):
-    table, _ = _order_table(spark, sf, "scan")
+    table, incoming = _order_table(spark, sf, "scan")
+    table.upsert(incoming)
     return table.scan("last_day", metadata=True).select(
         "last_day", F.element_at("_metadata", "_id").alias("document_id")
     )
@@ -530,7 +535,8 @@ def keyed_scan(spark, sf):
 
 @query
 def keyed_lookup(spark, sf):
-    table, _ = _order_table(spark, sf, "lookup")
+    table, incoming = _order_table(spark, sf, "lookup")
+    table.upsert(incoming)
     return table.lookup("10#1-URGENT")
 
 
@@ -599,8 +605,10 @@ def _stats_after(spark, sf, once: bool) -> DataFrame:
     )
     cut = views.cut_millis()
     early, late = rows.filter(F.col("timestamp") < cut), rows.filter(F.col("timestamp") >= cut)
-    table.upsert(stats.incremented(early, table.read(), once))
-    return table.upsert(stats.incremented(late, table.read(), once)).select("id", "news", "starts")
+    table.add(stats.increments(early, once), batch="early")
+    table.add(stats.increments(late, once), batch="late")
+    # A repeated batch changes nothing.
+    return table.add(stats.increments(late, once), batch="late").select("id", "news", "starts")
 
 
 @query
@@ -626,6 +634,20 @@ def stats_seed(spark, sf):
     return stats.new_seeds(rows, table.read())
 
 
+@query
+def seed_new_devices(spark, sf):
+    """Statistics after two batches that seed them for newly inserted app devices only."""
+    rows = stage(_identified_rows(spark, sf), "identified")
+    apps = KeyedTable(spark, "new_apps", schemas.APP_DEVICES, new_folder(spark, "new-apps"))
+    table = KeyedTable(
+        spark, "new_statistics", schemas.CHANNEL_STATISTICS, new_folder(spark, "new-statistics")
+    )
+    cut = views.cut_millis()
+    jobs.seed_new_devices(rows.filter(F.col("timestamp") < cut), apps, table)
+    late = rows.filter(F.col("timestamp") >= cut)
+    return jobs.seed_new_devices(late, apps, table).drop("total")
+
+
 def _visits(spark, sf) -> DataFrame:
     return views.table(spark, sf, "events").select(
         F.col("user_id").alias("device_id"), "event_type", "ts"
@@ -673,6 +695,17 @@ def retention(spark, sf):
 
 @query
 def kmeans_fit(spark, sf):
-    """Two clusters over the embeddings; vectors per cluster."""
-    _, clustered = clusters.fit_kmeans(_vector_files(spark, sf), F.col("features"), k=2, seed=7)
-    return clustered.groupBy("cluster").agg(F.count("*").alias("n"))
+    """Two clusters over the embeddings, by what holds for any sound fit: all vectors are placed,
+    both clusters are used, and no vector lies nearer to the other centre (squared distances that
+    differ by less than a millionth count as equal)."""
+    vectors = _vector_files(spark, sf)
+    model, clustered = clusters.fit_kmeans(vectors, F.col("features"), k=2, seed=7)
+    distances = clusters.squared_distances(model, F.col("features"))
+    own = F.element_at(distances, F.col("cluster") + 1)
+    nearest = F.array_min(distances)
+    return clustered.agg(
+        F.count("*").alias("vectors"),
+        F.max(F.size("features")).alias("dimensions"),
+        F.count_distinct("cluster").alias("clusters"),
+        F.count_if(own > nearest + (nearest + 1) * 1e-6).alias("misplaced"),
+    )

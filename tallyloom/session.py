@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import contextvars
+import shutil
 import tempfile
 import uuid
 
@@ -32,6 +36,7 @@ def scratch_root(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="tallyloom-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/tallyloom"
 
@@ -41,24 +46,55 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# The staged tables of the innermost open scope, if there is one.
+_scope: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scope", default=None)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the scratch area and return the written table.
 
     Cuts the lineage: what follows restarts from the files when an executor is lost, and a table
-    used several times is computed once.
+    used several times is computed once. The table belongs to the scope around it (see
+    ``scratch_scope``); without one it stays until ``drop_staged`` or the cluster's own clean-up.
     """
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged._staged_path = path
+    owned = _scope.get()
+    if owned is not None:
+        owned.append(path)
+    return staged
+
+
+def _delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_staged(staged: DataFrame) -> None:
-    """Delete the files of a staged table that nothing reads any more."""
-    spark = staged.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
-        if folder.rsplit("/", 2)[-2] == scratch_root(spark).rsplit("/", 1)[-1]:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete the files of a table that ``stage`` returned and that nothing reads any more."""
+    path = getattr(staged, "_staged_path", None)
+    if path is None:
+        raise ValueError("only a table that stage() returned can be dropped")
+    _delete_folder(staged.sparkSession, path)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Own every table staged inside: all are deleted at the end, whether or not the work failed.
+
+    For work that leaves its result elsewhere, such as a keyed table. A DataFrame that still reads
+    a staged table must not leave the scope.
+    """
+    owned: list[str] = []
+    token = _scope.set(owned)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in owned:
+            _delete_folder(spark, path)
 
 
 def measured_bytes(df: DataFrame) -> int:

@@ -1,9 +1,9 @@
 """Keyed document tables: snapshots bucketed by key behind a named view.
 
 A table is a folder of snapshots ``v=1.buckets=64, v=2.buckets=64, ...``. A change reads the
-current snapshot and writes the next one, so no reader ever sees half a change and a failed job
-leaves the old snapshot in place. The view called like the table always shows the newest complete
-snapshot.
+current snapshot, writes the next one, and then publishes it with a manifest, so no reader ever
+sees half a change and a failed job leaves the old snapshot in place. The view called like the
+table always shows the published snapshot. Markers of the output committer play no part.
 
 Snapshots are bucketed by key. A merge is one full outer join on the key in which only the incoming
 rows are exchanged: each task streams one stored bucket past its share of them and writes one file.
@@ -12,19 +12,26 @@ The number of buckets follows the size of the table.
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.session import BROADCAST_LIMIT, drop_staged, measured_bytes, stage
+from tallyloom.functions.numbers import add_counts
+from tallyloom.session import BROADCAST_LIMIT, measured_bytes, scratch_scope, stage
 from tallyloom.sources.files import as_schema
 
 # Stored bytes one bucket is planned for.
 BUCKET_BYTES = 128 * 1024 * 1024
 
+# Names of snapshot folders and manifests.
+SNAPSHOT = r"v=(\d+)\.buckets=\d+"
+MANIFEST = r"manifest-(\d+)\.json"
+
 
 class KeyedTable:
     def __init__(
@@ -57,32 +64,64 @@ class KeyedTable:
         fs, path = self._file_system(folder)
         return fs.getContentSummary(path).getLength()
 
-    def _snapshots(self) -> list[tuple[int, int, bool]]:
-        """``version, buckets, complete`` of every snapshot folder, in order."""
+    def _listed(self, pattern: str) -> list[tuple[int, str]]:
+        """Number and name of what the folder holds under a name like ``pattern``, in order."""
         fs, path = self._file_system(self.folder)
-        found = []
-        for status in fs.listStatus(path) if fs.exists(path) else []:
-            name = re.fullmatch(r"v=(\d+)\.buckets=(\d+)", status.getPath().getName())
-            if name:
-                done = self.spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-                found.append((int(name[1]), int(name[2]), fs.exists(done)))
-        return sorted(found)
+        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        found = [(re.fullmatch(pattern, n), n) for n in names]
+        return sorted((int(match[1]), name) for match, name in found if match)
+
+    def _manifest(self) -> dict | None:
+        """The newest manifest: version and buckets of the current snapshot, and applied batches.
+
+        None for a table that was never written. Snapshots without a manifest, or a manifest whose
+        snapshot is gone, are damage and raise: they are never taken for an empty table.
+        """
+        written = self._listed(MANIFEST)
+        if not written:
+            if self._listed(SNAPSHOT):
+                raise RuntimeError(f"{self.folder} holds snapshots but no manifest")
+            return None
+        fs, path = self._file_system(f"{self.folder}/{written[-1][1]}")
+        stream = fs.open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        manifest = json.loads(text)
+        if manifest["version"]:
+            fs, path = self._file_system(self._path(manifest["version"], manifest["buckets"]))
+            if not fs.exists(path):
+                raise RuntimeError(f"{self.folder} has lost snapshot {manifest['version']}")
+        return manifest
+
+    def _publish(self, version: int, buckets: int, batches: list[str]) -> None:
+        """Make a snapshot the current one: a manifest of its own, renamed into place when whole."""
+        text = json.dumps({"version": version, "buckets": buckets, "batches": batches})
+        fs, draft = self._file_system(f"{self.folder}/draft-{uuid.uuid4().hex}")
+        _, final = self._file_system(f"{self.folder}/manifest-{version:010d}.json")
+        stream = fs.create(draft)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        if not fs.rename(draft, final):
+            raise RuntimeError(f"another writer published version {version} of {self.folder}")
 
     def _current(self) -> tuple[int, int] | None:
-        """Version and buckets of the newest complete snapshot."""
-        complete = [(version, buckets) for version, buckets, done in self._snapshots() if done]
-        return complete[-1] if complete else None
+        """Version and buckets of the current snapshot."""
+        manifest = self._manifest()
+        if not manifest or not manifest["version"]:
+            return None
+        return manifest["version"], manifest["buckets"]
 
-    def _buckets_for(self, incoming: DataFrame) -> int:
+    def _buckets_for(self, incoming_bytes: int) -> int:
         """Buckets of the next snapshot: a power of two by stored size, never fewer than now."""
         if self.buckets:
             return self.buckets
         snapshot = self._current()
-        folders = {f.rsplit("/", 1)[0] for f in incoming.inputFiles()}
-        if snapshot:
-            folders.add(self._path(*snapshot))
-        needed = sum(self._stored_bytes(f) for f in folders) // BUCKET_BYTES
-        power = 1 << int(needed).bit_length()
+        stored = self._stored_bytes(self._path(*snapshot)) if snapshot else 0
+        power = 1 << int((stored + incoming_bytes) // BUCKET_BYTES).bit_length()
         limit = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
         return max(min(power, limit), snapshot[1] if snapshot else 1)
 
@@ -104,8 +143,13 @@ class KeyedTable:
         )
         return table
 
-    def _write_next(self, df: DataFrame, buckets: int) -> DataFrame:
-        version = max((v for v, _, _ in self._snapshots()), default=0) + 1
+    def _write_next(self, df: DataFrame, buckets: int, batch: str | None = None) -> DataFrame:
+        manifest = self._manifest()
+        if manifest is None:
+            # From now on a missing manifest is damage, also if this first write fails.
+            self._publish(0, 0, [])
+            manifest = {"version": 0, "buckets": 0, "batches": []}
+        version = max([v for v, _ in self._listed(SNAPSHOT)] + [manifest["version"]]) + 1
         (
             self._shaped(df)
             .write.format("parquet")
@@ -113,7 +157,26 @@ class KeyedTable:
             .option("path", self._path(version, buckets))
             .saveAsTable(self._table(version))
         )
-        return self.read()
+        self._publish(version, buckets, manifest["batches"] + ([batch] if batch else []))
+        following = self.read()
+        if manifest["version"]:
+            # The files stay for readers of the old snapshot; only its catalog entry goes.
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(manifest['version'])}")
+        return following
+
+    def expire(self, keep: int = 2) -> None:
+        """Delete all snapshots but the newest ``keep``, and leftovers of failed writes older than
+        the current one. Readers of a deleted snapshot fail."""
+        manifest = self._manifest()
+        if not manifest:
+            return
+        published = [v for v, _ in self._listed(MANIFEST) if v]
+        kept = set(published[-max(1, keep) :])
+        for pattern in (SNAPSHOT, MANIFEST):
+            for version, name in self._listed(pattern):
+                if version < manifest["version"] and version not in kept and version:
+                    fs, path = self._file_system(f"{self.folder}/{name}")
+                    fs.delete(path, True)
 
     def _shaped(self, df: DataFrame) -> DataFrame:
         """Rows with every column of the table, in its order; columns not given are null."""
@@ -151,15 +214,18 @@ class KeyedTable:
     # writing -----------------------------------------------------------------------------
 
     def one_per_key(self, incoming: DataFrame, order: str | None = None) -> DataFrame:
-        """One incoming row per key: the last by ``order``, then the greatest row."""
+        """One incoming row per key: the last by ``order``, then the greatest row. A null key is
+        refused with an error: no stored row could ever be found again under it."""
         rest = [c for c in incoming.columns if c != self.key]
         first = [F.col(order).alias("_order")] if order else []
         best = F.max(F.struct(*first, *[F.col(f"`{c}`") for c in rest])).alias("_row")
         picked = incoming.groupBy(self.key).agg(best)
-        return picked.select(self.key, *[F.col(f"_row.`{c}`").alias(c) for c in rest])
-
-    def _staged(self, incoming: DataFrame, order: str | None) -> DataFrame:
-        return stage(self.one_per_key(incoming, order), "incoming")
+        key = F.when(
+            F.col(self.key).isNull(), F.raise_error(F.lit(f"null key for table {self.name}"))
+        ).otherwise(F.col(self.key))
+        return picked.select(
+            key.alias(self.key), *[F.col(f"_row.`{c}`").alias(c) for c in rest]
+        )
 
     def _hashed(self, incoming: DataFrame, buckets: int) -> DataFrame:
         """Ask for a hash of the incoming rows of each bucket while their measured size is small;
@@ -167,39 +233,58 @@ class KeyedTable:
         small = measured_bytes(incoming) <= BROADCAST_LIMIT * buckets
         return incoming.hint("shuffle_hash") if small else incoming
 
-    def _merge(self, incoming: DataFrame, order: str | None, new_value) -> DataFrame:
+    def _merge(
+        self, incoming: DataFrame, order: str | None, new_value, batch: str | None = None
+    ) -> DataFrame:
         """Next snapshot from stored and incoming rows.
 
-        ``new_value(old, new)`` is what a column of a supplied row becomes; ``new`` is None
-        for a column that is not supplied.
+        ``new_value(old, new, stored)`` is what a column of a supplied row becomes; ``new`` is None
+        for a column that is not supplied, and ``stored`` tells whether the key was known. A
+        ``batch`` that was applied before changes nothing.
         """
-        incoming = self._staged(incoming, order)
-        buckets = self._buckets_for(incoming)
-        snapshot = self._current()
-        if not snapshot:
-            first = self._write_next(self._shaped(incoming).repartition(buckets, self.key), buckets)
-            drop_staged(incoming)
-            return first
-        names = [f.name for f in self.schema if f.name != self.key]
-        given = [n for n in names if n in incoming.columns]
-        tagged = incoming.select(
-            self.key, F.lit(True).alias("_hit"), *[F.col(f"`{n}`").alias(f"_new_{n}") for n in given]
-        )
-        merged = self.read().join(self._hashed(tagged, snapshot[1]), self.key, "full_outer")
-
-        def column(name: str):
-            old = F.col(f"`{name}`")
-            new = F.col(f"`_new_{name}`") if name in given else None
-            return F.when(F.col("_hit"), new_value(old, new)).otherwise(old).alias(name)
-
-        following = self._write_next(merged.select(self.key, *[column(n) for n in names]), buckets)
-        drop_staged(incoming)
-        return following
+        if batch is not None and batch in (self._manifest() or {"batches": []})["batches"]:
+            return self.read()
+        with scratch_scope(self.spark):
+            incoming = stage(self.one_per_key(incoming, order), "incoming")
+            buckets = self._buckets_for(self._stored_bytes(incoming._staged_path))
+            snapshot = self._current()
+            names = [f.name for f in self.schema if f.name != self.key]
+            given = [n for n in names if n in incoming.columns]
+            tagged = incoming.select(
+                self.key,
+                F.lit(True).alias("_hit"),
+                *[F.col(f"`{n}`").alias(f"_new_{n}") for n in given],
+            )
+            if not snapshot:
+                stored = self.spark.createDataFrame([], self.schema)
+            elif buckets > snapshot[1]:
+                # Too few buckets for the work: both sides are dealt over the new number.
+                stored = self.spark.read.schema(self.schema).parquet(self._path(*snapshot))
+            else:
+                stored = self.read()
+            if not snapshot or buckets > snapshot[1]:
+                stored = stored.repartition(buckets, self.key)
+                tagged = tagged.repartition(buckets, self.key)
+            merged = stored.withColumn("_stored", F.lit(True)).join(
+                self._hashed(tagged, buckets), self.key, "full_outer"
+            )
+            known = F.col("_stored").isNotNull()
+
+            def column(name: str):
+                old = F.col(f"`{name}`")
+                new = F.col(f"`_new_{name}`") if name in given else None
+                return (
+                    F.when(F.col("_hit"), new_value(old, new, known)).otherwise(old).alias(name)
+                )
+
+            return self._write_next(
+                merged.select(self.key, *[column(n) for n in names]), buckets, batch
+            )
 
     def replace(self, incoming: DataFrame, order: str | None = None) -> DataFrame:
         """Index by id: an incoming row takes the place of the whole stored row."""
         return self._merge(
-            incoming, order, lambda old, new: F.lit(None) if new is None else new
+            incoming, order, lambda old, new, stored: F.lit(None) if new is None else new
         )
 
     def upsert(
@@ -211,28 +296,33 @@ class KeyedTable:
         that does not write null fields would.
         """
 
-        def value(old, new):
+        def value(old, new, stored):
             if new is None:
                 return old
             return F.coalesce(new, old) if skip_nulls else new
 
         return self._merge(incoming, order, value)
 
+    def add(self, incoming: DataFrame, batch: str | None = None) -> DataFrame:
+        """Add the supplied counters to the stored ones, in one join; a missing value counts as 0.
+
+        ``incoming`` has one row per key. With ``batch`` a repeated call changes nothing, so a job
+        that failed after counting can be run again.
+        """
+        return self._merge(
+            incoming,
+            None,
+            lambda old, new, stored: old if new is None else add_counts(old, new),
+            batch,
+        )
+
     def insert_missing(self, incoming: DataFrame, order: str | None = None) -> DataFrame:
-        """Add the rows whose id is unknown; of the stored rows only the keys are read."""
-        snapshot = self._current()
-        if not snapshot:
-            return self._merge(incoming, order, None)
-        incoming = self._staged(incoming, order)
-        stored = self.read().select(self.key, F.lit(True).alias("_stored"))
-        added = stored.join(
-            self._hashed(incoming, snapshot[1]), self.key, "right_outer"
-        ).filter(F.col("_stored").isNull())
-        table = self._table(snapshot[0])
-        self._shaped(added).write.insertInto(table)
-        self.spark.catalog.refreshTable(table)
-        drop_staged(incoming)
-        return self.read()
+        """Add the rows whose id is unknown, as the next snapshot; stored rows stay as they are."""
+
+        def value(old, new, stored):
+            return F.when(stored, old).otherwise(F.lit(None) if new is None else new)
+
+        return self._merge(incoming, order, value)
 
 
 def append_generated(df: DataFrame, folder: str, id_column: str = "id") -> None:

@@ -11,18 +11,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyloom.operators import devices, logs, stats
-from tallyloom.session import stage
+from tallyloom.session import scratch_scope, stage
 from tallyloom.sources.keyed import KeyedTable
 
 
-def read_log_stream(
+def read_parsed_stream(
     spark: SparkSession, folder: str, max_files: int | None = None
 ) -> DataFrame:
-    """Good records of the log files in a folder, as a stream."""
+    """The parsed lines of the log files in a folder, good and bad, as a stream."""
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return logs.good_records(logs.parse_lines(reader.text(folder)))
+    return logs.parse_lines(reader.text(folder))
+
+
+def read_log_stream(
+    spark: SparkSession, folder: str, max_files: int | None = None
+) -> DataFrame:
+    """The good records alone; run ``keep_malformed`` next to it, or bad lines leave no trace."""
+    return logs.good_records(read_parsed_stream(spark, folder, max_files))
+
+
+def keep_malformed(parsed: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Write the bad lines, whole, as text files to a folder: each exactly once."""
+    bad = logs.malformed(parsed).toDF("value")
+    return (
+        bad.writeStream.format("text")
+        .option("path", folder)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def keep_statistics(records: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
@@ -57,13 +76,14 @@ def keep_devices(
         named = batch.withColumnsRenamed({"im": "imei", "ai": "android_id"}).withColumn(
             "uuid", F.sha2(F.concat_ws("|", "imei", "mac", "timestamp", "ip"), 256)
         )
-        named = stage(named, "batch")
-        resolved = stage(devices.resolve_devices(named, known.read()), "resolved")
-        attached = devices.attach_device(named, resolved).withColumnsRenamed(
-            {"device_id": "deviceId"}
-        )
-        apps.upsert(devices.app_devices(attached))
-        known.upsert(devices.device_table_update(named, resolved))
+        with scratch_scope(session):
+            named = stage(named, "batch")
+            resolved = stage(devices.resolve_devices(named, known.read()), "resolved")
+            attached = devices.attach_device(named, resolved).withColumnsRenamed(
+                {"device_id": "deviceId"}
+            )
+            apps.upsert(devices.app_devices(attached))
+            known.upsert(devices.device_table_update(named, resolved))
 
     return (
         rows.writeStream.option("checkpointLocation", checkpoint)

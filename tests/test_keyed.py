@@ -95,7 +95,7 @@ def merge_plan(spark, table, batch, monkeypatch):
     written = []
     monkeypatch.setattr(
         table, "_write_next",
-        lambda df, buckets: written.append((df._jdf.queryExecution().executedPlan().toString(), buckets)),
+        lambda df, buckets, batch=None: written.append((df._jdf.queryExecution().executedPlan().toString(), buckets)),
     )
     table.upsert(batch)
     return written[0]
@@ -152,3 +152,73 @@ def test_append_with_generated_ids(spark):
     append_generated(people, folder)
     saved = spark.read.parquet(folder)
     assert saved.count() == 4 and saved.select("id").distinct().count() == 4
+
+
+def file_system(table):
+    return table._file_system(table.folder)
+
+
+def test_snapshots_without_manifest_are_damage(spark, table):
+    fs, _ = file_system(table)
+    for _, name in table._listed(keyed.MANIFEST):
+        fs.delete(table._file_system(f"{table.folder}/{name}")[1], False)
+    with pytest.raises(RuntimeError, match="no manifest"):
+        table.read()
+    with pytest.raises(RuntimeError, match="no manifest"):
+        table.upsert(incoming(spark, ("b", 5)))
+
+
+def test_a_lost_snapshot_is_damage_and_markers_play_no_part(spark, table, rows_of):
+    fs, _ = file_system(table)
+    folder = table._path(*table._current())
+    fs.delete(table._file_system(f"{folder}/_SUCCESS")[1], False)
+    assert rows_of(table.upsert(incoming(spark, ("c", 3))))[0] == ("a", 1, "old")
+    fs.delete(table._file_system(table._path(*table._current()))[1], True)
+    with pytest.raises(RuntimeError, match="lost snapshot"):
+        table.read()
+
+
+def test_a_large_batch_after_a_small_table_is_dealt_over_more_tasks(spark, rows_of, monkeypatch):
+    grown = KeyedTable(spark, "small_first", SCHEMA, new_folder(spark, "small-first"))
+    grown.replace(incoming(spark, ("a", 1)))
+    monkeypatch.setattr(keyed, "BUCKET_BYTES", 500)
+    many = spark.range(500).select(F.concat(F.lit("k"), "id").alias("id"), F.col("id").alias("n"))
+    plan, buckets = merge_plan(spark, grown, many, monkeypatch)
+    assert buckets > 4 and plan.count(f", {buckets})") >= 2
+    assert "hashpartitioning(id" in plan and "SinglePartition" not in plan
+
+
+def test_inserting_grows_the_buckets(spark, monkeypatch):
+    grown = KeyedTable(spark, "inserted", SCHEMA, new_folder(spark, "inserted"))
+    grown.replace(incoming(spark, ("a", 1)))
+    monkeypatch.setattr(keyed, "BUCKET_BYTES", 500)
+    many = spark.range(500).select(F.concat(F.lit("k"), "id").alias("id"), F.col("id").alias("n"))
+    assert grown.insert_missing(many).count() == 501
+    assert grown._current()[0] == 2 and grown._current()[1] > 1
+
+
+def test_null_keys_are_refused(spark, table, rows_of):
+    before = rows_of(table.read())
+    for _ in range(2):
+        with pytest.raises(Exception, match="null key"):
+            table.upsert(incoming(spark, (None, 5), ("z", 1)))
+    assert rows_of(table.read()) == before
+
+
+def test_counters_add_once_per_batch(spark, table, rows_of):
+    batch = incoming(spark, ("a", 5), ("n", 7))
+    want = [("a", 6, "old"), ("b", 2, "old"), ("n", 7, None)]
+    assert rows_of(table.add(batch, batch="first")) == want
+    assert rows_of(table.add(batch, batch="first")) == want
+    assert rows_of(table.add(batch, batch="second"))[0] == ("a", 11, "old")
+
+
+def test_catalog_and_expiry(spark, table, rows_of):
+    for n in range(3):
+        table.upsert(incoming(spark, ("a", n)))
+    listed = [t.name for t in spark.catalog.listTables() if t.name.startswith("things_")]
+    own = [name for name in listed if name.startswith(table._table(0).removesuffix("0"))]
+    assert own == [table._table(4)]
+    table.expire(keep=2)
+    assert [v for v, _ in table._listed(keyed.SNAPSHOT)] == [3, 4]
+    assert rows_of(table.read())[0] == ("a", 2, "old")
