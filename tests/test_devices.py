@@ -145,16 +145,16 @@ def test_resolution_follows_the_rule_in_any_row_order(spark, batch, known, shuff
 
 def test_device_table_update(spark, rows_of):
     stored = [("D1", "i1", "m1", "2016-01-01T00:00:00.000Z")]
-    rows = [log_row("i1", "m9", 1474300800002), log_row("i1", "m8", 1474300800001),
-            log_row("i3", "m3", 1474300800004)]
+    rows = [log_row("i1", "m9", 1612137600002), log_row("i1", "m8", 1612137600001),
+            log_row("i3", "m3", 1612137600004)]
     df = spark.createDataFrame(rows, LOG)
     resolved = devices.resolve_devices(df, spark.createDataFrame(stored, STORED))
     got = rows_of(devices.device_table_update(df, resolved), "device_id", "imei", "mac",
                   "android_id", "first_time")
     new = hashlib.sha256(b"i3|m3").hexdigest()
     assert got == sorted([
-        ("D1", "i1", "m9", "a1474300800002", "2016-01-01T00:00:00.000Z"),
-        (new, "i3", "m3", "a1474300800004", "2016-09-19T16:00:00.004Z"),
+        ("D1", "i1", "m9", "a1612137600002", "2016-01-01T00:00:00.000Z"),
+        (new, "i3", "m3", "a1612137600004", "2021-02-01T00:00:00.004Z"),
     ], key=repr)
 
 
@@ -172,22 +172,22 @@ APP_ROW = "deviceId string, timestamp bigint, appkey string, ch string, c string
 
 def test_app_devices_take_the_latest_row_and_keep_ties(spark, rows_of):
     rows = [
-        ("d1", 1474300800001, "4", "ch1", "usa", "app.one", "en", "m"),
-        ("d1", 1474300800002, "4", "ch2", "usa", "app.two", "en", "m"),
-        ("d1", 1474300800002, "4", "ch1", "usa", "app.one", "en", "m"),
-        ("d2", 1474300800003, "5", "ch1", "usa", "app.one", "fr", "n"),
+        ("d1", 1612137600001, "4", "ch1", "usa", "app.one", "en", "m"),
+        ("d1", 1612137600002, "4", "ch2", "usa", "app.two", "en", "m"),
+        ("d1", 1612137600002, "4", "ch1", "usa", "app.one", "en", "m"),
+        ("d2", 1612137600003, "5", "ch1", "usa", "app.one", "fr", "n"),
     ]
     df = spark.createDataFrame(rows, APP_ROW)
     got = devices.app_devices(df)
     assert set(got.columns) == {"first_time", "app_key", "channel", "country", "pkg_name",
                                 "device_id", "language", "model", "id"}
     assert rows_of(got, "id", "first_time", "channel") == [
-        ("app.one#d1", "2016-09-19T16:00:00.002Z", "ch1"),
-        ("app.one#d2", "2016-09-19T16:00:00.003Z", "ch1"),
-        ("app.two#d1", "2016-09-19T16:00:00.002Z", "ch2"),
+        ("app.one#d1", "2021-02-01T00:00:00.002Z", "ch1"),
+        ("app.one#d2", "2021-02-01T00:00:00.003Z", "ch1"),
+        ("app.two#d1", "2021-02-01T00:00:00.002Z", "ch2"),
     ]
     seen = rows_of(devices.app_devices(df, first_seen=True), "id", "first_time")
-    assert ("app.one#d1", "2016-09-19T16:00:00.001Z") in seen
+    assert ("app.one#d1", "2021-02-01T00:00:00.001Z") in seen
 
 
 def test_one_pair_with_most_rows(spark):

@@ -25,29 +25,29 @@ def test_channel_log(spark, tmp_path, rows_of):
 
     one = load(
         "one",
-        (1474300800002, us(1, key="20"), [{"e": 2, "s": 1}, {"e": 3, "s": 1}]),
-        (1474300800003, us(2, key="21"), [{"s": 1}, {"e": 2}]),
-        (1474300800004, us(3, "app.two", "ch2", "22"), [{"s": 1}, {"e": 2}]),
-        (1474300800004, us(4, "app.two", "ch2", "25"), [{"s": 1}, {"e": 2}]),
+        (1612137600002, us(1, key="k1"), [{"e": 2, "s": 1}, {"e": 3, "s": 1}]),
+        (1612137600003, us(2, key="k2"), [{"s": 1}, {"e": 2}]),
+        (1612137600004, us(3, "app.two", "ch2", "k3"), [{"s": 1}, {"e": 2}]),
+        (1612137600004, us(4, "app.two", "ch2", "k4"), [{"s": 1}, {"e": 2}]),
     )
     assert one["devices"].count() == one["app_devices"].count() == 4
     assert rows_of(one["channel_statistics"], "id", "news", "starts") == [
-        ("app.one#ch1#usa20", 1, 1), ("app.one#ch1#usa21", 1, 1),
-        ("app.two#ch2#usa22", 1, 1), ("app.two#ch2#usa25", 1, 1)]
+        ("app.one#ch1#usak1", 1, 1), ("app.one#ch1#usak2", 1, 1),
+        ("app.two#ch2#usak3", 1, 1), ("app.two#ch2#usak4", 1, 1)]
     assert one["malformed"].count() == 1
 
     first = {r.imei: (r.device_id, r.first_time) for r in one["devices"].collect()}
     two = load(
         "two",
-        (1474300900000, us(1, key="20"), []),
-        (1474300900001, us(1, "app.two", "ch2", "22"), []),
-        (1474300900002, us(5, key="20"), []),
+        (1612137700000, us(1, key="k1"), []),
+        (1612137700001, us(1, "app.two", "ch2", "k3"), []),
+        (1612137700002, us(5, key="k1"), []),
     )
     second = {r.imei: (r.device_id, r.first_time) for r in two["devices"].collect()}
     assert len(second) == 5 and first.items() <= second.items()
     counters = dict(rows_of(two["channel_statistics"], "id", "starts"))
-    assert counters == {"app.one#ch1#usa20": 3, "app.one#ch1#usa21": 1, "app.two#ch2#usa22": 2,
-                        "app.two#ch2#usa25": 1}
+    assert counters == {"app.one#ch1#usak1": 3, "app.one#ch1#usak2": 1, "app.two#ch2#usak3": 2,
+                        "app.two#ch2#usak4": 1}
     assert two["app_devices"].count() == 6
 
 
@@ -77,3 +77,45 @@ def test_words_job(spark, tmp_path, rows_of):
     (tmp_path / "text").write_text("a b\na\n")
     got = run(spark, parser().parse_args(["words", "--path", str(tmp_path / "text")]))["words"]
     assert rows_of(got) == [("a", 2), ("b", 1)]
+
+
+def scratch_tables(spark):
+    from tallyloom.session import scratch_root
+
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {s.getPath().getName() for s in fs.listStatus(path)} if fs.exists(path) else set()
+
+
+def test_a_batch_counts_once_and_leaves_only_what_is_read(spark, tmp_path, rows_of):
+    from tallyloom.plans import jobs
+
+    write_log(tmp_path / "log", (1612137600002, us(1), []), (1612137600003, us(1), []))
+    before = scratch_tables(spark)
+    load = lambda: jobs.channel_log(spark, str(tmp_path / "log"), str(tmp_path / "store"), "day 1")
+    once = rows_of(load()["channel_statistics"], "id", "news", "starts")
+    left = {name.rsplit("-", 1)[0] for name in scratch_tables(spark) - before}
+    assert left == {"parsed"}
+    assert rows_of(load()["channel_statistics"], "id", "news", "starts") == once
+    assert once == [("app.one#ch1#usa4", 2, 2)]
+
+
+def test_only_statistics_of_new_app_devices_are_seeded(spark, tmp_path, rows_of):
+    from tallyloom.plans import jobs
+    from tallyloom.sources import schemas
+    from tallyloom.sources.keyed import KeyedTable
+
+    apps = KeyedTable(spark, "seed_apps", schemas.APP_DEVICES, str(tmp_path / "apps"))
+    table = KeyedTable(spark, "seed_stats", schemas.CHANNEL_STATISTICS, str(tmp_path / "stats"))
+    columns = "deviceId string, pn string, ch string, c string, appkey string, la string, t string, timestamp long"
+
+    def rows(*found):
+        return spark.createDataFrame([(d, pn, ch, "usa", "4", "en", "m", ts) for d, pn, ch, ts in found], columns)
+
+    first = jobs.seed_new_devices(rows(("d1", "app.one", "ch1", 5)), apps, table)
+    assert rows_of(first, "id") == [("app.one#ch1#usa4",)]
+    # d1 is known, so its new channel is not seeded; d2 is new.
+    second = jobs.seed_new_devices(
+        rows(("d1", "app.one", "ch2", 6), ("d2", "app.two", "ch1", 7)), apps, table
+    )
+    assert rows_of(second, "id", "news") == [("app.one#ch1#usa4", 1), ("app.two#ch1#usa4", 1)]

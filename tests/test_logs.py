@@ -115,3 +115,10 @@ def test_latest_rows_of_a_key_with_most_rows(spark):
     want = df.groupBy("k").agg(F.max("ts").alias("ts")).join(df, ["k", "ts"])
     assert got.count() == want.count()
     assert got.filter("k = 0").count() == df.filter("k = 0 and ts = 99").count()
+
+
+@pytest.mark.parametrize("text", ["{}", '{"se":[]}', '{"us":null,"se":[]}'])
+def test_records_without_their_device_are_quarantined(spark, text):
+    parsed = frame(spark, GOOD, line(8, text=text))
+    assert logs.good_records(parsed).count() == 1
+    assert [r[0] for r in logs.malformed(parsed).collect()] == [line(8, text=text)]

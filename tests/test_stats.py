@@ -12,9 +12,9 @@ from tallyloom.sources.keyed import KeyedTable
 
 ROW = "pn string, ch string, c string, appkey string, timestamp bigint"
 ROWS = [
-    ("app.one", "ch1", "usa", "4", 1474300800002),
-    ("app.one", "ch1", "usa", "4", 1474300800001),
-    ("app.two", "ch2", "usa", "4", 1474300800001),
+    ("app.one", "ch1", "usa", "4", 1612137600002),
+    ("app.one", "ch1", "usa", "4", 1612137600001),
+    ("app.two", "ch2", "usa", "4", 1612137600001),
 ]
 COUNTERS = "id string, news bigint, starts bigint"
 
@@ -35,7 +35,7 @@ def test_rows_of_one_id_add_up_or_count_once(spark, rows, rows_of):
 def test_seeds(spark, rows):
     got = {r.id: r.asDict() for r in stats.seeds(rows).collect()}
     one = got["app.one#ch1#usa4"]
-    assert (one["@timestamp"], one["news"], one["starts"]) == ("2016-09-19T16:00:00.001Z", 1, 1)
+    assert (one["@timestamp"], one["news"], one["starts"]) == ("2021-02-01T00:00:00.001Z", 1, 1)
     assert (one["app_id"], one["app_key"], one["country"], one["pkg_name"]) == (
         "4", "4", "usa", "app.one")
     assert one["keep30"] == 0 and one["startAvg"] == 0.0 and one["type"] == ""

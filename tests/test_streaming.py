@@ -18,8 +18,8 @@ def put(folder, name, rows):
     (folder / name).write_text("\n".join(lines) + "\nbroken\n")
 
 
-FIRST = [(1474300800001, "i1", "app.one"), (1474300800002, "i1", "app.one")]
-SECOND = [(1474300800005, "i1", "app.two"), (1474300800003, "i2", "app.one")]
+FIRST = [(1612137600001, "i1", "app.one"), (1612137600002, "i1", "app.one")]
+SECOND = [(1612137600005, "i1", "app.two"), (1612137600003, "i2", "app.one")]
 
 
 def test_statistics_follow_the_files_and_survive_a_restart(spark, tmp_path, rows_of):
@@ -60,10 +60,10 @@ def test_devices_follow_the_files(spark, tmp_path, rows_of):
         log_stream.keep_devices(records, known, apps, str(tmp_path / "cp")).awaitTermination()
     table = known.read()
     assert rows_of(table, "imei", "mac", "first_time") == [
-        ("i1", "mi1", "2016-09-19T16:00:00.001Z"), ("i2", "mi2", "2016-09-19T16:00:00.003Z")]
+        ("i1", "mi1", "2021-02-01T00:00:00.001Z"), ("i2", "mi2", "2021-02-01T00:00:00.003Z")]
     got = rows_of(apps.read(), "pkg_name", "first_time")
-    assert got == [("app.one", "2016-09-19T16:00:00.002Z"), ("app.one", "2016-09-19T16:00:00.003Z"),
-                   ("app.two", "2016-09-19T16:00:00.005Z")]
+    assert got == [("app.one", "2021-02-01T00:00:00.002Z"), ("app.one", "2021-02-01T00:00:00.003Z"),
+                   ("app.two", "2021-02-01T00:00:00.005Z")]
     lines = spark.read.text(str(source))
     rows = logs.device_rows(logs.good_records(logs.parse_lines(lines)))
     named = rows.withColumnsRenamed({"im": "imei"})
@@ -71,3 +71,28 @@ def test_devices_follow_the_files(spark, tmp_path, rows_of):
     at_once = devices.resolve_devices(named, none)
     assert rows_of(at_once.select("device_id").distinct()) == rows_of(table.select("device_id"))
     assert at_once.filter(F.col("device_id").isNull()).isEmpty()
+
+
+def test_bad_lines_of_a_stream_are_kept(spark, tmp_path, rows_of):
+    source = tmp_path / "in"
+    source.mkdir()
+    put(source, "one", FIRST)
+    for _ in range(2):
+        parsed = log_stream.read_parsed_stream(spark, str(source))
+        log_stream.keep_malformed(parsed, str(tmp_path / "bad"), str(tmp_path / "cp")).awaitTermination()
+    assert rows_of(spark.read.text(str(tmp_path / "bad"))) == [("broken",)]
+
+
+def test_micro_batches_leave_no_scratch_tables(spark, tmp_path):
+    from test_jobs import scratch_tables
+
+    source = tmp_path / "in"
+    source.mkdir()
+    known = KeyedTable(spark, "scoped_devices", schemas.DEVICES, str(tmp_path / "d"), key="device_id")
+    apps = KeyedTable(spark, "scoped_apps", schemas.APP_DEVICES, str(tmp_path / "a"))
+    before = scratch_tables(spark)
+    for name, rows in (("one", FIRST), ("two", SECOND)):
+        put(source, name, rows)
+        records = log_stream.read_log_stream(spark, str(source))
+        log_stream.keep_devices(records, known, apps, str(tmp_path / "cp")).awaitTermination()
+    assert scratch_tables(spark) == before
