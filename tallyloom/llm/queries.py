@@ -11,7 +11,7 @@ from tallyloom.llm.quality import op8_quality
 from tallyloom.llm.sharding import op4_sharding, op4_sql
 from tallyloom.llm.simhash import op7_simhash
 from tallyloom.llm.spans import op6_spans
-from tallyloom.llm.urls import op5_urls
+from tallyloom.llm.urls import OP5_SQL, op5_urls
 
 QUERIES = {
     f.__name__: f
@@ -31,4 +31,9 @@ QUERIES = {
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_lines": OP2_SQL, "op4_sharding": op4_sql(), "op9_mixing": OP9_SQL}
+    return {
+        "op2_lines": OP2_SQL,
+        "op4_sharding": op4_sql(),
+        "op5_urls": OP5_SQL,
+        "op9_mixing": OP9_SQL,
+    }

@@ -194,3 +194,59 @@ def op5_urls(spark, sf_dir):
     """Every page judged by the rules, its aliases and their precedence."""
     pages = table(session(spark), sf_dir, "pages")
     return filter_urls(pages).select("page_id", "host", "path", "rule", "verdict", "alias_root")
+
+
+# The same in SQL, with links written in quoted attributes and to absolute addresses.
+OP5_SQL = r"""
+WITH RECURSIVE parts AS (
+  SELECT page_id, coalesce(url, '') AS url, html,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages),
+rules(host, path, verdict) AS (VALUES
+  ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+  ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+tags AS (
+  SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM parts),
+links AS (
+  SELECT url, CASE
+    WHEN regexp_matches(tag, '(?is)^<link') AND regexp_matches(tag, '(?is)\srel\s*=\s*["'']?canonical')
+      THEN regexp_extract(tag, '(?is)\shref\s*=\s*["'']?([^"''\s>]+)', 1)
+    WHEN regexp_matches(tag, '(?is)^<meta') AND regexp_matches(tag, '(?is)http-equiv\s*=\s*["'']?refresh')
+      THEN regexp_extract(tag, '(?is)url\s*=\s*([^"''\s>]+)', 1) END AS target
+  FROM tags),
+ends AS (
+  SELECT url, url AS other, 0 AS side FROM links WHERE target LIKE '%://%'
+  UNION ALL
+  SELECT url, replace(target, '&amp;', '&'), 1 FROM links WHERE target LIKE '%://%'),
+known AS (
+  SELECT DISTINCT u AS url,
+         translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(u, '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path,
+         regexp_extract(u, '(?s)^[^?#]*(\?[^#]*)', 1) AS query
+  FROM (SELECT url AS u FROM parts UNION SELECT other FROM ends)),
+judged AS (
+  SELECT k.url, k.host, k.path,
+         CASE WHEN k.host <> '' THEN k.host || CASE WHEN k.path = '' THEN '/' ELSE k.path END || k.query END AS address,
+         arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+         arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM known k LEFT JOIN rules r
+    ON (k.host = r.host OR ends_with(k.host, '.' || r.host)) AND starts_with(k.path, r.path)
+  GROUP BY ALL),
+edges AS (
+  SELECT a.address AS a, b.address AS b FROM ends e JOIN judged a ON a.url = e.url
+  JOIN judged b ON b.url = e.other WHERE e.side = 1 AND a.address IS NOT NULL AND b.address IS NOT NULL),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach AS (
+  SELECT a AS node, a AS other FROM both_ways
+  UNION
+  SELECT r.node, e.b FROM reach r JOIN both_ways e ON e.a = r.other),
+linked AS (
+  SELECT r.node, min(r.other) AS root, min(j.verdict) AS verdict
+  FROM reach r LEFT JOIN judged j ON j.address = r.other GROUP BY r.node)
+SELECT p.page_id, p.host, p.path, j.rule, coalesce(j.verdict, l.verdict, 'allow') AS verdict,
+       coalesce(l.root, j.address) AS alias_root
+FROM parts p JOIN judged j ON j.url = p.url LEFT JOIN linked l ON l.node = j.address
+"""
