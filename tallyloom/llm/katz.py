@@ -27,6 +27,9 @@ CONTEXT_TOKENS = 1 << 19
 # Counts up to this one are discounted.
 GOOD_TURING = 5
 
+# How many pairs were seen 1, 2, ... times.
+PAIR_FACTS = [f"n{r}" for r in range(1, GOOD_TURING + 2)]
+
 # The end of a text, and what stands before its first word: no word contains a blank.
 END, START = b"\n", b" "
 
@@ -70,9 +73,8 @@ class Unigrams:
 
     def __init__(self, tokens: int, of_count: list[int]):
         self.tokens, self.discount = tokens, discounts(of_count)
-        left = sum(
-            (1 - self.discount[r]) * r * of_count[r] for r in range(1, min(GOOD_TURING + 1, len(of_count)))
-        )
+        rare = range(1, min(GOOD_TURING + 1, len(of_count)))
+        left = sum((1 - self.discount[r]) * r * of_count[r] for r in rare)
         if left <= 0:  # no rare word: the unknown ones get one count
             self.discount, self.tokens, left = np.ones(GOOD_TURING + 1), tokens + 1, 1.0
         self.unknown = left / self.tokens
@@ -129,7 +131,8 @@ class Block:
 
     def counts(self, answers: pd.DataFrame, parts: int) -> np.ndarray:
         """The answered training counts, by word number."""
-        given = {p: c for p, c, k in zip(answers["part"], answers["counts"], answers["kind"]) if k == 1}
+        first = answers[answers["kind"] == 1]
+        given = dict(zip(first["part"], first["counts"]))
         found = np.zeros(len(self.hashes), np.int64)
         for part, group in self.by_part(parts)[1]:
             found[group] = given[part]
@@ -210,7 +213,9 @@ def _answer_words(asks: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
     rows = []
     for part, block, asked in zip(asks["part"], asks["block"], asks["words"]):
         at = np.minimum(np.searchsorted(words, asked), max(0, len(words) - 1))
-        found = np.where(words[at] == asked, counts[at], 0) if len(words) else np.zeros(len(asked), np.int64)
+        found = np.zeros(len(asked), np.int64)
+        if len(words):
+            found = np.where(words[at] == asked, counts[at], 0)
         rows.append((block, part, 1, found, None, None))
     return pd.DataFrame(rows, columns=["block", "part", "kind", "counts", "types", "mass"])
 
@@ -269,7 +274,7 @@ def _count_types(asks: pd.DataFrame) -> pd.DataFrame:
     """How many pairs of a part were seen 1, 2, ... times."""
     totals = _joined(asks)[5]
     n = np.bincount(np.minimum(totals, GOOD_TURING + 2), minlength=GOOD_TURING + 3)
-    return pd.DataFrame({f"n{r}": [int(n[r])] for r in range(1, GOOD_TURING + 2)})
+    return pd.DataFrame({name: [int(n[r])] for r, name in enumerate(PAIR_FACTS, 1)})
 
 
 def _answer_pairs(unigrams: Unigrams):
@@ -305,7 +310,8 @@ def _score(parts: int, unigrams: Unigrams, tokens: int, vocabulary: int):
         size = len(block.hashes) + 1
         types, mass = np.zeros((size, GOOD_TURING)), np.zeros(size)
         second = answers[answers["kind"] == 2]
-        given = {p: x for p, *x in zip(second["part"], second["counts"], second["types"], second["mass"])}
+        facts = zip(second["counts"], second["types"], second["mass"])
+        given = dict(zip(second["part"], facts))
         for part, at, begins in _questions(found):
             part_counts, part_types, part_mass = given[part]
             place = found["place"][at]
@@ -313,7 +319,8 @@ def _score(parts: int, unigrams: Unigrams, tokens: int, vocabulary: int):
             owners = found["owner"][at[begins]]
             np.add.at(types, owners, np.asarray(part_types).reshape(-1, GOOD_TURING))
             np.add.at(mass, owners, part_mass)
-        discount = discounts([0, *[int(second[f"n{r}"].iloc[0]) for r in range(1, GOOD_TURING + 2)]]) if len(second) else discounts([0])
+        of_count = [int(second[n].iloc[0]) for n in PAIR_FACTS] if len(second) else []
+        discount = discounts([0, *of_count])
         divisor, weight = backoff(found["totals"], types, mass, discount)
         single = unigrams(counts)
         # A token's probability: from its pair if that was seen, else from the word alone, with the
@@ -378,10 +385,11 @@ def katz_scores(
     tasks, each taking some of its followers. An empty input gives an empty result, and one without
     training texts scores every token as unknown. Repeated rows are scored, and learnt, each.
     """
+    name = F.coalesce(F.col("key").cast("string"), F.lit(""))
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).select(
         "key",
         "text",
-        (F.crc32(F.coalesce(F.col("key").cast("string"), F.lit("")).cast("binary")) % modulus != held_remainder).alias("train"),
+        (F.crc32(name.cast("binary")) % modulus != held_remainder).alias("train"),
         F.xxhash64("key", "text").alias("row"),
     )
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
@@ -398,15 +406,16 @@ def katz_scores(
 
     # One exchange of the texts serves all three visits to the blocks.
     dealt = rows.repartition(parts, "block")
-    by_block = lambda: dealt.groupBy("block")
     answer = "block long, part long, kind int, counts array<long>, types array<int>, mass array<double>"
-    word_asks = by_block().applyInPandas(_ask_words(parts), "part long, block long, words array<long>")
+    word_asks = dealt.groupBy("block").applyInPandas(
+        _ask_words(parts), "part long, block long, words array<long>"
+    )
     known = unigram.withColumn("part", F.pmod("w", F.lit(parts)))
     word_answers = (
         word_asks.groupBy("part").cogroup(known.groupBy("part")).applyInPandas(_answer_words, answer)
     )
     pair_asks = (
-        by_block()
+        dealt.groupBy("block")
         .cogroup(word_answers.groupBy("block"))
         .applyInPandas(
             _ask_pairs(parts),
@@ -415,19 +424,20 @@ def katz_scores(
         )
         .repartition(parts, "part")
     )
-    names = [f"n{r}" for r in range(1, GOOD_TURING + 2)]
     of_count = (
         pair_asks.groupBy("part")
-        .applyInPandas(_count_types, ", ".join(f"{n} long" for n in names))
-        .agg(*[F.sum(n).alias(n) for n in names])
+        .applyInPandas(_count_types, ", ".join(f"{n} long" for n in PAIR_FACTS))
+        .agg(F.struct(*[F.sum(n).alias(n) for n in PAIR_FACTS]).alias("f"))
     )
     pair_answers = pair_asks.groupBy("part").applyInPandas(_answer_pairs(unigrams), answer)
-    facts_of_pairs = of_count.select(F.struct(*names).alias("f")).scalar()
-    answers = word_answers.withColumn("f", F.lit(None).cast(of_count.select(F.struct(*names).alias("f")).schema["f"].dataType)).unionByName(
-        pair_answers.withColumn("f", facts_of_pairs)
-    ).select("block", "part", "kind", "counts", "types", "mass", *[F.col(f"f.{n}").alias(n) for n in names])
+    unknown_facts = F.lit(None).cast(of_count.schema["f"].dataType)
+    answers = (
+        word_answers.withColumn("f", unknown_facts)
+        .unionByName(pair_answers.withColumn("f", of_count.scalar()))
+        .select("block", "part", "kind", "counts", "types", "mass", "f.*")
+    )
     scored = (
-        by_block()
+        dealt.groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInPandas(
             _score(parts, unigrams, tokens, vocabulary),

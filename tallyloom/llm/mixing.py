@@ -30,9 +30,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], cap: int) -> Data
     ranked = sizes.select(
         "source", "source_size", weight.alias("w"), (F.col("source_size") * cap).alias("limit")
     )
-    filling = (
-        Window.orderBy(F.col("limit") / F.col("w"), F.col("source").asc_nulls_last())
-    )
+    filling = Window.orderBy(F.col("limit") / F.col("w"), F.col("source").asc_nulls_last())
     before = filling.rowsBetween(Window.unboundedPreceding, -1)
     onward = filling.rowsBetween(0, Window.unboundedFollowing)
     everything = Window.partitionBy()
@@ -41,9 +39,13 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], cap: int) -> Data
         F.coalesce(F.sum("limit").over(before), F.lit(0)).alias("full"),
         F.sum("w").over(onward).alias("open_w"),
         F.sum("source_size").over(everything).alias("total"),
-    ).withColumn("is_open", (F.col("total") - F.col("full")) * F.col("w") < F.col("limit") * F.col("open_w"))
+    ).withColumn(
+        "is_open",
+        (F.col("total") - F.col("full")) * F.col("w") < F.col("limit") * F.col("open_w"),
+    )
     # The first source that does not fill up fixes the level for itself and all later ones.
-    seen = F.max(F.when(F.col("is_open"), F.struct((-F.col("limit") / F.col("w")).alias("k"), "full", "open_w"))).over(
+    place = F.struct((-F.col("limit") / F.col("w")).alias("k"), "full", "open_w")
+    seen = F.max(F.when(F.col("is_open"), place)).over(
         filling.rowsBetween(Window.unboundedPreceding, 0)
     )
     return levels.withColumn("level", seen).select(
