@@ -22,9 +22,9 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HOME_BLOCK = 4096
 VISITOR_BLOCK = 65536
 # Members of cells that share a task.
-TASK_MEMBERS = 100_000
+TASK_MEMBERS = 50_000
 # Elements of a comparison held at once.
-MATRIX = 1 << 21
+MATRIX = 1 << 19
 
 
 # fingerprints ------------------------------------------------------------------------------
