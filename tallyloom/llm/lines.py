@@ -37,9 +37,12 @@ def numbered_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         lambda s: F.length(F.translate(s["x"], " \t\n\x0b\f\r", "")) > 0,
     )
     # One row for each document: repeated rows stand for one.
-    return docs.select(document_key(key, text).alias("doc"), kept.alias("kept")).select(
-        "doc", F.posexplode("kept").alias("pos", "s")
-    ).select("doc", F.col("s.line").alias("line"), "pos", line_hash(F.col("s.x")).alias("h")).distinct()
+    return (
+        docs.select(document_key(key, text).alias("doc"), kept.alias("kept"))
+        .select("doc", F.posexplode("kept").alias("pos", "s"))
+        .select("doc", F.col("s.line").alias("line"), "pos", line_hash(F.col("s.x")).alias("h"))
+        .distinct()
+    )
 
 
 def winnowed(lines: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
@@ -149,7 +152,7 @@ def delete_repeated_lines(
     names = {n: free_name(base.columns, n) for n in ("_doc", "_gone")}
     found = gone.select(F.col("doc").alias(names["_doc"]), F.col("gone").alias(names["_gone"]))
     own = document_key(key, text)
-    joined = base.join(found, own.eqNullSafe(F.col(names["_doc"])), "left")
+    joined = base.join(bounded_broadcast(found), own.eqNullSafe(F.col(names["_doc"])), "left")
     lines = F.split(F.col(text), "\n", -1)
     left = F.transform(
         F.filter(
