@@ -21,7 +21,7 @@ from tallyloom.llm.common import session, table
 from tallyloom.session import stage
 
 # Text of a block; a longer document is a block's only one at worst.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 # Followers of one context that one task counts; a more frequent context is split by follower.
 CONTEXT_TOKENS = 1 << 19
 # Counts up to this one are discounted.
@@ -30,6 +30,10 @@ GOOD_TURING = 5
 # How many pairs were seen 1, 2, ... times.
 PAIR_FACTS = [f"n{r}" for r in range(1, GOOD_TURING + 2)]
 
+# An answer to a block: kind 1 for words, 2 for pairs.
+ANSWER_COLUMNS = ["block", "part", "kind", "counts", "large", "types", "types_large", "mass"]
+ANSWER_TYPES = "long long int binary array<long> binary array<long> array<double>".split()
+
 # The end of a text, and what stands before its first word: no word contains a blank.
 END, START = b"\n", b" "
 
@@ -103,21 +107,56 @@ def backoff(
 # blocks ------------------------------------------------------------------------------------
 
 
+class _Codes(dict):
+    """Numbers for words, in the order they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def pack(values: np.ndarray, width: int) -> tuple[bytes, np.ndarray]:
+    """Counts as unsigned numbers of one or two bytes, and the places and values of larger ones."""
+    most = (1 << 8 * width) - 1
+    large = np.flatnonzero(values > most)
+    small = np.minimum(values, most).astype(f"<u{width}").tobytes()
+    return small, np.concatenate([large, values[large]]).astype(np.int64)
+
+
+def unpack(small: bytes, large: np.ndarray, width: int) -> np.ndarray:
+    values = np.frombuffer(small, f"<u{width}").astype(np.int64)
+    half = len(large) // 2
+    if half:
+        values[np.asarray(large[:half], np.int64)] = large[half:]
+    return values
+
+
+def pack_hashes(hashes: np.ndarray) -> bytes:
+    """The lower six bytes of each: enough to tell the followers of one context apart."""
+    return hashes.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpack_hashes(packed: bytes) -> np.ndarray:
+    octets = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    whole = np.zeros((len(octets), 8), np.uint8)
+    whole[:, :6] = octets
+    return whole.reshape(-1).view("<i8").astype(np.int64)
+
+
 class Block:
     """The words of a block's documents: numbered, and as pairs of a word and the one before."""
 
     def __init__(self, docs: pd.DataFrame):
         docs = docs.sort_values("row", kind="stable", ignore_index=True)
-        self.docs = docs
-        tokens: list[bytes] = []
-        sizes = []
+        codes = _Codes()
+        parts = []
         for text in docs["text"]:
             words = words_of(text)
-            sizes.append(len(words))
-            tokens += words
-        self.sizes = np.array(sizes, np.int64)
-        self.code, vocabulary = pd.factorize(np.array(tokens, dtype=object))
-        self.hashes = np.array([word_hash(w) for w in vocabulary], np.int64)
+            parts.append(np.fromiter(map(codes.__getitem__, words), np.int32, len(words)))
+        self.docs = docs.drop(columns="text")
+        self.sizes = np.array([len(p) for p in parts], np.int64)
+        self.code = np.concatenate(parts).astype(np.int64)
+        self.hashes = np.fromiter(map(word_hash, codes), np.int64, len(codes))
         self.train = np.repeat(docs["train"].to_numpy(bool), self.sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
@@ -132,7 +171,10 @@ class Block:
     def counts(self, answers: pd.DataFrame, parts: int) -> np.ndarray:
         """The answered training counts, by word number."""
         first = answers[answers["kind"] == 1]
-        given = dict(zip(first["part"], first["counts"]))
+        given = {
+            p: unpack(small, large, 2)
+            for p, small, large in zip(first["part"], first["counts"], first["large"])
+        }
         found = np.zeros(len(self.hashes), np.int64)
         for part, group in self.by_part(parts)[1]:
             found[group] = given[part]
@@ -152,7 +194,8 @@ class Block:
         end = np.flatnonzero(self.hashes == word_hash(END))
         totals = np.append(counts, counts[end[0]] if len(end) else 0)
         asked = (totals[before] > 0) & (counts[self.code] > 0)
-        key, inverse = np.unique(before[asked] * (size + 1) + self.code[asked], return_inverse=True)
+        key = before[asked] * (size + 1) + self.code[asked]
+        key, inverse = np.unique(key, return_inverse=True)
         context, word = key // (size + 1), key % (size + 1)
         seen = np.bincount(inverse[self.train[asked]], minlength=len(key))
         slots = -(-totals // CONTEXT_TOKENS)
@@ -216,13 +259,14 @@ def _answer_words(asks: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         found = np.zeros(len(asked), np.int64)
         if len(words):
             found = np.where(words[at] == asked, counts[at], 0)
-        rows.append((block, part, 1, found, None, None))
-    return pd.DataFrame(rows, columns=["block", "part", "kind", "counts", "types", "mass"])
+        rows.append((block, part, 1, *pack(found, 2), None, None, None))
+    return pd.DataFrame(rows, columns=ANSWER_COLUMNS)
 
 
 def _ask_pairs(parts: int):
     def ask(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        columns = ["part", "block", "contexts", "runs", "words", "seen", "known"]
+        columns = ["part", "block", "contexts", "runs", "words"]
+        columns += ["seen", "seen_large", "known", "known_large"]
         if not len(docs):
             return pd.DataFrame([], columns=columns)
         block = Block(docs)
@@ -241,9 +285,9 @@ def _ask_pairs(parts: int):
                     number,
                     found["context_hash"][found["owner"][at[begins]]] + found["slot"][at[begins]],
                     runs.astype(np.int32),
-                    block.hashes[named],
-                    found["seen"][at][real].astype(np.int32),
-                    counts[named],
+                    pack_hashes(block.hashes[named]),
+                    *pack(found["seen"][at][real], 1),
+                    *pack(counts[named], 2),
                 )
             )
         return pd.DataFrame(rows, columns=columns)
@@ -255,9 +299,11 @@ def _joined(asks: pd.DataFrame) -> tuple:
     """All questions of a part as one list of pairs: numbers of context and pair for each."""
     contexts = np.concatenate([*asks["contexts"]]).astype(np.int64)
     runs = np.concatenate([*asks["runs"]]).astype(np.int64)
-    words = np.concatenate([*asks["words"]]).astype(np.int64)
-    seen = np.concatenate([*asks["seen"]]).astype(np.int64)
-    known = np.concatenate([*asks["known"]]).astype(np.int64)
+    words = np.concatenate([unpack_hashes(w) for w in asks["words"]])
+    seen, known = (
+        np.concatenate([unpack(x, y, width) for x, y in zip(asks[name], asks[f"{name}_large"])])
+        for name, width in (("seen", 1), ("known", 2))
+    )
     distinct, context = np.unique(contexts, return_inverse=True)
     of_pair = np.repeat(context, runs)
     order = np.lexsort((words, of_pair))
@@ -289,10 +335,11 @@ def _answer_pairs(unigrams: Unigrams):
             asks["part"], asks["block"], asks["contexts"], asks["words"]
         ):
             own = context[at : at + len(contexts)]
-            pairs = number[pair_at : pair_at + len(words)]
-            at, pair_at = at + len(contexts), pair_at + len(words)
-            rows.append((block, part, 2, totals[pairs], types[own].ravel().astype(np.int32), mass[own]))
-        return pd.DataFrame(rows, columns=["block", "part", "kind", "counts", "types", "mass"])
+            pairs = number[pair_at : pair_at + len(words) // 6]
+            at, pair_at = at + len(contexts), pair_at + len(words) // 6
+            counts, rare = pack(totals[pairs], 1), pack(types[own].ravel(), 1)
+            rows.append((block, part, 2, *counts, *rare, mass[own]))
+        return pd.DataFrame(rows, columns=ANSWER_COLUMNS)
 
     return answer
 
@@ -310,14 +357,19 @@ def _score(parts: int, unigrams: Unigrams, tokens: int, vocabulary: int):
         size = len(block.hashes) + 1
         types, mass = np.zeros((size, GOOD_TURING)), np.zeros(size)
         second = answers[answers["kind"] == 2]
-        facts = zip(second["counts"], second["types"], second["mass"])
-        given = dict(zip(second["part"], facts))
+        given = {
+            part: (unpack(*counts, 1), unpack(*rare, 1), mass)
+            for part, mass, *counts_and_rare in zip(
+                *(second[c] for c in ("part", "mass", "counts", "large", "types", "types_large"))
+            )
+            for counts, rare in [(counts_and_rare[:2], counts_and_rare[2:])]
+        }
         for part, at, begins in _questions(found):
             part_counts, part_types, part_mass = given[part]
             place = found["place"][at]
             pair_seen[place[place >= 0]] = part_counts
             owners = found["owner"][at[begins]]
-            np.add.at(types, owners, np.asarray(part_types).reshape(-1, GOOD_TURING))
+            np.add.at(types, owners, part_types.reshape(-1, GOOD_TURING))
             np.add.at(mass, owners, part_mass)
         of_count = [int(second[n].iloc[0]) for n in PAIR_FACTS] if len(second) else []
         discount = discounts([0, *of_count])
@@ -354,7 +406,7 @@ def unigram_table(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch["text"]:
                 held.update(words_of(text))
-            if len(held) > 400_000:
+            if len(held) > 700_000:
                 yield pd.DataFrame({"w": [word_hash(w) for w in held], "c": list(held.values())})
                 held.clear()
         yield pd.DataFrame({"w": [word_hash(w) for w in held], "c": list(held.values())}, dtype=np.int64)
@@ -381,7 +433,7 @@ def katz_scores(
     words are one class, which takes what discounting leaves; so for every context the known words,
     the end and that class add up to one. ``base_score`` is the add-one unigram model's.
 
-    Words are told apart by 64-bit hashes. A context that makes up most tokens is counted by many
+    Words are told apart by 64-bit hashes, the followers of one context by 48 bits. A context that makes up most tokens is counted by many
     tasks, each taking some of its followers. An empty input gives an empty result, and one without
     training texts scores every token as unknown. Repeated rows are scored, and learnt, each.
     """
@@ -406,7 +458,7 @@ def katz_scores(
 
     # One exchange of the texts serves all three visits to the blocks.
     dealt = rows.repartition(parts, "block")
-    answer = "block long, part long, kind int, counts array<long>, types array<int>, mass array<double>"
+    answer = ", ".join(f"{name} {kind}" for name, kind in zip(ANSWER_COLUMNS, ANSWER_TYPES))
     word_asks = dealt.groupBy("block").applyInPandas(
         _ask_words(parts), "part long, block long, words array<long>"
     )
@@ -419,8 +471,8 @@ def katz_scores(
         .cogroup(word_answers.groupBy("block"))
         .applyInPandas(
             _ask_pairs(parts),
-            "part long, block long, contexts array<long>, runs array<int>, words array<long>, "
-            "seen array<int>, known array<long>",
+            "part long, block long, contexts array<long>, runs array<int>, words binary, "
+            "seen binary, seen_large array<long>, known binary, known_large array<long>",
         )
         .repartition(parts, "part")
     )
@@ -434,7 +486,7 @@ def katz_scores(
     answers = (
         word_answers.withColumn("f", unknown_facts)
         .unionByName(pair_answers.withColumn("f", of_count.scalar()))
-        .select("block", "part", "kind", "counts", "types", "mass", "f.*")
+        .select(*ANSWER_COLUMNS, "f.*")
     )
     scored = (
         dealt.groupBy("block")
