@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.llm.common import session, table
 from tallyloom.operators.components import component_roots
@@ -146,6 +147,21 @@ def _compare(task: pd.DataFrame, min_cosine: float) -> pd.DataFrame:
     return pd.DataFrame({"a": node[touched], "b": node[labels[touched]], "n": counts[touched]})
 
 
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _unit(vectors: pd.Series) -> pd.Series:
+    """Vectors of length one; null for those that have no direction."""
+    found = []
+    for vector in vectors:
+        values = np.asarray([] if vector is None else vector, np.float64)
+        top = np.abs(values).max(initial=0.0)
+        if not np.isfinite(values).all() or not top > 0:
+            found.append(None)
+            continue
+        values = values / top  # so that no square overflows or vanishes
+        found.append(values / np.sqrt(values @ values) + 0.0)
+    return pd.Series(found, dtype=object)
+
+
 def _nearest_centre(df: DataFrame) -> DataFrame:
     """``centre_no`` and ``away`` of each row's unit vector among its list of centres."""
 
@@ -182,7 +198,8 @@ def grow_top(points: DataFrame, leaf: int = LEAF) -> tuple[DataFrame, DataFrame]
             F.count("*").alias("n"), F.max("away").alias("radius"), F.first("grp").alias("grp")
         )
         sizes = stage(sizes, "tree-sizes")
-        done = current.join(bounded_broadcast(sizes.filter(F.col("n") <= leaf).select("cell")), "cell")
+        small = sizes.filter(F.col("n") <= leaf).select("cell")
+        done = current.join(bounded_broadcast(small), "cell")
         finished = done if finished is None else finished.unionByName(done)
         large = sizes.filter(F.col("n") > leaf)
         if large.isEmpty() or level >= 60:
@@ -198,10 +215,15 @@ def grow_top(points: DataFrame, leaf: int = LEAF) -> tuple[DataFrame, DataFrame]
             .select("cell", F.col("picked.unit").alias("centres"))
         )
         centres = stage(centres, "tree-centres")
-        parted = _nearest_centre(crowd.drop("n").join(bounded_broadcast(centres), "cell", "left").withColumn(
-            "centres", F.coalesce("centres", F.array("unit"))
-        ).withColumn("tried", F.size("centres") > 1))
-        child = F.when(F.col("tried"), F.xxhash64("cell", "near.centre_no", F.lit(level))).otherwise(F.col("cell"))
+        parted = _nearest_centre(
+            crowd.drop("n")
+            .join(bounded_broadcast(centres), "cell", "left")
+            .withColumn("centres", F.coalesce("centres", F.array("unit")))
+            .withColumn("tried", F.size("centres") > 1)
+        )
+        child = F.when(
+            F.col("tried"), F.xxhash64("cell", "near.centre_no", F.lit(level))
+        ).otherwise(F.col("cell"))
         following = parted.select(
             *points.columns,
             child.alias("cell"),
@@ -214,7 +236,11 @@ def grow_top(points: DataFrame, leaf: int = LEAF) -> tuple[DataFrame, DataFrame]
         made = (
             following.filter("tried")
             .groupBy("cell", "parent")
-            .agg(F.first("grp").alias("grp"), F.first("centre").alias("centre"), F.max("away").alias("radius"))
+            .agg(
+                F.first("grp").alias("grp"),
+                F.first("centre").alias("centre"),
+                F.max("away").alias("radius"),
+            )
         )
         nodes = made if nodes is None else nodes.unionByName(made)
         current = following.select(*points.columns, "cell", "away")
@@ -240,8 +266,7 @@ def surviving_pairs(nodes: DataFrame, min_cosine: float) -> DataFrame:
     children = nodes.filter("parent is not null").select(
         F.col("parent").alias("up"), "cell", "centre", "radius"
     )
-    inner = nodes.select("cell").join(children.select(F.col("up").alias("cell")).distinct(), "cell", "left_semi")
-    inner = stage(inner.select(F.col("cell").alias("inner")), "tree-inner")
+    inner = stage(children.select(F.col("up").alias("inner")).distinct(), "tree-inner")
     # A leaf stands for its own child, so that both sides always go one level down.
     leaves = nodes.join(inner, F.col("cell") == F.col("inner"), "left_anti").select(
         F.col("cell").alias("up"), "cell", "centre", "radius"
@@ -256,15 +281,23 @@ def surviving_pairs(nodes: DataFrame, min_cosine: float) -> DataFrame:
         open_y = pairs.join(inner.withColumnRenamed("inner", "y"), "y", "left_semi")
         if open_x.isEmpty() and open_y.isEmpty():
             return pairs
-        left = down.select(F.col("up").alias("x"), *[F.col(c).alias(f"x_{c}") for c in ("cell", "centre", "radius")])
-        right = down.select(F.col("up").alias("y"), *[F.col(c).alias(f"y_{c}") for c in ("cell", "centre", "radius")])
+        left, right = (
+            down.select(
+                F.col("up").alias(side),
+                *[F.col(c).alias(f"{side}_{c}") for c in ("cell", "centre", "radius")],
+            )
+            for side in ("x", "y")
+        )
         both = pairs.join(left, "x").join(right, "y")
-        dot = F.aggregate(F.zip_with("x_centre", "y_centre", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+        products = F.zip_with("x_centre", "y_centre", lambda a, b: a * b)
+        dot = F.aggregate(products, F.lit(0.0), lambda s, v: s + v)
         apart = F.sqrt(F.greatest(F.lit(0.0), 2.0 - 2.0 * dot))
-        near = F.coalesce(apart <= F.col("x_radius") + F.col("y_radius") + reach + SLACK, F.lit(True))
+        # Roots have no centre and are opened whatever lies in them.
+        near = apart <= F.col("x_radius") + F.col("y_radius") + reach + SLACK
+        low, high = F.least("x_cell", "y_cell"), F.greatest("x_cell", "y_cell")
         pairs = stage(
-            both.filter(near)
-            .select(F.least("x_cell", "y_cell").alias("x"), F.greatest("x_cell", "y_cell").alias("y"))
+            both.filter(F.coalesce(near, F.lit(True)))
+            .select(low.alias("x"), high.alias("y"))
             .distinct(),
             "tree-pairs",
         )
@@ -292,20 +325,10 @@ def link_vectors(
     rows = vectors.select(
         F.col(key).alias("key"),
         F.col(group).cast("string").alias("label"),
-        F.transform(F.col(vector), lambda x: x.cast("double")).alias("v"),
-    )
-    finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    top = F.array_max(F.transform("v", F.abs))
-    usable = F.coalesce(
-        F.col("label").isNotNull() & (F.size("v") > 0) & finite & (top > 0) & F.col("key").isNotNull(),
-        F.lit(False),
-    )
-    scaled = F.transform("v", lambda x: x / top)
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
-    unit = F.transform(scaled, lambda x: x / norm + 0.0)
-    marked = stage(
-        rows.select("key", "label", F.when(usable, unit).alias("unit")), "vectors"
+        F.col(vector).cast("array<double>").alias("v"),
     )
+    usable = F.col("label").isNotNull() & F.col("key").isNotNull()
+    marked = stage(rows.select("key", "label", F.when(usable, _unit("v")).alias("unit")), "vectors")
     points = stage(
         marked.filter("unit is not null")
         .groupBy(F.struct("label", F.size("unit").alias("size")).alias("grp"), "unit")
