@@ -340,13 +340,11 @@ def link_fingerprints(
 
 # near duplicates ---------------------------------------------------------------------------
 
-# Candidates differ in at most so many bits of the fingerprint and of the second one. Texts whose
-# five-word shingles are 0.8 alike differ in 7 of 64 bits of their three-word fingerprints on
-# average; the bounds leave about two deviations more.
-CANDIDATE_BITS = 11
-SECOND_BITS = 15
 SIMILARITY = 0.8
 SHINGLE = 5
+# A prefix holds one shingle more than it must for each so many shingles of the text. Two alike
+# texts then share as many more, and so many of a prefix's most frequent ones need not be met on.
+SPARE_SHARE = 10
 # Texts of a candidate group that one task holds; larger groups are compared block by block.
 GROUP_BLOCK = 768
 
@@ -357,31 +355,89 @@ def normal_text(text: Column) -> Column:
     return F.array_join(F.array_remove(F.split(lowered, BLANK + "+"), ""), " ")
 
 
+def _least_overlap(size: int, min_similarity: float) -> int:
+    """Shingles that a set of ``size`` shares at least with any set that similar."""
+    return max(1, math.ceil(min_similarity * size - 1e-9))
+
+
+def shingle_prefix(text: str, min_similarity: float) -> tuple[np.ndarray, int]:
+    """The least hashes among a text's distinct five-word shingles, and how many of them any text
+    that similar has among its own: no such text has fewer, whatever the two differ in.
+
+    Of ``n`` shingles at most ``n - o`` are missing from a text that shares ``o``, so the first
+    ``k`` shared ones, in any order of all hashes, are among the first ``n - o + k`` of both.
+    """
+    hashes = np.unique(shingle_hashes(text, SHINGLE).view(np.int64))
+    n = len(hashes)
+    least = _least_overlap(n, min_similarity)
+    return hashes[: n - least + 1 + n // SPARE_SHARE], 1 + least // SPARE_SHARE
+
+
+def prefix_links(rows: DataFrame, min_similarity: float) -> DataFrame:
+    """``a, b``: links whose components hold every two nodes with texts similar enough. ``rows``
+    are ``node, text``; rows of one node have the same words.
+
+    A shingle of few nodes comes before one of many: of the prefix shingles that other nodes have
+    too, all but the most frequent are kept, as many less one as similar texts share. Two similar
+    texts still have a kept one in common, and boilerplate seldom joins others. Each kept
+    shingle is joined with its least node alone, one row per occurrence.
+    """
+
+    @F.pandas_udf("need int, prefix array<long>")
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [shingle_prefix(body or "", min_similarity) for body in batch]
+            yield pd.DataFrame({"need": [n for _, n in found], "prefix": [p for p, _ in found]})
+
+    members = rows.select("node", cut(F.col("text")).alias("made")).select(
+        "node", "made.need", F.explode("made.prefix").alias("h")
+    )
+    ends = (F.min("node").alias("a"), F.max("node").alias("b"))
+    counted = members.groupBy("h").agg(*ends, F.count("*").alias("n"))
+    shared = stage(counted.filter("a < b").select("h", "n"), "near-shared")
+    met = (
+        members.join(bounded_broadcast(shared), "h")
+        .groupBy("node")
+        .agg(
+            F.first("need").alias("need"),
+            F.array_sort(F.collect_set(F.struct("n", "h"))).alias("met"),  # bounded by one text
+        )
+        .filter(F.size("met") >= F.col("need"))
+    )
+    rare = F.slice("met", F.lit(1), F.size("met") - F.col("need") + 1)
+    kept = stage(met.select("node", F.explode(rare).alias("s")).select("node", "s.h"), "near-kept")
+    least = stage(kept.groupBy("h").agg(*ends).filter("a < b").drop("b"), "near-least")
+    joined = kept.join(bounded_broadcast(least), "h").filter("node != a")
+    return joined.select("a", F.col("node").alias("b"))
+
+
 def _verified(group: pd.DataFrame, min_similarity: float) -> pd.DataFrame:
     """Links that connect the texts of a block pair whose shingle sets are similar enough."""
     group = group.drop_duplicates("node").sort_values("node", ignore_index=True)
-    sets = [set(shingle_hashes(text, SHINGLE).tolist()) for text in group["text"]]
     node = group["node"].to_numpy(np.int64)
-    prints, second = (group[c].to_numpy(np.int64) for c in ("fingerprint", "second"))
-    parent = list(range(len(node)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
+    sets = [np.unique(shingle_hashes(text or "", SHINGLE)) for text in group["text"]]
+    size = np.array([len(x) for x in sets], np.int64)
+    ends = np.cumsum(size)
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    # The texts of each shingle, one shingle after the other.
+    owner = np.repeat(np.arange(len(node)), size)[np.argsort(ids, kind="stable")]
+    until = np.cumsum(np.bincount(ids))
+    since = np.concatenate([[0], until[:-1]])
+    label = np.arange(len(node))
     links = []
     for i in range(len(node) - 1):
-        near = np.bitwise_count(prints[i] ^ prints[i + 1 :]) <= CANDIDATE_BITS
-        near &= np.bitwise_count(second[i] ^ second[i + 1 :]) <= SECOND_BITS
-        for j in (np.flatnonzero(near) + i + 1).tolist():
-            a, b = root(i), root(j)
-            if a == b:
-                continue
-            both = len(sets[i] & sets[j])
-            if both >= min_similarity * (len(sets[i]) + len(sets[j]) - both):
-                parent[max(a, b)] = min(a, b)
+        after = np.arange(i + 1, len(node))
+        small, large = np.minimum(size[i], size[after]), np.maximum(size[i], size[after])
+        after = after[(label[after] != label[i]) & (small + 1e-6 >= min_similarity * large)]
+        if not len(after):
+            continue
+        own = ids[ends[i] - size[i] : ends[i]]
+        many = until[own] - since[own]
+        place = np.arange(many.sum()) + np.repeat(since[own] - np.cumsum(many) + many, many)
+        both = np.bincount(owner[place], minlength=len(node))[after]
+        for j in after[both >= min_similarity * (size[i] + size[after] - both)].tolist():
+            if label[i] != label[j]:
+                label[label == label[j]] = label[i]
                 links.append((node[i], node[j]))
     return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
 
@@ -391,34 +447,24 @@ def near_duplicate_groups(
 ) -> DataFrame:
     """``doc, node, root``: every document's text class and its group of near duplicates.
 
-    Texts equal in their words are one class. Classes whose three-word fingerprints meet at an
-    anchor become candidates; the candidates' connected groups are then checked exactly: two texts
-    are linked if the sets of their five-word shingles have a Jaccard similarity of at least
-    ``min_similarity``. Groups of any size are compared in pairs of bounded blocks, and only
-    connecting links leave a task.
+    Texts equal in their words are one class. Classes that share a rare shingle of their prefixes
+    become candidates, and no similar pair is left out; the candidates' connected groups are then
+    checked exactly: two texts are linked if the sets of their five-word shingles have a Jaccard
+    similarity of at least ``min_similarity``. Groups of any size are compared in pairs of bounded
+    blocks, and only connecting links leave a task.
     """
     rows = docs.select(row_key(docs, key).alias("doc"), F.col(text).alias("text")).withColumn(
         "node", F.xxhash64(normal_text(F.col("text")))
     )
-    marked = fingerprints(rows, "text", 3, second=True)
-    prints = stage(marked.select("doc", "node", "fingerprint", "second", "n_shingles"), "near-prints")
-    nodes = stage(
-        prints.groupBy("node").agg(
-            F.first("fingerprint").alias("fingerprint"),
-            F.first("second").alias("second"),
-            F.first("n_shingles").alias("size"),
-            F.min("doc").alias("doc"),
-        ),
-        "near-nodes",
-    )
-    links = near_links(nodes.filter("size > 0"), CANDIDATE_BITS, SECOND_BITS)
-    candidates = component_roots(links)
+    prints = stage(rows.select("doc", "node"), "near-prints")
+    nodes = stage(prints.groupBy("node").agg(F.min("doc").alias("doc")), "near-nodes")
+    candidates = component_roots(prefix_links(rows.select("node", "text"), min_similarity))
     sizes = candidates.groupBy("root").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / GROUP_BLOCK).cast("int")
     wanted = stage(
         candidates.join(sizes, "root")
         .join(nodes, "node")
-        .select("node", "root", "fingerprint", "second", "doc", blocks.alias("blocks")),
+        .select("node", "root", "doc", blocks.alias("blocks")),
         "near-wanted",
     )
     # One text per class: that of its least document (of several rows equal in all, any).
@@ -434,8 +480,6 @@ def near_duplicate_groups(
             F.least("own", "other").alias("lo"),
             F.greatest("own", "other").alias("hi"),
             "node",
-            "fingerprint",
-            "second",
             "text",
         )
     )

@@ -498,6 +498,29 @@ def test_near_duplicates_against_all_pairs(spark, block, monkeypatch):
     assert sorted(r[0] for r in simhash.drop_near_duplicates(df).collect()) == want
 
 
+@pytest.mark.parametrize("size", [100, 300])
+def test_near_duplicates_of_block_edits_against_all_pairs(spark, size):
+    session(spark)
+    rng = np.random.default_rng(size)
+    rows = []
+    for i in range(100):
+        base = [f"w{x}" for x in rng.integers(0, 50000, size)]
+        other = [f"f{x}" for x in rng.integers(0, 50000, size)]
+        # A footer of up to a quarter of the text, or a paragraph of up to a ninth replaced.
+        if i % 2:
+            edited = base + other[: int(size * rng.uniform(0.18, 0.25))]
+        else:
+            n = int(size * rng.uniform(0.06, 0.11)) - 4
+            edited = base[: size // 2] + other[:n] + base[size // 2 + n :]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(edited))]
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for _, t in rows]
+    alike = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+    want = [2 * i for i in range(100)] + [2 * i + 1 for i, x in enumerate(alike) if x < 0.8]
+    assert sum(0.8 <= x <= 0.85 for x in alike) >= 40
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(r[0] for r in simhash.drop_near_duplicates(df).collect()) == sorted(want)
+
+
 # 8 -----------------------------------------------------------------------------------------
 
 
