@@ -521,6 +521,17 @@ def test_near_duplicates_of_block_edits_against_all_pairs(spark, size):
     assert sorted(r[0] for r in simhash.drop_near_duplicates(df).collect()) == sorted(want)
 
 
+def test_near_duplicates_with_other_repeat_counts(spark):
+    session(spark)
+    rows = []
+    for i in range(20):
+        own = " ".join(f"d{i}w{k}" for k in range(200))
+        footer = " ".join(f"f{k}" for k in range(12))
+        rows += [(2 * i, f"{own} {' '.join([footer] * 3)}"), (2 * i + 1, f"{own} {' '.join([footer] * 9)}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(r[0] for r in simhash.drop_near_duplicates(df).collect()) == list(range(0, 40, 2))
+
+
 # 8 -----------------------------------------------------------------------------------------
 
 
