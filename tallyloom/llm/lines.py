@@ -45,16 +45,22 @@ def numbered_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def winnowed(lines: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
-    """``doc, pos, g``: the fingerprints of each document, the rightmost least gram hash of every
-    window of ``window`` grams; a document with fewer grams has one window of them all."""
+def line_grams(lines: DataFrame, gram: int) -> DataFrame:
+    """``doc, pos, g``: the hash of every ``gram`` lines in a row, by the first of them."""
     in_doc = Window.partitionBy("doc").orderBy("pos")
     parts = [F.lead("h", i).over(in_doc) for i in range(gram)]
     grams = lines.select("doc", "pos", F.array(*parts).alias("hs")).filter(
         F.col("hs")[gram - 1].isNotNull()
     )
     g = hash60(F.concat_ws(",", F.transform("hs", lambda x: x.cast("string"))), "gram")
-    grams = grams.select("doc", "pos", g.alias("g"))
+    return grams.select("doc", "pos", g.alias("g"))
+
+
+def winnowed(lines: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+    """``doc, pos, g``: the fingerprints of each document, the rightmost least gram hash of every
+    window of ``window`` grams; a document with fewer grams has one window of them all."""
+    in_doc = Window.partitionBy("doc").orderBy("pos")
+    grams = line_grams(lines, gram)
     least = F.min(F.struct("g", (-F.col("pos")).alias("p")))
     ahead = in_doc.rowsBetween(0, window - 1)
     full = F.row_number().over(Window.partitionBy("doc").orderBy(F.col("pos").desc())) >= window
@@ -76,9 +82,11 @@ def repeated_lines(
     Places are ordered by document key, then position. Each fingerprint is joined with its first
     place alone, found by a grouped minimum, so a passage that most documents share costs one row
     per occurrence. Along each (first document, later document, offset) the lines are compared both
-    ways from the matches, and equal lines connected with a match make up a run. Runs of one
-    document that overlap or touch count as one; those of at least ``gram + window - 1`` lines are
-    deleted.
+    ways from the matches, and equal lines connected with a match make up a run. The first place of
+    a fingerprint may have other lines around it than an earlier place of the run has; so the runs of
+    ``gram + window - 1`` lines that hold a repeated fingerprint are also held against their own
+    first places. Runs of one document that overlap or touch count as one; those of at least
+    ``gram + window - 1`` lines are deleted.
     """
     lines = stage(numbered_lines(docs, key, text), "lines")
     prints = stage(winnowed(lines, gram, window), "line-fingerprints")
@@ -117,13 +125,26 @@ def repeated_lines(
         runs.withColumn("hit", F.max("anchor").over(whole))
         .filter("hit = 1")
         .select("doc", "pos", "line")
-        .distinct()
     )
+    short = gram + window - 1
+    starts = prints.join(bounded_broadcast(first), "g").select(
+        "doc", F.explode(F.sequence(F.greatest(F.col("pos") - (window - 1), F.lit(0)), "pos")).alias("pos")
+    )
+    starts = stage(starts.distinct(), "line-run-starts")
+    holders = stage(starts.select("doc").distinct(), "line-run-documents")
+    held = lines.join(bounded_broadcast(holders), "doc", "left_semi")
+    whole_runs = stage(line_grams(held, short).join(starts, ["doc", "pos"]), "line-runs")
+    origin = whole_runs.groupBy("g").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    origin = stage(origin.filter("n > 1").drop("n"), "line-run-first-places")
+    later = whole_runs.join(bounded_broadcast(origin), "g").filter(place > F.col("first"))
+    places = later.select("doc", F.explode(F.sequence("pos", F.col("pos") + (short - 1))).alias("pos"))
+    rest = held.join(places.distinct(), ["doc", "pos"]).select("doc", "pos", "line")
+    covered = covered.unionByName(rest).distinct()
     merged = covered.withColumn(
         "run", F.col("pos") - F.row_number().over(Window.partitionBy("doc").orderBy("pos"))
     )
     sized = merged.withColumn("n", F.count("*").over(Window.partitionBy("doc", "run")))
-    return sized.filter(F.col("n") >= gram + window - 1).select("doc", "line")
+    return sized.filter(F.col("n") >= short).select("doc", "line")
 
 
 def delete_repeated_lines(

@@ -208,6 +208,19 @@ def test_line_runs(spark):
     )
 
 
+def test_line_runs_whose_pieces_stand_earlier_elsewhere(spark):
+    session(spark)
+    given = []
+    for i in range(20):  # either half of the run holds the least hash; so both stand earlier
+        x, y, z = (f"{c} {i}" for c in "XYZ")
+        given += [["p", x, y, "q"], ["r", y, z, "s"], ["a", x, y, z, "b"], ["c", x, y, z, "d"]]
+    rows = [(k, "\n".join(f"{v} {k}" if len(v) == 1 else v for v in ls)) for k, ls in enumerate(given)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r[0]: r[1] for r in lines.delete_repeated_lines(df).select("doc_id", "text").collect()}
+    assert [got[k] for k in range(3, 80, 4)] == [f"c {k}\nd {k}" for k in range(3, 80, 4)]
+    assert all(got[k] == rows[k][1] for k in range(80) if k % 4 < 2)
+
+
 def test_hot_passage_keeps_one_copy(spark):
     session(spark)
     passage = "\n".join(f"line {i}" for i in range(5))
