@@ -14,7 +14,7 @@ from tallyloom.llm.common import free_name, session, table
 from tallyloom.llm.lines import document_key
 from tallyloom.session import bounded_broadcast, stage
 
-# A span is the shortest run from a sentence on with this many sentences and this many words.
+# A span is the shortest run from a sentence on, or up to one, with this many sentences and words.
 MIN_SENTENCES = 2
 MIN_WORDS = 16
 
@@ -29,10 +29,12 @@ def sentences(text: str) -> list[str]:
 
 
 def spans(text: str, min_sentences: int, min_words: int) -> list[tuple[int, int, int]]:
-    """``first, last, hash`` of the span from each sentence on, by sentence number.
+    """``first, last, hash`` of the spans from each sentence on and up to each, by sentence number.
 
     The hash is the XXH64 of the span's words with A-Z lower-cased. Sentences without words are
-    passed over. The last sentences of a text start no span when too little follows.
+    passed over. The last sentences of a text start no span when too little follows, and the first
+    end none. Of a run that is long enough, the span from its start on reaches some sentence, and
+    the span up to any later one starts within the run: so together they cover it, to its end.
     """
     parts = [
         (i, words)
@@ -40,16 +42,29 @@ def spans(text: str, min_sentences: int, min_words: int) -> list[tuple[int, int,
         if (words := piece.encode("utf-8", "surrogatepass").lower().split())
     ]
     joined = [b" ".join(words) for _, words in parts]
-    found, end, held = [], 0, 0
-    for start, (number, words) in enumerate(parts):
+    sizes = [len(words) for _, words in parts]
+    ranges, end, held = set(), 0, 0
+    for start, size in enumerate(sizes):
         while end < len(parts) and (end - start < min_sentences or held < min_words):
-            held += len(parts[end][1])
+            held += sizes[end]
             end += 1
         if end - start < min_sentences or held < min_words:
             break
+        ranges.add((start, end))
+        held -= size
+    start, held = 0, 0
+    for end, size in enumerate(sizes, 1):
+        held += size
+        while end - start > min_sentences and held - sizes[start] >= min_words:
+            held -= sizes[start]
+            start += 1
+        if end - start >= min_sentences and held >= min_words:
+            ranges.add((start, end))
+    found = []
+    for start, end in sorted(ranges):
         digest = xxhash.xxh64_intdigest(b" ".join(joined[start:end]))
-        found.append((number, parts[end - 1][0], digest - (1 << 64) if digest >> 63 else digest))
-        held -= len(words)
+        signed = digest - (1 << 64) if digest >> 63 else digest
+        found.append((parts[start][0], parts[end - 1][0], signed))
     return found
 
 
@@ -62,7 +77,8 @@ def repeated_sentences(
 ) -> DataFrame:
     """``doc, gone``: per document the numbers of the sentences that a non-first span covers.
 
-    Every span of every document is hashed. Hashes are counted first, so that only spans whose hash
+    Every span of every document is hashed, once for the counts and once for the join, which takes
+    no disk. Hashes are counted first, so that only spans whose hash
     occurs again take part in the join with their first place (a grouped minimum); a passage that a
     third of all documents share costs one row per occurrence, and its key is split by the
     adaptive skew join.
@@ -83,7 +99,7 @@ def repeated_sentences(
             )
 
     every = docs.select(document_key(key, text).alias("doc"), hashed(F.col(text)).alias("found"))
-    every = stage(every.select("doc", F.inline("found")), "spans")
+    every = every.select("doc", F.inline("found"))
     again = every.groupBy("h").count().filter("count > 1").select("h")
     again = stage(again, "span-repeats")
     shared = stage(every.join(bounded_broadcast(again), "h", "left_semi"), "spans-shared")
@@ -105,9 +121,9 @@ def delete_repeated_spans(
 
     The first place of a span keeps it: the document with the least key (null last), in it the
     first sentence. Every sentence covered by a span that occurs at an earlier place goes, with the
-    blanks that follow it; the others stay as they are. A repeated passage loses all whole
-    sentences that its spans cover, so one of several sentences and ``min_words`` words per span is
-    found wherever it stands. A text may become empty; null stays null. Rows equal in key and text
+    blanks that follow it; the others stay as they are. A repeated passage of at least
+    ``min_sentences`` sentences and ``min_words`` words loses all its whole sentences, wherever it
+    stands. A text may become empty; null stays null. Rows equal in key and text
     stand for one document: they are first together and treated alike. A column ``n_removed`` of
     the input is replaced.
     """

@@ -417,6 +417,31 @@ def test_repeated_passage_is_removed_in_other_surroundings(spark):
     assert "".join(spans.sentences(PROSE)) == PROSE and spans.sentences("") == []
 
 
+def test_every_repeated_run_of_sentences_goes(spark):
+    session(spark)
+    rng = np.random.default_rng(6)
+    pool = [" ".join(f"s{i}w{k}" for k in range(rng.integers(1, 13))) + ". " for i in range(60)]
+    pool[:3] = [" ".join(f"t{i}w{k}" for k in range(n)) + ". " for i, n in enumerate((8, 8, 7))]
+    given = [[0, 1, 2, 50], [51, 0, 1, 2, 52]]
+    for _ in range(60):
+        start, n = rng.integers(0, 50), rng.integers(1, 7)
+        given.append([*rng.integers(0, 60, 2), *range(start, start + n), *rng.integers(0, 60, 2)])
+    seen, want = set(), {}
+    for doc, numbers in enumerate(given):
+        gone = set()
+        for a, b in itertools.combinations(range(len(numbers) + 1), 2):
+            run = "".join(pool[i] for i in numbers[a:b])
+            if b - a >= 2 and len(run.split()) >= 16:
+                if run in seen:
+                    gone |= set(range(a, b))
+                seen.add(run)
+        want[doc] = "".join(pool[i] for k, i in enumerate(numbers) if k not in gone)
+    assert want[1] == pool[51] + pool[52]
+    rows = [(doc, "".join(pool[i] for i in numbers)) for doc, numbers in enumerate(given)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r[0]: r[1] for r in spans.delete_repeated_spans(df).collect()} == want
+
+
 # 7 -----------------------------------------------------------------------------------------
 
 
