@@ -8,6 +8,7 @@ from tallyloom.llm.katz import op3_katz
 from tallyloom.llm.lines import OP2_SQL, op2_lines
 from tallyloom.llm.mixing import OP9_SQL, op9_mixing
 from tallyloom.llm.quality import op8_quality
+from tallyloom.llm.search import OP11_SQL, op11_search
 from tallyloom.llm.sharding import op4_sharding, op4_sql
 from tallyloom.llm.simhash import op7_simhash
 from tallyloom.llm.spans import op6_spans
@@ -26,6 +27,7 @@ QUERIES = {
         op8_quality,
         op9_mixing,
         op10_bpe,
+        op11_search,
     )
 }
 
@@ -36,4 +38,5 @@ def oracles() -> dict[str, str]:
         "op4_sharding": op4_sql(),
         "op5_urls": OP5_SQL,
         "op9_mixing": OP9_SQL,
+        "op11_search": OP11_SQL,
     }
