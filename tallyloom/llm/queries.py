@@ -12,6 +12,7 @@ from tallyloom.llm.search import OP11_SQL, op11_search
 from tallyloom.llm.sharding import op4_sharding, op4_sql
 from tallyloom.llm.simhash import op7_simhash
 from tallyloom.llm.spans import op6_spans
+from tallyloom.llm.spelling import op13_spelling
 from tallyloom.llm.urls import OP5_SQL, op5_urls
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
         op9_mixing,
         op10_bpe,
         op11_search,
+        op13_spelling,
     )
 }
 
