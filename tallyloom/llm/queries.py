@@ -7,6 +7,7 @@ from tallyloom.llm.covertree import op1_covertree
 from tallyloom.llm.katz import op3_katz
 from tallyloom.llm.lines import OP2_SQL, op2_lines
 from tallyloom.llm.mixing import OP9_SQL, op9_mixing
+from tallyloom.llm.packing import op12_packing
 from tallyloom.llm.quality import op8_quality
 from tallyloom.llm.search import OP11_SQL, op11_search
 from tallyloom.llm.sharding import op4_sharding, op4_sql
@@ -29,6 +30,7 @@ QUERIES = {
         op9_mixing,
         op10_bpe,
         op11_search,
+        op12_packing,
         op13_spelling,
     )
 }
