@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+import re
 import struct
+import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -12,17 +15,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.bpe import _END, Encoder, default_path, read_vocabulary
+from tallyloom.llm.bpe import (
+    _NEW_CAPITALS,
+    _SPLIT_ONLY,
+    Encoder,
+    default_path,
+    read_vocabulary,
+)
 from tallyloom.llm.common import session, table
 from tallyloom.session import bounded_broadcast, stage
 
 LENGTH = 2048
-# Lengths are told apart in steps of so many tokens; a pattern may leave so many steps unused; the
-# linear program ends within this part of its optimum, or after so many new patterns per size.
+# Lengths are told apart in steps of so many tokens; a pattern may leave this part of a sequence
+# unused; the linear program ends within this part of its optimum, or after so many new patterns
+# per size.
 STEP = 4
-SLACK = 5
+SLACK = 0.01
 GAP = 0.0005
 TURNS = 4
+# Chunks whose ids a task remembers before it starts afresh: bounds memory, not results.
+KNOWN_CHUNKS = 600_000
 
 
 # the plan: a linear program over patterns of lengths --------------------------------------------
@@ -58,8 +70,9 @@ def _fullest(sizes: list[int], left: list[int], first: int, capacity: int) -> li
     room = capacity - sizes[first]
     reached, limit, steps = 1, (1 << room + 1) - 1, []
     for number in range(first, -1, -1):
-        many, times = math.ceil(left[number]) - (number == first), 1
-        while many > 0 and sizes[number] <= room and not reached >> room & 1:
+        many = min(math.ceil(left[number]) - (number == first), room // sizes[number])
+        times = 1
+        while many > 0 and not reached >> room & 1:
             times = min(times, many)
             grown = (reached | reached << sizes[number] * times) & limit
             if grown != reached:
@@ -82,10 +95,10 @@ def _one_after_another(sizes: list[int], left: list, capacity: int, whole: bool)
     for first in range(len(sizes) - 1, -1, -1):
         while left[first]:
             counts = _fullest(sizes, left, first, capacity)
-            copies = min(left[i] // c if whole else left[i] / c for i, c in counts)
+            copies, least = min((left[i] // c if whole else left[i] / c, i) for i, c in counts)
             for i, c in counts:
                 left[i] -= c * copies
-                if left[i] < 1e-6:
+                if not whole and (i == least or left[i] < 1e-6):
                     left[i] = 0
             yield counts, copies, [i for i, _ in counts if left[i] == 0]
 
@@ -150,7 +163,7 @@ def column_generation(
     ]
 
 
-def plan(histogram: dict[int, int], capacity: int, slack: int = SLACK) -> list[tuple[list, int]]:
+def plan(histogram: dict[int, int], capacity: int, slack: int) -> list[tuple[list, int]]:
     """``(pattern, copies)`` with patterns ``[(size, count), ...]`` that fill the capacity but for
     ``slack``, made from a histogram of sizes.
 
@@ -182,47 +195,114 @@ def plan(histogram: dict[int, int], capacity: int, slack: int = SLACK) -> list[t
 # tokens ----------------------------------------------------------------------------------------
 
 
-class QuickEncoder(Encoder):
-    """The same search for a chain of compatible tokens, which looks matches up as it needs them,
-    longest first: quicker for the short words that remain when all known ones are remembered."""
+class BatchEncoder(Encoder):
+    """The ids of many texts at once, equal to those of ``Encoder``.
+
+    Known chunks are remembered. The words of all unknown ones are merged side by side in arrays,
+    one row a word: in each round every row takes its merge of least rank, leftmost first, until
+    none is left. Words of more than ``LONGEST`` bytes are encoded one by one.
+    """
+
+    LONGEST = 48
 
     def __init__(self, vocabulary: dict):
         super().__init__(vocabulary)
-        self.ids = {token: struct.unpack("<I", packed)[0] for token, packed in self.whole.items()}
-        self.longest = max(map(len, self.ids))
-
-    def word(self, word: str) -> bytes:
-        if word.isascii() and word.isprintable():
-            mapped = word + _END
-        else:
+        vocab = vocabulary["vocab"]
+        self.inner = np.array([vocab[c] for c in self.alphabet])
+        self.last = np.array([vocab[c + "</w>"] for c in self.alphabet])
+        self.radix = max(vocab.values()) + 1
+        pairs = sorted((a * self.radix + b, *found) for (a, b), found in self.merge.items())
+        self.keys, self.ranks, self.made = (np.array(c, np.int64) for c in zip(*pairs))
+        self.none = len(pairs)
+        self.capitals = re.compile("[" + "".join(map(chr, _NEW_CAPITALS)) + "]")
+        self.by_chunk: dict[str, bytes] = dict(self.special)
+        self.by_word: dict[str, bytes] = {}
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Number of the merge of each pair in the sorted table, by rank; ``none`` without one."""
+        key = left * self.radix + right
+        at = np.minimum(np.searchsorted(self.keys, key), self.none - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], self.none)
+
+    def _made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return self.made[np.searchsorted(self.keys, left * self.radix + right)]
+
+    def _merged(self, words: list[bytes], size: int) -> list[bytes]:
+        """Packed ids of words of ``size`` bytes."""
+        octets = np.frombuffer(b"".join(words), np.uint8).reshape(-1, size)
+        ids = self.inner[octets]
+        ids[:, -1] = self.last[octets[:, -1]]
+        out: list[bytes] = [b""] * len(words)
+        numbers = np.arange(len(words))
+        ranks = self._ranks(ids[:, :-1], ids[:, 1:])
+        while True:
+            width = ids.shape[1]
+            best = ranks.argmin(axis=1) if width > 1 else np.zeros(len(ids), np.int64)
+            rows = np.arange(len(ids))
+            done = ranks[rows, best] == self.none if width > 1 else np.ones(len(ids), bool)
+            packed = ids[done].astype("<u4").tobytes()
+            for i, number in enumerate(numbers[done].tolist()):
+                out[number] = packed[i * width * 4 : (i + 1) * width * 4]
+            if done.all():
+                return out
+            going = ~done
+            ids, ranks, best, numbers = ids[going], ranks[going], best[going], numbers[going]
+            rows = np.arange(len(ids))
+            ids[rows, best] = self._made(ids[rows, best], ids[rows, best + 1])
+            # Close the gap that the right one of the pair leaves.
+            columns = np.arange(width - 1)
+            ids = np.take_along_axis(ids, columns + (columns > best[:, None]), 1)
+            columns = columns[:-1]
+            ranks = np.take_along_axis(ranks, columns + (columns >= best[:, None]), 1)
+            for beside, there in ((best - 1, best > 0), (best, best < width - 2)):
+                row, at = rows[there], beside[there]
+                ranks[row, at] = self._ranks(ids[row, at], ids[row, at + 1])
+
+    def _learn(self, chunks: list[str]) -> None:
+        # What Python knows as letters alone is one word; the library knows the same and some more.
+        found = [
+            [chunk]
+            if chunk.isalpha()
+            else (self.ascii_words if chunk.isascii() else self.any_words).findall(chunk)
+            for chunk in chunks
+        ]
+        by_size: dict[int, tuple[list[str], list[bytes]]] = {}
+        for word in set(chain.from_iterable(found)).difference(self.by_word):
             octets = word.encode("utf-8", "surrogatepass")
-            mapped = "".join(map(self.alphabet.__getitem__, octets)) + _END
-        if mapped in self.whole:
-            return self.whole[mapped]
-        length, path, dead, at = len(mapped), [], set(), 0
-        size = min(length, self.longest)
-        while at < length:
-            while size:
-                token = self.ids.get(mapped[at : at + size])
-                if (
-                    token is not None
-                    and at + size not in dead
-                    and (not path or self.compatible(path[-1][0], token))
-                ):
-                    break
-                size -= 1
-            if size:
-                path.append((token, size))
-                at += size
-                size = min(length - at, self.longest)
-            elif path:
-                dead.add(at)
-                size = path.pop()[1]
-                at -= size
-                size -= 1
+            if len(octets) > self.LONGEST:
+                self.by_word[word] = self.word(word)
+            else:
+                words, rows = by_size.setdefault(len(octets), ([], []))
+                words.append(word)
+                rows.append(octets)
+        for size, (words, rows) in by_size.items():
+            self.by_word.update(zip(words, self._merged(rows, size)))
+        packed = self.by_word.__getitem__
+        self.by_chunk.update(
+            (chunk, packed(words[0]) if len(words) == 1 else b"".join(map(packed, words)))
+            for chunk, words in zip(chunks, found)
+        )
+
+    def _chunks(self, text: str) -> list[str]:
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        if not text.isascii() and self.capitals.search(text):
+            text = text.translate(_NEW_CAPITALS)
+        if any(map(text.__contains__, _SPLIT_ONLY)):
+            return self.spaces.split(text)
+        return text.split()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = []
+        for text in texts:
+            if any(map(text.__contains__, self.special)):
+                pieces = self.cut.split(text)
+                split.append([c for p in pieces for c in ([p] if p in self.special else self._chunks(p))])
             else:
-                raise ValueError(f"no chain of tokens spells {word!r}")
-        return struct.pack(f"<{len(path)}I", *[token for token, _ in path])
+                split.append(self._chunks(text))
+        if len(self.by_chunk) > KNOWN_CHUNKS:
+            self.by_chunk, self.by_word = dict(self.special), {}
+        self._learn(list(set().union(*split).difference(self.by_chunk)))
+        return [b"".join(map(self.by_chunk.__getitem__, chunks)) for chunks in split]
 
 
 def _encoded(docs: DataFrame, path: str, key: str, text: str, end: int, length: int) -> DataFrame:
@@ -233,12 +313,13 @@ def _encoded(docs: DataFrame, path: str, key: str, text: str, end: int, length:
     type_of = docs.schema[key].dataType.simpleString()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, close = QuickEncoder(vocabulary.value), struct.pack("<I", end)
+        encoder, close = BatchEncoder(vocabulary.value), struct.pack("<I", end)
         part, seq, fulls, same = TaskContext.get().partitionId(), 0, 0, {}
         for batch in batches:
             columns = [[] for _ in range(6)]
-            for body in batch.column(1).to_pylist():
-                ids = encoder((body or b"").decode("utf-8", "replace")) + close
+            texts = [(body or b"").decode("utf-8", "replace") for body in batch.column(1).to_pylist()]
+            for ids in encoder.encode(texts):
+                ids += close
                 tokens = len(ids) // 4
                 size = -(-(tokens % length) // STEP)
                 for column, value in zip(columns, (seq, fulls, size, same.get(size, 0), tokens, ids)):
@@ -303,7 +384,8 @@ def pack(
     counts = stage(tails.groupBy("part", "size").count(), "tail-counts")
     found = counts.groupBy("size").agg(F.sum("count").alias("n")).collect()
     slots, sequences, ranks = [], 0, {}
-    for pattern, copies in plan({row["size"]: row["n"] for row in found}, length // STEP):
+    steps = length // STEP
+    for pattern, copies in plan({r["size"]: r["n"] for r in found}, steps, int(steps * SLACK)):
         slot = 0
         for size, each in pattern:
             low = ranks.get(size, 0)
