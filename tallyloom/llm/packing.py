@@ -313,7 +313,11 @@ def _encoded(docs: DataFrame, path: str, key: str, text: str, end: int, length:
     type_of = docs.schema[key].dataType.simpleString()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, close = BatchEncoder(vocabulary.value), struct.pack("<I", end)
+        # A worker that is used again keeps the value of a broadcast, and so what it has learnt.
+        known, close = vocabulary.value, struct.pack("<I", end)
+        if "encoder" not in known:
+            known["encoder"] = BatchEncoder(known)
+        encoder = known["encoder"]
         part, seq, fulls, same = TaskContext.get().partitionId(), 0, 0, {}
         for batch in batches:
             columns = [[] for _ in range(6)]
