@@ -27,7 +27,8 @@ def parser() -> argparse.ArgumentParser:
     audience = job("audience", "ratings", "users", "movies", "title")
     audience.add_argument("--distinct", action="store_true")
     job("words", "path")
-    job("channel-log", "path", "store")
+    channel = job("channel-log", "path", "store")
+    channel.add_argument("--batch", help="id of the new files; by default the files name it")
     return top
 
 
@@ -46,7 +47,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
         return {"audience": found}
     if args.job == "words":
         return {"words": jobs.words(spark, args.path)}
-    return jobs.channel_log(spark, args.path, args.store)
+    return jobs.channel_log(spark, args.path, args.store, args.batch)
 
 
 def main() -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numbers import float_ratio
+from tallyloom.operators.prefix import running_sum
 
 # Days after which a device counts as kept.
 KEEP_DAYS = (1, 3, 7, 30)
@@ -47,10 +48,13 @@ def start_average(rows: DataFrame, by: list[str] = ()) -> DataFrame:
 
 
 def running_total(rows: DataFrame, by: list[str] = ()) -> DataFrame:
-    """Devices known by the end of each day. The window runs over day counts, not over rows."""
-    order = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-    order = order.orderBy("day").rowsBetween(W.unboundedPreceding, W.currentRow)
-    return news(rows, by).withColumn("total", F.sum("news").over(order))
+    """Devices known by the end of each day. Day counts are added up, not rows: in a window per
+    group, or without groups over ranges of days in many tasks."""
+    counts = news(rows, by)
+    if not by:
+        return running_sum(counts, ["day"], F.col("news"), "total")
+    order = W.partitionBy(*by).orderBy("day").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return counts.withColumn("total", F.sum("news").over(order))
 
 
 def retention(

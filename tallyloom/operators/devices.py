@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.keys import app_device_key, device_hash
@@ -67,7 +67,31 @@ def resolve_devices(rows: DataFrame, stored: DataFrame) -> DataFrame:
     open_pairs = known.filter(
         F.col("device").isNull() & (F.col("imei").isNotNull() | F.col("mac").isNotNull())
     )
+    neither = known.filter(F.col("imei").isNull() & F.col("mac").isNull())
+    linked = open_pairs.filter(F.lit(False))
+    for column in _PAIR:
+        # Identifiers of several pairs; all other pairs are devices by themselves.
+        shared = known.groupBy(column).count().filter("count > 1").select(column)
+        linked = linked.unionByName(open_pairs.join(shared, column, "left_semi").select(*known.columns))
+    linked = stage(linked.distinct(), "linked-pairs")
+    alone = open_pairs.join(
+        linked.select(*[F.col(c).alias(f"_{c}") for c in _PAIR]),
+        F.col("imei").eqNullSafe(F.col("_imei")) & F.col("mac").eqNullSafe(F.col("_mac")),
+        "left_anti",
+    ).withColumn("device", _new_device(F.col("since"), F.col("imei"), F.col("mac")))
+    found = resolved.unionByName(alone).unionByName(neither).select(*_PAIR, "device")
+    if not linked.isEmpty():
+        found = found.unionByName(_linked_devices(linked, resolved))
+    return found.select(*_PAIR, "device.device_id", "device.first_time")
+
+
+def _new_device(since: Column, imei: Column, mac: Column) -> Column:
+    """A device that is named by its earliest pair."""
+    return F.struct(iso_utc(since).alias("first_time"), device_hash(imei, mac).alias("device_id"))
+
 
+def _linked_devices(open_pairs: DataFrame, resolved: DataFrame) -> DataFrame:
+    """``imei, mac, device`` of open pairs that share an identifier with another pair."""
     # A pair with one identifier is a loop: a node that nothing links by itself.
     i, m = F.concat(F.lit("i:"), F.col("imei")), F.concat(F.lit("m:"), F.col("mac"))
     edges = open_pairs.select(F.coalesce(i, m).alias("a"), F.coalesce(m, i).alias("b"))
@@ -86,21 +110,11 @@ def resolve_devices(rows: DataFrame, stored: DataFrame) -> DataFrame:
             "root",
             F.coalesce(
                 F.col("linked"),
-                F.struct(
-                    iso_utc(F.col("first.since")).alias("first_time"),
-                    device_hash(F.col("first.imei"), F.col("first.mac")).alias("device_id"),
-                ),
+                _new_device(F.col("first.since"), F.col("first.imei"), F.col("first.mac")),
             ).alias("device"),
         )
     )
-    fresh = rooted.join(named, "root").select(*_PAIR, "device")
-    neither = known.filter(F.col("imei").isNull() & F.col("mac").isNull())
-    return (
-        resolved.select(*_PAIR, "device")
-        .unionByName(fresh)
-        .unionByName(neither.select(*_PAIR, "device"))
-        .select(*_PAIR, "device.device_id", "device.first_time")
-    )
+    return rooted.join(named, "root").select(*_PAIR, "device")
 
 
 def attach_device(rows: DataFrame, resolved: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,13 +12,15 @@ from tallyloom.operators import basics, devices, logs, ratings, stats
 from tallyloom.session import scratch_scope, stage
 from tallyloom.sources import files, schemas
 from tallyloom.sources.keyed import KeyedTable
+from tallyloom.sources.ledger import FileLedger, digest, list_files
 
 
 def channel_tables(spark: SparkSession, store: str) -> dict[str, KeyedTable]:
     """The keyed tables of the channel log, kept below the folder ``store``."""
     return {
         "devices": KeyedTable(
-            spark, "devices", schemas.DEVICES, f"{store}/devices", key="device_id"
+            spark, "devices", schemas.DEVICES, f"{store}/devices", key="device_id",
+            indexes=("imei", "mac"),
         ),
         "app_devices": KeyedTable(
             spark, "app_devices", schemas.APP_DEVICES, f"{store}/app_devices"
@@ -30,32 +34,56 @@ def channel_tables(spark: SparkSession, store: str) -> dict[str, KeyedTable]:
 def channel_log(
     spark: SparkSession, path: str, store: str, batch: str | None = None
 ) -> dict[str, DataFrame]:
-    """Load log files: resolve devices, keep the three tables up to date, set aside bad lines.
-
-    Lines are parsed once. Devices and app devices can be written again without harm, and the
-    counters of a ``batch`` (by default the path) are added once, however often the job is run; so
-    a job that failed anywhere can simply be run again. Only the parsed lines stay behind, for the
-    malformed rows that are returned.
+    """Load the log files of a folder that no batch has read yet: resolve devices, keep the three
+    tables up to date, set aside bad lines.
+
+    Every file belongs to one batch (see ``FileLedger``) and is counted once, however often the
+    job is run and wherever it failed; a batch that was begun and not finished is taken up first.
+    Without a ``batch`` id the new files name it. A known id that comes with new files, and a file
+    that has changed since it was read, raise. Returns the tables and the malformed lines of the
+    files read; only their parsed lines stay behind.
     """
     tables = channel_tables(spark, store)
-    parsed = stage(logs.parse_lines(files.read_lines(spark, path)), "parsed")
+    ledger = FileLedger(spark, f"{store}/files")
+    for begun in ledger.unfinished(tables["channel_statistics"].batches()):
+        _load_batch(spark, tables, ledger, begun)
+    name = ledger.begin(list_files(spark, path), batch)
+    malformed = _load_batch(spark, tables, ledger, name)
+    return {"malformed": malformed, **{n: table.read() for n, table in tables.items()}}
+
+
+def _load_batch(
+    spark: SparkSession, tables: dict[str, KeyedTable], ledger: FileLedger, batch: str | None
+) -> DataFrame:
+    """Load the files of a begun batch and return its malformed lines (none without a batch).
+
+    Lines are parsed once. Devices and app devices can be written again without harm.
+    """
+    mine = ledger.files_of(batch) if batch else ledger.read().limit(0)
+    # The paths alone come to the driver, which lists them in any case to plan a scan.
+    paths = [re.sub(r"([{}\[\]*?\\])", r"\\\1", row.path) for row in mine.select("path").collect()]
+    lines = spark.read.text(paths) if paths else spark.createDataFrame([], "value string")
+    parsed = stage(logs.parse_lines(lines), "parsed")
+    if not paths:
+        return logs.malformed(parsed)
     with scratch_scope(spark):
         rows = (
             logs.device_rows(logs.good_records(parsed))
             .withColumnsRenamed({"im": "imei", "ai": "android_id"})
             .withColumn("uuid", F.sha2(F.concat_ws("|", "imei", "mac", "timestamp", "ip"), 256))
         )
-        known = tables["devices"].read()
+        # Only stored devices that share an identifier with the batch can matter to it.
+        known = tables["devices"].matching("imei", rows).unionByName(
+            tables["devices"].matching("mac", rows)
+        )
         resolved = stage(devices.resolve_devices(rows, known), "resolved")
         attached = devices.attach_device(rows, resolved)
         attached = attached.withColumnsRenamed({"device_id": "deviceId"})
         counted = stats.increments(stats.with_statistic_id(rows))
-        return {
-            "malformed": logs.malformed(parsed),
-            "devices": tables["devices"].upsert(devices.device_table_update(rows, resolved)),
-            "app_devices": tables["app_devices"].upsert(devices.app_devices(attached)),
-            "channel_statistics": tables["channel_statistics"].add(counted, batch or path),
-        }
+        tables["devices"].upsert(devices.device_table_update(rows, resolved))
+        tables["app_devices"].upsert(devices.app_devices(attached))
+        tables["channel_statistics"].add(counted, batch, digest(mine))
+    return logs.malformed(parsed)
 
 
 def seed_new_devices(rows: DataFrame, apps: KeyedTable, statistics: KeyedTable) -> DataFrame:

@@ -632,3 +632,64 @@ SELECT count(*) AS vectors, CAST(max(len(embedding)) AS INTEGER) AS dimensions,
        CAST(2 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS misplaced
 FROM embeddings
 """
+
+ORACLES["append_compacted"] = """
+SELECT c_mktsegment AS segment, count(*) AS "rows", count(*) AS ids,
+       count(DISTINCT c_name) AS people
+FROM customer
+WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')
+GROUP BY c_mktsegment
+"""
+
+ORACLES["page_after"] = """
+SELECT o_totalprice, o_orderkey, o_custkey FROM orders
+WHERE (o_totalprice, o_orderkey) > (
+  SELECT (o_totalprice, o_orderkey) FROM orders ORDER BY o_orderkey DESC LIMIT 1)
+ORDER BY o_totalprice, o_orderkey LIMIT 25
+"""
+
+ORACLES["device_matching"] = f"""
+WITH stored AS (
+  SELECT 'D' || c_custkey AS device_id, 'I' || c_custkey AS imei, 'M' || c_custkey AS mac,
+         {iso("c_custkey * 1000")} AS first_time
+  FROM customer WHERE (c_custkey // 10) % 2 = 0 AND c_custkey % 2 = 0)
+SELECT device_id, imei, mac, first_time FROM stored
+WHERE mac IN (
+  SELECT 'M' || ((o_custkey // 10) * 10 + (o_custkey % 10 + o_orderkey % 3) % 10)
+  FROM orders WHERE o_custkey % 10 = 7)
+"""
+
+ORACLES["identity_batches"] = """
+WITH RECURSIVE
+links AS (
+  SELECT DISTINCT 'i:I' || o_custkey AS a,
+         'm:M' || ((o_custkey // 10) * 10 + (o_custkey % 10 + o_orderkey % 3) % 10) AS b
+  FROM orders),
+edges AS (SELECT a AS u, b AS v FROM links UNION SELECT b, a FROM links),
+roots(node, root) USING KEY (node) AS (
+  SELECT DISTINCT u, u FROM edges
+  UNION
+  SELECT e.v, min(r.root)
+  FROM roots r JOIN edges e ON r.node = e.u JOIN recurring.roots old ON old.node = e.v
+  WHERE r.root < old.root GROUP BY e.v)
+SELECT node, root FROM roots
+"""
+
+ORACLES["running_total_all"] = f"""
+WITH {VISITS}, news AS (
+  SELECT day, count(*) AS news
+  FROM (SELECT device_id, min(day) AS day FROM visits GROUP BY device_id) GROUP BY day)
+SELECT CAST(day AS VARCHAR) AS day, news,
+       CAST(sum(news) OVER (ORDER BY news.day) AS BIGINT) AS total
+FROM news
+"""
+
+ORACLES["active_between"] = f"""
+WITH {VISITS}
+SELECT event_type, count(DISTINCT device_id) AS actives FROM visits
+WHERE day BETWEEN DATE '2024-01-08' AND DATE '2024-01-21' GROUP BY event_type
+"""
+
+# Stored bitmaps count what the log rows do.
+ORACLES["activity_bitmaps"] = ORACLES["daily_activity"]
+ORACLES["retention_bitmaps"] = ORACLES["retention"]

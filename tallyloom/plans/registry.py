@@ -20,10 +20,14 @@ from tallyloom.operators import (
     ratings,
     stats,
 )
+from tallyloom.operators.bitmaps import DeviceDays
+from tallyloom.operators.identity import Identities
 from tallyloom.plans import jobs, views
 from tallyloom.session import configure, new_folder, stage
 from tallyloom.sources import files, schemas
+from tallyloom.sources.compaction import compact
 from tallyloom.sources.keyed import KeyedTable, append_generated
+from tallyloom.sources.pages import Pages
 
 # Settings of the ratings reports on the given tables.
 TITLE = "red plate"
@@ -560,6 +564,37 @@ def keyed_append(spark, sf):
     )
 
 
+@query
+def append_compacted(spark, sf):
+    """Customers appended in many small writes, whose files are then put together: the same rows."""
+    folder = new_folder(spark, "small-writes")
+    people = views.table(spark, sf, "customer").select(
+        F.col("c_name").alias("username"), F.col("c_mktsegment").alias("segment")
+    )
+    for segment in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"):
+        append_generated(people.filter(F.col("segment") == segment), folder)
+    schema = "username string, segment string, id string"
+    ids = stage(spark.read.schema(schema).parquet(folder).select("id", "username"), "ids-before")
+    compact(spark, folder, schema)
+    saved = spark.read.schema(schema).parquet(folder)
+    kept = saved.join(ids, ["id", "username"], "left_semi")
+    return kept.groupBy("segment").agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("id").alias("ids"),
+        F.count_distinct("username").alias("people"),
+    )
+
+
+@query
+def page_after(spark, sf):
+    """A page far into the orders by price, after the key of the last row of the page before."""
+    orders = views.table(spark, sf, "orders").select("o_totalprice", "o_orderkey", "o_custkey")
+    pages = Pages(spark, new_folder(spark, "pages"), ["o_totalprice", "o_orderkey"], 1000)
+    pages.write(orders)
+    last = orders.orderBy(F.desc("o_orderkey")).select("o_totalprice", "o_orderkey").first()
+    return pages.page(size=25, after=tuple(last))
+
+
 # devices and statistics --------------------------------------------------------------------
 
 
@@ -575,6 +610,30 @@ def device_resolve(spark, sf):
     return table.upsert(devices.device_table_update(rows, resolved))
 
 
+@query
+def device_matching(spark, sf):
+    """Stored devices found by the network ids of a batch, through the index of the table."""
+    table = KeyedTable(
+        spark, "indexed_devices", schemas.DEVICES, new_folder(spark, "indexed"), key="device_id",
+        indexes=("imei", "mac"),
+    )
+    table.replace(views.stored_devices(spark, sf))
+    batch = views.device_log(spark, sf).filter(F.col("imei").endswith("7"))
+    return table.matching("mac", batch).select("device_id", "imei", "mac", "first_time")
+
+
+@query
+def identity_batches(spark, sf):
+    """Identifiers and the least identifier each is linked with, after two batches of log rows."""
+    log = views.device_log(spark, sf).select(
+        F.concat(F.lit("i:"), "imei").alias("a"), F.concat(F.lit("m:"), "mac").alias("b"), "timestamp"
+    )
+    kept = Identities(spark, "identities", new_folder(spark, "identities"))
+    cut = views.millis(F.lit(views.DATE_CUT))
+    kept.absorb(log.filter(F.col("timestamp") < cut))
+    return kept.absorb(log.filter(F.col("timestamp") >= cut))
+
+
 def _identified_rows(spark, sf) -> DataFrame:
     """Log rows with the device id found for their identifiers (no devices stored before)."""
     rows = _log_table(
@@ -688,6 +747,37 @@ def running_total(spark, sf):
     return _day_text(activity.running_total(_visits(spark, sf), ["event_type"]))
 
 
+@query
+def running_total_all(spark, sf):
+    return _day_text(activity.running_total(_visits(spark, sf)))
+
+
+def _device_days(spark, sf) -> DeviceDays:
+    """Days of activity stored as bitmaps, added in two batches of days."""
+    days = DeviceDays(spark, "visits", new_folder(spark, "device-days"), ["event_type"])
+    visits = _visits(spark, sf).withColumn("device_id", F.col("device_id").cast("string"))
+    cut = F.lit(views.EVENT_CUT).cast("timestamp_ntz")
+    days.add_days(visits.filter(F.col("ts") < cut))
+    days.add_days(visits.filter(F.col("ts") >= cut))
+    return days
+
+
+@query
+def activity_bitmaps(spark, sf):
+    return _day_text(_device_days(spark, sf).activity())
+
+
+@query
+def retention_bitmaps(spark, sf):
+    return _day_text(_device_days(spark, sf).retention(), "install_day")
+
+
+@query
+def active_between(spark, sf):
+    """Distinct devices of two weeks, from stored bitmaps."""
+    return _device_days(spark, sf).active_between("2024-01-08", "2024-01-21")
+
+
 @query
 def retention(spark, sf):
     return _day_text(activity.retention(_visits(spark, sf), ["event_type"]), "install_day")

@@ -1,39 +1,40 @@
-"""Keyed document tables: snapshots bucketed by key behind a named view.
+"""Keyed document tables: Parquet partitioned by a stored bucket of the key, behind a named view.
 
-A table is a folder of snapshots ``v=1.buckets=64, v=2.buckets=64, ...``. A change reads the
-current snapshot, writes the next one, and then publishes it with a manifest, so no reader ever
-sees half a change and a failed job leaves the old snapshot in place. The view called like the
-table always shows the published snapshot. Markers of the output committer play no part.
-
-Snapshots are bucketed by key. A merge is one full outer join on the key in which only the incoming
-rows are exchanged: each task streams one stored bucket past its share of them and writes one file.
-The number of buckets follows the size of the table.
+A change reads and rewrites the buckets its keys fall into and leaves the others alone. The new
+rows of those buckets are first written to the side; from then on the change is settled, and it is
+carried out by a dynamic partition overwrite that can be repeated until it is whole. A job that
+fails before leaves the table as it was; one that fails after is finished by the next call. One
+process at a time is assumed, and a DataFrame read before a change must be read anew after it.
 """
 
 from __future__ import annotations
 
-import json
-import re
-import uuid
-import zlib
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.numbers import add_counts
-from tallyloom.session import BROADCAST_LIMIT, measured_bytes, scratch_scope, stage
+from tallyloom.session import bounded_broadcast, scratch_scope, stage
 from tallyloom.sources.files import as_schema
 
-# Stored bytes one bucket is planned for.
+# Stored bytes one bucket is planned for, and the most buckets a table gets.
 BUCKET_BYTES = 128 * 1024 * 1024
+MAX_BUCKETS = 65536
 
-# Names of snapshot folders and manifests.
-SNAPSHOT = r"v=(\d+)\.buckets=\d+"
-MANIFEST = r"manifest-(\d+)\.json"
+BUCKET = "_bucket"
+BATCHES = "batch string, digest string"
+NOTE = f"buckets int, {BATCHES}"
+ENTRIES = "entry string, value string, id string"
 
 
 class KeyedTable:
+    """``buckets`` fixes their number, a power of two; by default it follows the stored size.
+
+    ``indexes`` names columns that rows can be looked up by. Each has a table of entries (value and
+    key) beside the rows, bucketed by value. Entries are added and never taken away, and a lookup
+    holds them against the rows, so an entry of a former value does no harm.
+    """
+
     def __init__(
         self,
         spark: SparkSession,
@@ -42,6 +43,8 @@ class KeyedTable:
         folder: str,
         key: str = "id",
         buckets: int | None = None,
+        indexes: tuple[str, ...] = (),
+        bucket_by: str | None = None,
     ):
         self.spark = spark
         self.name = name
@@ -49,134 +52,106 @@ class KeyedTable:
         self.folder = folder.rstrip("/")
         self.key = key
         self.buckets = buckets
+        self.bucket_by = bucket_by or key
+        self.indexes = {
+            c: KeyedTable(
+                spark, f"{name}_by_{c}", ENTRIES, f"{self.folder}/index={c}", "entry", buckets,
+                bucket_by="value",
+            )
+            for c in indexes
+        }
 
     def on(self, spark: SparkSession) -> KeyedTable:
         """The same table through another session, such as that of a micro-batch."""
-        return KeyedTable(spark, self.name, self.schema, self.folder, self.key, self.buckets)
+        return KeyedTable(
+            spark, self.name, self.schema, self.folder, self.key, self.buckets,
+            tuple(self.indexes), self.bucket_by,
+        )
 
-    # snapshots ---------------------------------------------------------------------------
+    # files -------------------------------------------------------------------------------
 
-    def _file_system(self, folder: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+    def _at(self, folder: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{folder}")
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def _stored_bytes(self, folder: str) -> int:
-        fs, path = self._file_system(folder)
-        return fs.getContentSummary(path).getLength()
+    def _exists(self, folder: str) -> bool:
+        fs, path = self._at(folder)
+        return fs.exists(path)
 
-    def _listed(self, pattern: str) -> list[tuple[int, str]]:
-        """Number and name of what the folder holds under a name like ``pattern``, in order."""
-        fs, path = self._file_system(self.folder)
+    def _delete(self, folder: str) -> None:
+        fs, path = self._at(folder)
+        fs.delete(path, True)
+
+    def _bytes(self, folder: str) -> int:
+        fs, path = self._at(folder)
+        return fs.getContentSummary(path).getLength() if fs.exists(path) else 0
+
+    def _layouts(self) -> list[int]:
+        """Numbers of buckets that rows are stored in: one, or two while the table grows."""
+        fs, path = self._at("")
         names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-        found = [(re.fullmatch(pattern, n), n) for n in names]
-        return sorted((int(match[1]), name) for match, name in found if match)
+        return sorted(int(n.removeprefix("buckets=")) for n in names if n.startswith("buckets="))
 
-    def _manifest(self) -> dict | None:
-        """The newest manifest: version and buckets of the current snapshot, and applied batches.
+    def _rows(self, folder: str) -> DataFrame:
+        schema = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{folder}")
 
-        None for a table that was never written. Snapshots without a manifest, or a manifest whose
-        snapshot is gone, are damage and raise: they are never taken for an empty table.
-        """
-        written = self._listed(MANIFEST)
-        if not written:
-            if self._listed(SNAPSHOT):
-                raise RuntimeError(f"{self.folder} holds snapshots but no manifest")
-            return None
-        fs, path = self._file_system(f"{self.folder}/{written[-1][1]}")
-        stream = fs.open(path)
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        manifest = json.loads(text)
-        if manifest["version"]:
-            fs, path = self._file_system(self._path(manifest["version"], manifest["buckets"]))
-            if not fs.exists(path):
-                raise RuntimeError(f"{self.folder} has lost snapshot {manifest['version']}")
-        return manifest
-
-    def _publish(self, version: int, buckets: int, batches: list[str]) -> None:
-        """Make a snapshot the current one: a manifest of its own, renamed into place when whole."""
-        text = json.dumps({"version": version, "buckets": buckets, "batches": batches})
-        fs, draft = self._file_system(f"{self.folder}/draft-{uuid.uuid4().hex}")
-        _, final = self._file_system(f"{self.folder}/manifest-{version:010d}.json")
-        stream = fs.create(draft)
-        try:
-            stream.write(bytearray(text.encode()))
-        finally:
-            stream.close()
-        if not fs.rename(draft, final):
-            raise RuntimeError(f"another writer published version {version} of {self.folder}")
-
-    def _current(self) -> tuple[int, int] | None:
-        """Version and buckets of the current snapshot."""
-        manifest = self._manifest()
-        if not manifest or not manifest["version"]:
-            return None
-        return manifest["version"], manifest["buckets"]
+    def _bucket(self, value: Column, buckets: int) -> Column:
+        return F.pmod(F.hash(value.cast(self.schema[self.bucket_by].dataType)), F.lit(buckets))
 
-    def _buckets_for(self, incoming_bytes: int) -> int:
-        """Buckets of the next snapshot: a power of two by stored size, never fewer than now."""
+    def _buckets_for(self, incoming_bytes: int, now: int | None) -> int:
+        """Buckets of the changed table: a power of two by stored size, never fewer than now."""
         if self.buckets:
             return self.buckets
-        snapshot = self._current()
-        stored = self._stored_bytes(self._path(*snapshot)) if snapshot else 0
+        stored = self._bytes(f"buckets={now}") if now else 0
         power = 1 << int((stored + incoming_bytes) // BUCKET_BYTES).bit_length()
-        limit = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
-        return max(min(power, limit), snapshot[1] if snapshot else 1)
-
-    def _table(self, version: int) -> str:
-        """Catalog name of a snapshot; tells apart equally named tables in different folders."""
-        return f"{self.name}_{zlib.crc32(self.folder.encode()):08x}_v{version}"
-
-    def _path(self, version: int, buckets: int) -> str:
-        return f"{self.folder}/v={version}.buckets={buckets}"
-
-    def _declare(self, version: int, buckets: int) -> str:
-        """Make a snapshot known to the catalog, with its bucketing, and return its name."""
-        table = self._table(version)
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-            f"CLUSTERED BY (`{self.key}`) INTO {buckets} BUCKETS "
-            f"LOCATION '{self._path(version, buckets)}'"
-        )
-        return table
-
-    def _write_next(self, df: DataFrame, buckets: int, batch: str | None = None) -> DataFrame:
-        manifest = self._manifest()
-        if manifest is None:
-            # From now on a missing manifest is damage, also if this first write fails.
-            self._publish(0, 0, [])
-            manifest = {"version": 0, "buckets": 0, "batches": []}
-        version = max([v for v, _ in self._listed(SNAPSHOT)] + [manifest["version"]]) + 1
-        (
-            self._shaped(df)
-            .write.format("parquet")
-            .bucketBy(buckets, self.key)
-            .option("path", self._path(version, buckets))
-            .saveAsTable(self._table(version))
-        )
-        self._publish(version, buckets, manifest["batches"] + ([batch] if batch else []))
-        following = self.read()
-        if manifest["version"]:
-            # The files stay for readers of the old snapshot; only its catalog entry goes.
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(manifest['version'])}")
-        return following
-
-    def expire(self, keep: int = 2) -> None:
-        """Delete all snapshots but the newest ``keep``, and leftovers of failed writes older than
-        the current one. Readers of a deleted snapshot fail."""
-        manifest = self._manifest()
-        if not manifest:
-            return
-        published = [v for v, _ in self._listed(MANIFEST) if v]
-        kept = set(published[-max(1, keep) :])
-        for pattern in (SNAPSHOT, MANIFEST):
-            for version, name in self._listed(pattern):
-                if version < manifest["version"] and version not in kept and version:
-                    fs, path = self._file_system(f"{self.folder}/{name}")
-                    fs.delete(path, True)
+        return max(min(power, MAX_BUCKETS), now or 1)
+
+    # changes -----------------------------------------------------------------------------
+
+    def _settled(self) -> DataFrame | None:
+        """The note of a change that is written to the side as a whole, if there is one."""
+        if not self._exists("pending/note/_SUCCESS"):
+            return None
+        return self.spark.read.schema(NOTE).parquet(f"{self.folder}/pending/note")
+
+    def _finish(self) -> None:
+        """Carry out a settled change; every step can be repeated. What was not settled goes."""
+        note = self._settled()
+        if note is not None:
+            change = note.first()
+            (
+                self._rows("pending/rows")
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(BUCKET)
+                .parquet(f"{self.folder}/buckets={change.buckets}")
+            )
+            for former in self._layouts():
+                if former != change.buckets:
+                    self._delete(f"buckets={former}")
+            # A repeated row says the same again.
+            applied = note.filter("batch IS NOT NULL").select("batch", "digest")
+            if change.batch is not None:
+                applied.write.mode("append").parquet(f"{self.folder}/batches")
+        if self._exists("pending"):
+            self._delete("pending")
+
+    def batches(self) -> DataFrame:
+        """``batch, digest`` of the batches that were added, as a table."""
+        if not self._exists("batches"):
+            return self.spark.createDataFrame([], BATCHES)
+        return self.spark.read.schema(BATCHES).parquet(f"{self.folder}/batches").distinct()
+
+    def _applied(self, batch: str, digest: str | None) -> bool:
+        """Whether a batch was added before; one that comes with other input is an error."""
+        known = self.batches().filter(F.col("batch") == batch)
+        given = self.spark.createDataFrame([(batch, digest)], BATCHES)
+        if not known.isEmpty() and not known.join(
+            given, known.digest.eqNullSafe(given.digest), "left_anti"
+        ).isEmpty():
+            raise ValueError(f"batch {batch!r} of {self.name} was added with other input")
+        return not known.isEmpty()
 
     def _shaped(self, df: DataFrame) -> DataFrame:
         """Rows with every column of the table, in its order; columns not given are null."""
@@ -191,12 +166,18 @@ class KeyedTable:
 
     # reading -----------------------------------------------------------------------------
 
+    def _stored(self) -> DataFrame:
+        """All rows with their bucket; finishes a settled change first."""
+        if self._exists("pending/note/_SUCCESS"):
+            self._finish()
+        layouts = self._layouts()
+        if layouts:
+            return self._rows(f"buckets={layouts[-1]}")
+        return self.spark.createDataFrame([], self.schema).withColumn(BUCKET, F.lit(None).cast("int"))
+
     def read(self) -> DataFrame:
-        """The newest complete snapshot; also points the view at it."""
-        snapshot = self._current()
-        if not snapshot:
-            return self.spark.createDataFrame([], self.schema)
-        current = self.spark.table(self._declare(*snapshot))
+        """The rows; also points the view at them."""
+        current = self._stored().drop(BUCKET)
         current.createOrReplaceTempView(self.name)
         return current
 
@@ -208,8 +189,47 @@ class KeyedTable:
         return self.read().select(*out)
 
     def lookup(self, value: object) -> DataFrame:
-        """The row with this key: bucket pruning and Parquet filters leave one bucket to read."""
-        return self.read().filter(F.col(self.key) == F.lit(value))
+        """The row with this key: the folder of one bucket is read, with Parquet filters."""
+        return self._in_bucket_of(value, self.key)
+
+    def _in_bucket_of(self, value: object, column: str) -> DataFrame:
+        stored = self._stored()
+        there = F.col(column) == F.lit(value)
+        if layouts := self._layouts():
+            there &= F.col(BUCKET) == self._bucket(F.lit(value), layouts[-1])
+        return stored.filter(there).drop(BUCKET)
+
+    def _touched(self, keys: DataFrame, buckets: int) -> list[int]:
+        """Numbers of the buckets the keys fall into: at most as many as there are buckets."""
+        number = self._bucket(F.col(self.bucket_by), buckets).alias("b")
+        return sorted(row.b for row in keys.select(number).distinct().collect())
+
+    def with_keys(self, keys: DataFrame) -> DataFrame:
+        """Stored rows with one of the keys, read from the buckets of these alone."""
+        stored, layouts = self._stored(), self._layouts()
+        if layouts:
+            stored = stored.filter(F.col(BUCKET).isin(self._touched(keys, layouts[-1])))
+        return stored.drop(BUCKET).join(bounded_broadcast(keys), keys.columns, "left_semi")
+
+    def lookup_by(self, column: str, value: object) -> DataFrame:
+        """The rows with this value in an indexed column: one bucket of the index is read, and of
+        the rows the buckets of the keys found there."""
+        entries = self.indexes[column]._in_bucket_of(str(value), "value")
+        return self._of_entries(entries).filter(F.col(column) == F.lit(value))
+
+    def matching(self, column: str, values: DataFrame) -> DataFrame:
+        """The rows whose indexed column holds one of ``values`` (a DataFrame with that column):
+        only the buckets that these values and the keys found with them fall into are read."""
+        wanted = stage(values.select(column).filter(F.col(column).isNotNull()).distinct(), "wanted")
+        texts = wanted.select(F.col(column).cast("string").alias("value"))
+        return self._of_entries(self.indexes[column].with_keys(texts)).join(
+            bounded_broadcast(wanted), column, "left_semi"
+        ).select(*self.schema.names)
+
+    def _of_entries(self, entries: DataFrame) -> DataFrame:
+        kind = self.schema[self.key].dataType
+        keys = stage(entries.select(F.col("id").cast(kind).alias(self.key)).distinct(), "entries")
+        return self.with_keys(keys)
 
     # writing -----------------------------------------------------------------------------
 
@@ -227,27 +247,36 @@ class KeyedTable:
             key.alias(self.key), *[F.col(f"_row.`{c}`").alias(c) for c in rest]
         )
 
-    def _hashed(self, incoming: DataFrame, buckets: int) -> DataFrame:
-        """Ask for a hash of the incoming rows of each bucket while their measured size is small;
-        beyond that both sides are sorted within their bucket."""
-        small = measured_bytes(incoming) <= BROADCAST_LIMIT * buckets
-        return incoming.hint("shuffle_hash") if small else incoming
-
     def _merge(
-        self, incoming: DataFrame, order: str | None, new_value, batch: str | None = None
+        self,
+        incoming: DataFrame,
+        order: str | None,
+        new_value,
+        batch: str | None = None,
+        digest: str | None = None,
     ) -> DataFrame:
-        """Next snapshot from stored and incoming rows.
+        """Merge incoming rows into their buckets.
 
         ``new_value(old, new, stored)`` is what a column of a supplied row becomes; ``new`` is None
         for a column that is not supplied, and ``stored`` tells whether the key was known. A
         ``batch`` that was applied before changes nothing.
         """
-        if batch is not None and batch in (self._manifest() or {"batches": []})["batches"]:
+        self._finish()
+        if batch is not None and self._applied(batch, digest):
             return self.read()
         with scratch_scope(self.spark):
             incoming = stage(self.one_per_key(incoming, order), "incoming")
-            buckets = self._buckets_for(self._stored_bytes(incoming._staged_path))
-            snapshot = self._current()
+            self._enter(incoming)
+            now = (self._layouts() or [None])[-1]
+            size = self.spark._jvm.org.apache.hadoop.fs.Path(incoming._staged_path)
+            fs = size.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            buckets = self._buckets_for(fs.getContentSummary(size).getLength(), now)
+            stored, tasks = self._stored(), buckets
+            if now == buckets:
+                touched = self._touched(incoming, buckets)
+                stored = stored.filter(F.col(BUCKET).isin(touched))
+                # Tasks divide the buckets, so that none of them is written by two.
+                tasks = min(buckets, 1 << max(0, len(touched) - 1).bit_length())
             names = [f.name for f in self.schema if f.name != self.key]
             given = [n for n in names if n in incoming.columns]
             tagged = incoming.select(
@@ -255,31 +284,44 @@ class KeyedTable:
                 F.lit(True).alias("_hit"),
                 *[F.col(f"`{n}`").alias(f"_new_{n}") for n in given],
             )
-            if not snapshot:
-                stored = self.spark.createDataFrame([], self.schema)
-            elif buckets > snapshot[1]:
-                # Too few buckets for the work: both sides are dealt over the new number.
-                stored = self.spark.read.schema(self.schema).parquet(self._path(*snapshot))
-            else:
-                stored = self.read()
-            if not snapshot or buckets > snapshot[1]:
-                stored = stored.repartition(buckets, self.key)
-                tagged = tagged.repartition(buckets, self.key)
-            merged = stored.withColumn("_stored", F.lit(True)).join(
-                self._hashed(tagged, buckets), self.key, "full_outer"
+            stored = stored.drop(BUCKET).withColumn("_stored", F.lit(True))
+            merged = stored.repartition(tasks, self.key).join(
+                tagged.repartition(tasks, self.key), self.key, "full_outer"
             )
             known = F.col("_stored").isNotNull()
 
-            def column(name: str):
+            def column(name: str) -> Column:
                 old = F.col(f"`{name}`")
                 new = F.col(f"`_new_{name}`") if name in given else None
                 return (
                     F.when(F.col("_hit"), new_value(old, new, known)).otherwise(old).alias(name)
                 )
 
-            return self._write_next(
-                merged.select(self.key, *[column(n) for n in names]), buckets, batch
+            rows = self._shaped(merged.select(self.key, *[column(n) for n in names]))
+            if self.bucket_by != self.key:
+                rows = rows.repartition(tasks, self.bucket_by)
+            (
+                rows.withColumn(BUCKET, self._bucket(F.col(self.bucket_by), buckets))
+                .sortWithinPartitions(BUCKET, self.key)
+                .write.partitionBy(BUCKET)
+                .parquet(f"{self.folder}/pending/rows")
             )
+        note = self.spark.createDataFrame([(buckets, batch, digest)], NOTE).coalesce(1)
+        note.write.parquet(f"{self.folder}/pending/note")
+        self._finish()
+        return self.read()
+
+    def _enter(self, incoming: DataFrame) -> None:
+        """Add the entries of incoming rows to the indexes, before the rows themselves."""
+        for column, index in self.indexes.items():
+            if column in incoming.columns:
+                value, key = F.col(column).cast("string"), F.col(self.key).cast("string")
+                entry = F.concat_ws("#", F.length(value), value, key)
+                index.insert_missing(
+                    incoming.filter(F.col(column).isNotNull()).select(
+                        entry.alias("entry"), value.alias("value"), key.alias("id")
+                    )
+                )
 
     def replace(self, incoming: DataFrame, order: str | None = None) -> DataFrame:
         """Index by id: an incoming row takes the place of the whole stored row."""
@@ -303,21 +345,25 @@ class KeyedTable:
 
         return self._merge(incoming, order, value)
 
-    def add(self, incoming: DataFrame, batch: str | None = None) -> DataFrame:
+    def add(
+        self, incoming: DataFrame, batch: str | None = None, digest: str | None = None
+    ) -> DataFrame:
         """Add the supplied counters to the stored ones, in one join; a missing value counts as 0.
 
         ``incoming`` has one row per key. With ``batch`` a repeated call changes nothing, so a job
-        that failed after counting can be run again.
+        that failed anywhere can be run again: the batch and the counters are settled together.
+        The same batch with another ``digest`` of its input raises.
         """
         return self._merge(
             incoming,
             None,
             lambda old, new, stored: old if new is None else add_counts(old, new),
             batch,
+            digest,
         )
 
     def insert_missing(self, incoming: DataFrame, order: str | None = None) -> DataFrame:
-        """Add the rows whose id is unknown, as the next snapshot; stored rows stay as they are."""
+        """Add the rows whose id is unknown; stored rows stay as they are."""
 
         def value(old, new, stored):
             return F.when(stored, old).otherwise(F.lit(None) if new is None else new)

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from tallyloom.__main__ import parser, run
 
 
@@ -100,6 +102,56 @@ def test_a_batch_counts_once_and_leaves_only_what_is_read(spark, tmp_path, rows_
     assert once == [("app.one#ch1#usa4", 2, 2)]
 
 
+def test_new_files_of_a_folder_are_counted(spark, tmp_path, rows_of):
+    """Run twice over one folder with a new file between, then with a changed one."""
+    folder, store = tmp_path / "logs", str(tmp_path / "store")
+    folder.mkdir()
+
+    def load(*more):
+        args = ["channel-log", "--path", str(folder), "--store", store, *more]
+        return run(spark, parser().parse_args(args))
+
+    write_log(folder / "one", (1612137600002, us(1), []), (1612137600003, us(2), []))
+    counted = ["id", "news", "starts"]
+    assert rows_of(load()["channel_statistics"], *counted) == [("app.one#ch1#usa4", 2, 2)]
+    write_log(folder / "two [x]", (1612137600004, us(1), []))
+    second = load()
+    assert rows_of(second["channel_statistics"], *counted) == [("app.one#ch1#usa4", 3, 3)]
+    assert second["malformed"].count() == 1 and second["devices"].count() == 2
+    third = load()
+    assert rows_of(third["channel_statistics"], *counted) == [("app.one#ch1#usa4", 3, 3)]
+    assert third["malformed"].count() == 0
+    write_log(folder / "three", (1612137600005, us(1), []))
+    assert rows_of(load("--batch", "day 3")["channel_statistics"], *counted) == [("app.one#ch1#usa4", 4, 4)]
+    write_log(folder / "four", (1612137600006, us(1), []))
+    with pytest.raises(ValueError, match="begun without"):
+        load("--batch", "day 3")
+    write_log(folder / "one", (1612137600002, us(1), []))
+    with pytest.raises(ValueError, match="has changed"):
+        load()
+
+
+def test_a_batch_that_failed_is_taken_up_again(spark, tmp_path, rows_of, monkeypatch):
+    from tallyloom.plans import jobs
+    from tallyloom.sources.keyed import KeyedTable
+
+    folder, store = tmp_path / "logs", str(tmp_path / "store")
+    folder.mkdir()
+    write_log(folder / "one", (1612137600002, us(1), []))
+    add = KeyedTable.add
+
+    def failing(self, *given):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(KeyedTable, "add", failing)
+    with pytest.raises(KeyboardInterrupt):
+        jobs.channel_log(spark, str(folder), store)
+    monkeypatch.setattr(KeyedTable, "add", add)
+    write_log(folder / "two", (1612137600003, us(1), []))
+    done = jobs.channel_log(spark, str(folder), store)
+    assert rows_of(done["channel_statistics"], "id", "starts") == [("app.one#ch1#usa4", 2)]
+
+
 def test_only_statistics_of_new_app_devices_are_seeded(spark, tmp_path, rows_of):
     from tallyloom.plans import jobs
     from tallyloom.sources import schemas

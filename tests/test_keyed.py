@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,9 +26,7 @@ def test_empty_table(spark):
     assert empty.read().count() == 0 and empty.read().columns == ["id", "n", "note"]
 
 
-@pytest.mark.parametrize("limit", [keyed.BROADCAST_LIMIT, 0], ids=["hashed", "sorted"])
-def test_replace_upsert_insert(spark, table, rows_of, monkeypatch, limit):
-    monkeypatch.setattr(keyed, "BROADCAST_LIMIT", limit)
+def test_replace_upsert_insert(spark, table, rows_of):
     assert rows_of(table.upsert(incoming(spark, ("b", 5), ("c", 6)))) == [
         ("a", 1, "old"), ("b", 5, "old"), ("c", 6, None)]
     assert rows_of(table.replace(incoming(spark, ("a", 9), ("d", 7)))) == [
@@ -54,22 +54,65 @@ def test_incoming_duplicates_collapse_to_the_latest(spark, table, rows_of):
     assert rows_of(table.insert_missing(batch)).count(("a", 7, "c")) == 1
 
 
-def test_readers_keep_their_snapshot(spark, table, rows_of):
-    before = table.read()
-    table.replace(incoming(spark, ("a", 9)))
-    assert rows_of(before) == [("a", 1, "old"), ("b", 2, "old")]
+def stored_files(table):
+    found = {}
+    for file in table._stored().inputFiles():
+        found.setdefault(int(file.split("_bucket=")[1].split("/")[0]), set()).add(file)
+    return found
+
+
+def many(spark, n):
+    return spark.range(n).select(F.concat(F.lit("k"), "id").alias("id"), F.col("id").alias("n"))
 
 
-def test_a_failed_write_leaves_the_last_snapshot(spark, table, rows_of):
+@pytest.mark.parametrize("change", ["upsert", "replace", "insert_missing", "add"])
+def test_a_change_of_one_row_writes_one_bucket(spark, table, rows_of, change):
+    table.upsert(many(spark, 60))
+    before = stored_files(table)
+    assert len(before) == 4
+    getattr(table, change)(incoming(spark, ("fresh", 5)))
+    after = stored_files(table)
+    assert sum(before[b] != after[b] for b in before) == 1
+    assert rows_of(table.lookup("fresh"), "id", "n") == [("fresh", 5)] and table.read().count() == 63
+
+
+def test_a_failed_write_leaves_the_table(spark, table, rows_of):
     broken = incoming(spark, ("a", 1)).withColumn("n", F.raise_error(F.lit("stop")).cast("bigint"))
     with pytest.raises(Exception):
         table.upsert(broken)
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{table.folder}/v=2.buckets=4")
-    fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(fs_path)
+    # Rows that were written to the side without a note are not settled.
+    table._shaped(incoming(spark, ("a", 7))).withColumn("_bucket", F.lit(0)).write.partitionBy(
+        "_bucket").parquet(f"{table.folder}/pending/rows")
     assert rows_of(table.read()) == [("a", 1, "old"), ("b", 2, "old")]
     assert rows_of(table.upsert(incoming(spark, ("c", 3))))[-1] == ("c", 3, None)
 
 
+def test_a_settled_change_is_finished_by_the_next_call(spark, table, rows_of, monkeypatch):
+    finish, calls = KeyedTable._finish, []
+
+    def stopped(self):
+        calls.append(1)
+        if len(calls) == 1:
+            return finish(self)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(KeyedTable, "_finish", stopped)
+    with pytest.raises(KeyboardInterrupt):
+        table.add(incoming(spark, ("a", 5), ("n", 7)), batch="first", digest="x")
+    monkeypatch.setattr(KeyedTable, "_finish", finish)
+    want = [("a", 6, "old"), ("b", 2, "old"), ("n", 7, None)]
+    assert rows_of(table.on(spark).read()) == want
+    assert rows_of(table.add(incoming(spark, ("a", 5), ("n", 7)), batch="first", digest="x")) == want
+
+
+def test_a_batch_with_other_input_raises(spark, table, rows_of):
+    table.add(incoming(spark, ("a", 5)), batch="first", digest="x")
+    with pytest.raises(ValueError, match="other input"):
+        table.add(incoming(spark, ("a", 6)), batch="first", digest="y")
+    assert rows_of(table.batches()) == [("first", "x")]
+    assert rows_of(table.read())[0] == ("a", 6, "old")
+
+
 def test_scan_and_lookup(spark, table, rows_of):
     got = table.scan("n", metadata=True)
     assert rows_of(got.select("n", F.col("_metadata")["_id"])) == [(1, "a"), (2, "b")]
@@ -79,65 +122,87 @@ def test_scan_and_lookup(spark, table, rows_of):
     assert "EqualTo(id,b)" in plan
 
 
-def test_lookup_reads_the_files_of_one_bucket(spark, table):
-    table.upsert(spark.range(50).select(F.concat(F.lit("k"), "id").alias("id"), F.lit(1).alias("n")))
-    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # one file per partition
-    try:
-        assert table.read().rdd.getNumPartitions() >= 4
-        assert table.lookup("k7").rdd.getNumPartitions() < table.read().rdd.getNumPartitions()
-        assert table.lookup("k7").count() == 1
-    finally:
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+def test_lookup_reads_one_bucket(spark, table):
+    table.upsert(many(spark, 50))
+    found = table.lookup("k7")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_bucket" in plan and found.count() == 1
+    assert len(files_read(found)) == 1
 
 
-def merge_plan(spark, table, batch, monkeypatch):
-    """The plan of the snapshot a merge writes."""
-    written = []
-    monkeypatch.setattr(
-        table, "_write_next",
-        lambda df, buckets, batch=None: written.append((df._jdf.queryExecution().executedPlan().toString(), buckets)),
+def files_read(df):
+    rows = df.select(F.input_file_name().alias("f")).distinct().collect()
+    return {row.f for row in rows}
+
+
+@pytest.fixture
+def indexed(spark):
+    made = KeyedTable(
+        spark, "people", "id string, imei string, mac string, n bigint", new_folder(spark, "people"),
+        buckets=8, indexes=("imei", "mac"),
     )
-    table.upsert(batch)
-    return written[0]
+    made.replace(spark.range(40).selectExpr(
+        "'d' || id AS id", "'i' || id AS imei", "'m' || (id DIV 2) AS mac", "id AS n"))
+    return made
 
 
-@pytest.mark.parametrize("partitions", [2, 4, 16])
-def test_merge_exchanges_only_incoming_rows(spark, table, monkeypatch, partitions):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", partitions)
-    try:
-        plan, buckets = merge_plan(spark, table, incoming(spark, ("b", 5)), monkeypatch)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert buckets == 4
-    assert "ShuffledHashJoin" in plan and "FullOuter" in plan
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "hashpartitioning(id" in plan and ", 4)" in plan
-    assert "Bucketed: true" in plan
+def test_lookup_by_another_column_reads_one_bucket_of_index_and_rows(spark, indexed, rows_of):
+    found = indexed.lookup_by("imei", "i7")
+    assert rows_of(found, "id") == [("d7",)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*_bucket#\d+ (= |IN \()\d+\)", plan)
+    entries = indexed.indexes["imei"]._in_bucket_of("i7", "value")
+    assert len(files_read(entries)) == 1
+    assert rows_of(indexed.lookup_by("mac", "m3"), "id") == [("d6",), ("d7",)]
+    assert indexed.lookup_by("mac", "none").count() == 0
 
 
-def test_merge_of_many_rows_sorts(spark, table, monkeypatch):
-    monkeypatch.setattr(keyed, "BROADCAST_LIMIT", 0)
-    plan, _ = merge_plan(spark, table, incoming(spark, ("b", 5)), monkeypatch)
-    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+def test_a_former_value_is_not_found(spark, indexed, rows_of):
+    indexed.upsert(spark.createDataFrame([("d7", "moved")], "id string, imei string"))
+    assert indexed.lookup_by("imei", "i7").count() == 0
+    assert rows_of(indexed.lookup_by("imei", "moved"), "id", "mac") == [("d7", "m3")]
+    wanted = spark.createDataFrame([("i7",), ("moved",), ("i9",), (None,), ("i9",)], "imei string")
+    assert rows_of(indexed.matching("imei", wanted), "id") == [("d7",), ("d9",)]
+    assert indexed.matching("mac", spark.createDataFrame([], "mac string")).count() == 0
+
+
+def merge_plan(spark, table, batch, monkeypatch):
+    """The plan of the rows that a merge writes to the side."""
+    found = []
+    shaped = table._shaped
+
+    def seen(df):
+        out = shaped(df)
+        found.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(table, "_shaped", seen)
+    table.upsert(batch)
+    return found[-1]
+
+
+def test_merge_reads_touched_buckets_and_exchanges_each_side_once(spark, table, monkeypatch):
+    table.upsert(many(spark, 60))
+    batch = incoming(spark, *[(f"k{n}", 5) for n in range(12)])
+    plan = merge_plan(spark, table, batch, monkeypatch)
+    assert "FullOuter" in plan and plan.count("Exchange hashpartitioning") == 2
+    assert "PartitionFilters: [_bucket" in plan
 
 
 def test_buckets_follow_the_size(spark, rows_of, monkeypatch):
     grown = KeyedTable(spark, "grown", SCHEMA, new_folder(spark, "grown"))
     grown.replace(incoming(spark, ("a", 1)))
-    assert grown._current() == (1, 1)
+    assert grown._layouts() == [1]
     monkeypatch.setattr(keyed, "BUCKET_BYTES", 1000)
-    many = spark.range(500).select(
-        F.concat(F.lit("k"), "id").alias("id"), F.col("id").alias("n"), F.lit("x").alias("note")
-    )
-    assert grown.upsert(many).count() == 501
-    version, buckets = grown._current()
-    assert version == 2 and buckets >= 4 and buckets & (buckets - 1) == 0
+    noted = many(spark, 500).withColumn("note", F.lit("x"))
+    assert grown.upsert(noted).count() == 501
+    (buckets,) = grown._layouts()
+    assert buckets >= 4 and buckets & (buckets - 1) == 0
     assert grown.upsert(incoming(spark, ("k3", 0))).filter("id = 'k3' and note = 'x' and n = 0").count() == 1
     assert grown.read().count() == 501
     monkeypatch.setattr(keyed, "BUCKET_BYTES", 1 << 30)
     grown.upsert(incoming(spark, ("z", 0)))
-    assert grown._current()[1] >= buckets
+    assert grown._layouts()[0] >= buckets
 
 
 def test_another_session_reads_the_same_table(spark, table, rows_of):
@@ -154,47 +219,12 @@ def test_append_with_generated_ids(spark):
     assert saved.count() == 4 and saved.select("id").distinct().count() == 4
 
 
-def file_system(table):
-    return table._file_system(table.folder)
-
-
-def test_snapshots_without_manifest_are_damage(spark, table):
-    fs, _ = file_system(table)
-    for _, name in table._listed(keyed.MANIFEST):
-        fs.delete(table._file_system(f"{table.folder}/{name}")[1], False)
-    with pytest.raises(RuntimeError, match="no manifest"):
-        table.read()
-    with pytest.raises(RuntimeError, match="no manifest"):
-        table.upsert(incoming(spark, ("b", 5)))
-
-
-def test_a_lost_snapshot_is_damage_and_markers_play_no_part(spark, table, rows_of):
-    fs, _ = file_system(table)
-    folder = table._path(*table._current())
-    fs.delete(table._file_system(f"{folder}/_SUCCESS")[1], False)
-    assert rows_of(table.upsert(incoming(spark, ("c", 3))))[0] == ("a", 1, "old")
-    fs.delete(table._file_system(table._path(*table._current()))[1], True)
-    with pytest.raises(RuntimeError, match="lost snapshot"):
-        table.read()
-
-
-def test_a_large_batch_after_a_small_table_is_dealt_over_more_tasks(spark, rows_of, monkeypatch):
-    grown = KeyedTable(spark, "small_first", SCHEMA, new_folder(spark, "small-first"))
-    grown.replace(incoming(spark, ("a", 1)))
-    monkeypatch.setattr(keyed, "BUCKET_BYTES", 500)
-    many = spark.range(500).select(F.concat(F.lit("k"), "id").alias("id"), F.col("id").alias("n"))
-    plan, buckets = merge_plan(spark, grown, many, monkeypatch)
-    assert buckets > 4 and plan.count(f", {buckets})") >= 2
-    assert "hashpartitioning(id" in plan and "SinglePartition" not in plan
-
-
 def test_inserting_grows_the_buckets(spark, monkeypatch):
     grown = KeyedTable(spark, "inserted", SCHEMA, new_folder(spark, "inserted"))
     grown.replace(incoming(spark, ("a", 1)))
     monkeypatch.setattr(keyed, "BUCKET_BYTES", 500)
-    many = spark.range(500).select(F.concat(F.lit("k"), "id").alias("id"), F.col("id").alias("n"))
-    assert grown.insert_missing(many).count() == 501
-    assert grown._current()[0] == 2 and grown._current()[1] > 1
+    assert grown.insert_missing(many(spark, 500)).count() == 501
+    assert grown._layouts()[0] > 1
 
 
 def test_null_keys_are_refused(spark, table, rows_of):
@@ -211,14 +241,3 @@ def test_counters_add_once_per_batch(spark, table, rows_of):
     assert rows_of(table.add(batch, batch="first")) == want
     assert rows_of(table.add(batch, batch="first")) == want
     assert rows_of(table.add(batch, batch="second"))[0] == ("a", 11, "old")
-
-
-def test_catalog_and_expiry(spark, table, rows_of):
-    for n in range(3):
-        table.upsert(incoming(spark, ("a", n)))
-    listed = [t.name for t in spark.catalog.listTables() if t.name.startswith("things_")]
-    own = [name for name in listed if name.startswith(table._table(0).removesuffix("0"))]
-    assert own == [table._table(4)]
-    table.expire(keep=2)
-    assert [v for v, _ in table._listed(keyed.SNAPSHOT)] == [3, 4]
-    assert rows_of(table.read())[0] == ("a", 2, "old")
