@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 import struct
 import unicodedata
 from collections.abc import Iterator
@@ -214,7 +213,7 @@ class BatchEncoder(Encoder):
         pairs = sorted((a * self.radix + b, *found) for (a, b), found in self.merge.items())
         self.keys, self.ranks, self.made = (np.array(c, np.int64) for c in zip(*pairs))
         self.none = len(pairs)
-        self.capitals = re.compile("[" + "".join(map(chr, _NEW_CAPITALS)) + "]")
+        self.capitals = chr(min(_NEW_CAPITALS))
         self.by_chunk: dict[str, bytes] = dict(self.special)
         self.by_word: dict[str, bytes] = {}
 
@@ -263,7 +262,11 @@ class BatchEncoder(Encoder):
         found = [
             [chunk]
             if chunk.isalpha()
-            else (self.ascii_words if chunk.isascii() else self.any_words).findall(chunk)
+            else self.ascii_words.findall(chunk)
+            if chunk.isascii()
+            else self.any_words.findall(
+                chunk if max(chunk) < self.capitals else chunk.translate(_NEW_CAPITALS)
+            )
             for chunk in chunks
         ]
         by_size: dict[int, tuple[list[str], list[bytes]]] = {}
@@ -285,8 +288,6 @@ class BatchEncoder(Encoder):
 
     def _chunks(self, text: str) -> list[str]:
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        if not text.isascii() and self.capitals.search(text):
-            text = text.translate(_NEW_CAPITALS)
         if any(map(text.__contains__, _SPLIT_ONLY)):
             return self.spaces.split(text)
         return text.split()
