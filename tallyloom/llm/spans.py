@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.llm.common import free_name, session, table
 from tallyloom.llm.lines import document_key
@@ -20,6 +23,7 @@ MIN_WORDS = 16
 
 # A sentence ends after marks and blanks, or after the end of a line; what it ends with is its own.
 _END = re.compile(r"[.!?][ \t\r\v\f]+|\n")
+_END_BYTES = re.compile(_END.pattern.encode())
 
 
 def sentences(text: str) -> list[str]:
@@ -28,43 +32,66 @@ def sentences(text: str) -> list[str]:
     return [text[a:b] for a, b in zip(cuts, cuts[1:]) if a < b]
 
 
-def spans(text: str, min_sentences: int, min_words: int) -> list[tuple[int, int, int]]:
-    """``first, last, hash`` of the spans from each sentence on and up to each, by sentence number.
+# Odd numbers without a pattern: two polynomials over sentence hashes, modulo 2^64.
+_BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
-    The hash is the XXH64 of the span's words with A-Z lower-cased. Sentences without words are
-    passed over. The last sentences of a text start no span when too little follows, and the first
+
+class _Powers:
+    """Powers of the bases and of their inverses, as many as the longest text so far needs."""
+
+    def __init__(self) -> None:
+        self.up = [np.ones(1, np.uint64) for _ in _BASES]
+        self.down = [np.ones(1, np.uint64) for _ in _BASES]
+
+    def grow(self, n: int) -> None:
+        if n > len(self.up[0]):
+            for i, base in enumerate(_BASES):
+                for table, factor in ((self.up, base), (self.down, pow(base, -1, 1 << 64))):
+                    factors = np.full(2 * n, factor, np.uint64)
+                    factors[0] = 1
+                    table[i] = np.cumprod(factors)
+
+
+def spans(
+    text: str, min_sentences: int, min_words: int, powers: _Powers | None = None
+) -> np.ndarray:
+    """Rows ``first, last, hash, check`` of the spans from each sentence on and up to each, by
+    sentence number, with 64 and 32 bits that tell the sequence of their sentences.
+
+    A sentence is told by the XXH64 of its words with A-Z lower-cased; those without words are
+    passed over. Sums of the sentence hashes times powers of a number give the hash of any span in
+    one step. The last sentences of a text start no span when too little follows, and the first
     end none. Of a run that is long enough, the span from its start on reaches some sentence, and
     the span up to any later one starts within the run: so together they cover it, to its end.
     """
-    parts = [
-        (i, words)
-        for i, piece in enumerate(sentences(text))
-        if (words := piece.encode("utf-8", "surrogatepass").lower().split())
-    ]
-    joined = [b" ".join(words) for _, words in parts]
-    sizes = [len(words) for _, words in parts]
-    ranges, end, held = set(), 0, 0
-    for start, size in enumerate(sizes):
-        while end < len(parts) and (end - start < min_sentences or held < min_words):
-            held += sizes[end]
-            end += 1
-        if end - start < min_sentences or held < min_words:
-            break
-        ranges.add((start, end))
-        held -= size
-    start, held = 0, 0
-    for end, size in enumerate(sizes, 1):
-        held += size
-        while end - start > min_sentences and held - sizes[start] >= min_words:
-            held -= sizes[start]
-            start += 1
-        if end - start >= min_sentences and held >= min_words:
-            ranges.add((start, end))
-    found = []
-    for start, end in sorted(ranges):
-        digest = xxhash.xxh64_intdigest(b" ".join(joined[start:end]))
-        signed = digest - (1 << 64) if digest >> 63 else digest
-        found.append((parts[start][0], parts[end - 1][0], signed))
+    data = text.encode("utf-8", "surrogatepass").lower()
+    cuts = [0, *(m.end() for m in _END_BYTES.finditer(data)), len(data)]
+    split = [(data[a:b].split(), i) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    parts = [(words, i) for words, i in split if words]
+    n = len(parts)
+    if n < min_sentences:
+        return np.zeros((0, 4), np.int64)
+    numbers = np.array([i for _, i in parts], np.int64)
+    words = np.cumsum([0] + [len(w) for w, _ in parts])
+    # The shortest spans from each sentence on, and up to each.
+    start = np.arange(n)
+    end = np.maximum(start + min_sentences, np.searchsorted(words, words[:-1] + min_words))
+    on = start[end <= n] * (n + 1) + end[end <= n]
+    stop = np.arange(1, n + 1)
+    begin = np.minimum(
+        stop - min_sentences, np.searchsorted(words, words[1:] - min_words, "right") - 1
+    )
+    upto = begin[begin >= 0] * (n + 1) + stop[begin >= 0]
+    start, end = np.divmod(np.unique(np.concatenate([on, upto])), n + 1)
+    powers = powers or _Powers()
+    powers.grow(n + 1)
+    own = np.array([xxhash.xxh64_intdigest(b" ".join(w)) for w, _ in parts], np.uint64)
+    found = np.empty((len(start), 4), np.int64)
+    found[:, 0], found[:, 1] = numbers[start], numbers[end - 1]
+    for i, (up, down) in enumerate(zip(powers.up, powers.down)):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own * up[:n])])
+        found[:, 2 + i] = ((sums[end] - sums[start]) * down[start]).view(np.int64)
+    found[:, 3] >>= 32
     return found
 
 
@@ -75,39 +102,41 @@ def repeated_sentences(
     min_sentences: int = MIN_SENTENCES,
     min_words: int = MIN_WORDS,
 ) -> DataFrame:
-    """``doc, gone``: per document the numbers of the sentences that a non-first span covers.
+    """``doc, gone``: per document the non-first spans, as numbers of their first and last sentences.
 
-    Every span of every document is hashed, once for the counts and once for the join, which takes
-    no disk. Hashes are counted first, so that only spans whose hash
-    occurs again take part in the join with their first place (a grouped minimum); a passage that a
-    third of all documents share costs one row per occurrence, and its key is split by the
-    adaptive skew join.
+    Every span of every document is hashed once and written. Hashes are counted first, so that only
+    spans whose hash occurs again take part in the join with their first place (a grouped minimum);
+    a passage that a third of all documents share costs one row per occurrence, and its key is split
+    by the adaptive skew join. Spans are equal if 96 bits are.
     """
 
-    @F.pandas_udf("array<struct<first:int,last:int,h:long>>")
-    def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = _Powers()
         for batch in batches:
-            yield pd.Series(
-                [
-                    [
-                        {"first": a, "last": b, "h": h}
-                        for a, b, h in spans(body or "", min_sentences, min_words)
-                    ]
-                    for body in batch
-                ],
-                dtype=object,
+            found = [
+                spans((body or b"").decode("utf-8", "replace"), min_sentences, min_words, powers)
+                for body in batch.column(1).to_pylist()
+            ]
+            rows = np.concatenate(found)
+            own = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32())
+            yield pa.record_batch(
+                [batch.column(0).take(pa.array(own))]
+                + [pa.array(rows[:, i]).cast(kind) for i, kind in enumerate(kinds)],
+                ["doc", "first", "last", "h", "g"],
             )
 
-    every = docs.select(document_key(key, text).alias("doc"), hashed(F.col(text)).alias("found"))
-    every = every.select("doc", F.inline("found"))
-    again = every.groupBy("h").count().filter("count > 1").select("h")
+    rows = docs.select(document_key(key, text).alias("doc"), F.col(text).cast("binary").alias("body"))
+    schema = T.StructType([rows.schema["doc"], *T.StructType.fromDDL("first int, last int, h long, g int")])
+    every = stage(rows.mapInArrow(hashed, schema), "spans")
+    again = every.groupBy("h", "g").count().filter("count > 1").select("h", "g")
     again = stage(again, "span-repeats")
-    shared = stage(every.join(bounded_broadcast(again), "h", "left_semi"), "spans-shared")
+    shared = stage(every.join(bounded_broadcast(again), ["h", "g"], "left_semi"), "spans-shared")
     place = F.struct("doc", "first")
-    first = stage(shared.groupBy("h").agg(F.min(place).alias("at")), "span-first-places")
-    later = shared.join(bounded_broadcast(first), "h").filter(place > F.col("at"))
-    numbers = later.select("doc", F.explode(F.sequence("first", "last")).alias("i"))
-    return numbers.distinct().groupBy("doc").agg(F.collect_set("i").alias("gone"))
+    first = stage(shared.groupBy("h", "g").agg(F.min(place).alias("at")), "span-first-places")
+    later = shared.join(bounded_broadcast(first), ["h", "g"]).filter(place > F.col("at"))
+    # At most two spans per sentence of a document are collected.
+    return later.groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("gone"))
 
 
 def delete_repeated_spans(
@@ -134,24 +163,29 @@ def delete_repeated_spans(
     own = document_key(key, text)
     joined = base.join(found, own.eqNullSafe(F.col(names["_doc"])), "left")
 
-    @F.pandas_udf("string")
-    def cleaned(texts: pd.Series, gone: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                body
-                if body is None or numbers is None
-                else "".join(s for i, s in enumerate(sentences(body)) if i not in numbers)
-                for body, numbers in zip(texts, (None if g is None else set(g.tolist()) for g in gone))
-            ],
-            dtype=object,
-        )
+    cleaned = "text string, n long"
+
+    @F.pandas_udf(cleaned)
+    def clean(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
+        kept, removed = [], []
+        for body, ranges in zip(texts, gone):
+            numbers = {
+                i for r in (() if ranges is None else ranges) for i in range(r["first"], r["last"] + 1)
+            }
+            # A sentence without words within a span goes with it.
+            kept.append(
+                "".join(s for i, s in enumerate(sentences(body)) if i not in numbers)
+                if numbers
+                else body
+            )
+            removed.append(len(numbers))
+        return pd.DataFrame({"text": kept, "n": removed})
 
+    made = free_name(joined.columns, "_clean")
+    joined = joined.withColumn(made, clean(F.col(text), F.col(names["_gone"])))
     return joined.select(
-        *[
-            cleaned(F.col(text), F.col(names["_gone"])).alias(c) if c == text else F.col(c)
-            for c in base.columns
-        ],
-        F.coalesce(F.size(names["_gone"]), F.lit(0)).cast("long").alias("n_removed"),
+        *[F.col(made)["text"].alias(c) if c == text else F.col(c) for c in base.columns],
+        F.col(made)["n"].alias("n_removed"),
     )
 
 
