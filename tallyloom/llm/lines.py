@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import free_name, hash60, session, table
+from tallyloom.llm.common import free_name, hash60, session, table, word_count
 from tallyloom.session import bounded_broadcast, stage
 
 # Lines hashed together, and such hashes of which a window keeps the least: every repeated run of
 # at least GRAM + WINDOW - 1 lines holds a fingerprint, and fingerprints overlap or touch.
 GRAM = 2
 WINDOW = 2
+# A line of so many words is a run by itself.
+LONG_WORDS = 50
+
+_BLANKS = " \t\n\x0b\f\r"
 
 
 def line_hash(line: Column) -> Column:
@@ -29,18 +33,22 @@ def document_key(key: str, text: str) -> Column:
 
 
 def numbered_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    r"""``doc, line, pos, h``: the lines with a word, by their number in the text (``line``, split
-    at \n) and among the lines with a word (``pos``)."""
+    r"""``doc, line, pos, h, long``: the lines with a word, by their number in the text (``line``,
+    split at \n) and among the lines with a word (``pos``), and whether they have ``LONG_WORDS``."""
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
     kept = F.filter(
         F.transform(lines, lambda x, i: F.struct(i.alias("line"), x.alias("x"))),
-        lambda s: F.length(F.translate(s["x"], " \t\n\x0b\f\r", "")) > 0,
+        lambda s: F.length(F.translate(s["x"], _BLANKS, "")) > 0,
     )
+    line = F.col("s.x")
+    # Words are counted only where a line has blanks enough.
+    blanks = F.length(line) - F.length(F.translate(line, _BLANKS, ""))
+    long = F.when(blanks >= LONG_WORDS - 1, word_count(line) >= LONG_WORDS).otherwise(False)
     # One row for each document: repeated rows stand for one.
     return (
         docs.select(document_key(key, text).alias("doc"), kept.alias("kept"))
         .select("doc", F.posexplode("kept").alias("pos", "s"))
-        .select("doc", F.col("s.line").alias("line"), "pos", line_hash(F.col("s.x")).alias("h"))
+        .select("doc", F.col("s.line").alias("line"), "pos", line_hash(line).alias("h"), long.alias("long"))
         .distinct()
     )
 
@@ -79,72 +87,39 @@ def repeated_lines(
 ) -> DataFrame:
     """``doc, line``: the lines to delete, those of runs that an earlier place already has.
 
-    Places are ordered by document key, then position. Each fingerprint is joined with its first
-    place alone, found by a grouped minimum, so a passage that most documents share costs one row
-    per occurrence. Along each (first document, later document, offset) the lines are compared both
-    ways from the matches, and equal lines connected with a match make up a run. The first place of
-    a fingerprint may have other lines around it than an earlier place of the run has; so the runs of
-    ``gram + window - 1`` lines that hold a repeated fingerprint are also held against their own
-    first places. Runs of one document that overlap or touch count as one; those of at least
-    ``gram + window - 1`` lines are deleted.
+    Places are ordered by document key, then position. Winnowing selects fingerprints so that both
+    copies of ``gram + window - 1`` lines select the same one. Around each fingerprint that occurs
+    again, the runs of that many lines that hold it are held against their own first places, found
+    by a grouped minimum, so a passage that most documents share costs one row per occurrence; the
+    runs that stand earlier extend each other both ways as they overlap, and all their lines go.
+    So exactly the lines of runs of ``gram + window - 1`` lines that stand earlier are deleted, and
+    rows stay in proportion to lines. Lines of ``LONG_WORDS`` words are held against their own first
+    places as well.
     """
     lines = stage(numbered_lines(docs, key, text), "lines")
     prints = stage(winnowed(lines, gram, window), "line-fingerprints")
     place = F.struct("doc", "pos")
-    first = prints.groupBy("g").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    # Written, so that the join below reads both sides as they are and can split a hot one.
-    first = stage(first.filter("n > 1").drop("n"), "line-first-places")
-    again = (
-        prints.join(bounded_broadcast(first), "g")
-        .filter(place > F.col("first"))
-        .select(
-            F.col("first.doc").alias("source"),
-            "doc",
-            (F.col("pos") - F.col("first.pos")).alias("shift"),
-            "pos",
-        )
-    )
-    anchors = stage(again, "line-matches")
-    diagonals = anchors.select("source", "doc", "shift").distinct()
-    ours = lines.join(diagonals, "doc").select(
-        "source", "doc", "shift", "pos", "line", "h", (F.col("pos") - F.col("shift")).alias("there")
-    )
-    theirs = lines.select(
-        F.col("doc").alias("source"), F.col("pos").alias("there"), F.col("h").alias("their_h")
-    )
-    equal = ours.join(theirs, ["source", "there"]).filter(F.col("h") == F.col("their_h"))
-    # A match says that the next lines of its gram are equal too, so it marks its first line.
-    marked = equal.join(
-        anchors.withColumn("anchor", F.lit(1)), ["source", "doc", "shift", "pos"], "left"
-    )
-    along = Window.partitionBy("source", "doc", "shift").orderBy("pos")
-    island = F.col("pos") - F.row_number().over(along)
-    runs = marked.withColumn("island", island)
-    whole = Window.partitionBy("source", "doc", "shift", "island")
-    covered = (
-        runs.withColumn("hit", F.max("anchor").over(whole))
-        .filter("hit = 1")
-        .select("doc", "pos", "line")
-    )
+    again = prints.groupBy("g").count().filter("count > 1").select("g")
+    again = stage(again, "line-repeats")
     short = gram + window - 1
-    starts = prints.join(bounded_broadcast(first), "g").select(
+    starts = prints.join(bounded_broadcast(again), "g", "left_semi").select(
         "doc", F.explode(F.sequence(F.greatest(F.col("pos") - (window - 1), F.lit(0)), "pos")).alias("pos")
     )
     starts = stage(starts.distinct(), "line-run-starts")
     holders = stage(starts.select("doc").distinct(), "line-run-documents")
     held = lines.join(bounded_broadcast(holders), "doc", "left_semi")
-    whole_runs = stage(line_grams(held, short).join(starts, ["doc", "pos"]), "line-runs")
-    origin = whole_runs.groupBy("g").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    # Written, so that the joins below read both sides as they are and can split a hot one.
+    runs = stage(line_grams(held, short).join(starts, ["doc", "pos"]), "line-runs")
+    origin = runs.groupBy("g").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     origin = stage(origin.filter("n > 1").drop("n"), "line-run-first-places")
-    later = whole_runs.join(bounded_broadcast(origin), "g").filter(place > F.col("first"))
+    later = runs.join(bounded_broadcast(origin), "g").filter(place > F.col("first"))
     places = later.select("doc", F.explode(F.sequence("pos", F.col("pos") + (short - 1))).alias("pos"))
-    rest = held.join(places.distinct(), ["doc", "pos"]).select("doc", "pos", "line")
-    covered = covered.unionByName(rest).distinct()
-    merged = covered.withColumn(
-        "run", F.col("pos") - F.row_number().over(Window.partitionBy("doc").orderBy("pos"))
-    )
-    sized = merged.withColumn("n", F.count("*").over(Window.partitionBy("doc", "run")))
-    return sized.filter(F.col("n") >= short).select("doc", "line")
+    covered = held.join(places.distinct(), ["doc", "pos"]).select("doc", "line")
+    long = lines.filter("long")
+    source = long.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    source = stage(source.filter("n > 1").drop("n"), "long-line-first-places")
+    copies = long.join(bounded_broadcast(source), "h").filter(place > F.col("first"))
+    return covered.unionByName(copies.select("doc", "line")).distinct()
 
 
 def delete_repeated_lines(
@@ -156,8 +131,8 @@ def delete_repeated_lines(
 ) -> DataFrame:
     r"""Input rows with the text freed of repeated runs of lines, and with ``n_deleted``.
 
-    A run counts from ``gram + window - 1`` lines with a word on; lines without one are neither
-    compared nor deleted. The first place keeps the run: the document with the least key (null
+    A run counts from ``gram + window - 1`` lines with a word on, or from one line of ``LONG_WORDS``
+    words; lines without a word are neither compared nor deleted. The first place keeps the run: the document with the least key (null
     last), and in it the first position; so a document can repeat itself. Nothing else is touched:
     the other lines stay as they are, joined by \n. A text may become empty; null stays null. Rows
     equal in key and text stand for one document and are treated alike. A column ``n_deleted`` of
@@ -198,45 +173,29 @@ def op2_lines(spark, sf_dir):
 
 
 # The same in SQL. Documents are ordered by doc_id alone there, which is unique in the tables.
-OP2_SQL = r"""
+OP2_SQL = rf"""
 WITH split AS (
   SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 numbered AS (
   SELECT doc_id, unnest(ls) AS x, unnest(range(len(ls))) AS line FROM split),
 lines AS (
-  SELECT doc_id, line, x, row_number() OVER (PARTITION BY doc_id ORDER BY line) - 1 AS pos,
-         ('0x' || substr(md5('line:' || x), 1, 15))::BIGINT AS h
+  SELECT doc_id, line, x, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS pos
   FROM numbered WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
-grams AS (
-  SELECT doc_id, pos, ('0x' || substr(md5('gram:' || h || ',' || nxt), 1, 15))::BIGINT AS g
-  FROM (SELECT *, lead(h) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM lines)
-  WHERE nxt IS NOT NULL),
-windows AS (
-  SELECT a.doc_id, CASE WHEN b.g IS NULL OR a.g < b.g THEN a.pos ELSE b.pos END AS pos,
-         CASE WHEN b.g IS NULL OR a.g < b.g THEN a.g ELSE b.g END AS g
-  FROM grams a LEFT JOIN grams b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1
-  WHERE b.g IS NOT NULL OR a.pos = 0),
-prints AS (SELECT DISTINCT * FROM windows),
-firsts AS (
-  SELECT g, min({'d': doc_id, 'p': pos}) AS f FROM prints GROUP BY g HAVING count(*) > 1),
-anchors AS (
-  SELECT f.d AS source, doc_id, pos - f.p AS shift, pos FROM prints JOIN firsts USING (g)
-  WHERE doc_id > f.d OR (doc_id = f.d AND pos > f.p)),
-diagonals AS (SELECT DISTINCT source, doc_id, shift FROM anchors),
-equal AS (
-  SELECT d.source, d.doc_id, d.shift, a.pos, a.line,
-         a.pos - row_number() OVER (PARTITION BY d.source, d.doc_id, d.shift ORDER BY a.pos) AS island
-  FROM diagonals d JOIN lines a ON a.doc_id = d.doc_id
-  JOIN lines b ON b.doc_id = d.source AND b.pos = a.pos - d.shift AND a.x = b.x),
-hit AS (
-  SELECT DISTINCT e.source, e.doc_id, e.shift, e.island FROM equal e JOIN anchors USING (source, doc_id, shift, pos)),
-covered AS (
-  SELECT DISTINCT doc_id, pos, line FROM equal JOIN hit USING (source, doc_id, shift, island)),
-runs AS (
-  SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM covered),
+threes AS (
+  SELECT doc_id, pos, x || chr(10) || lead(x, 1) OVER w || chr(10) || lead(x, 2) OVER w AS run
+  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+later AS (
+  SELECT doc_id, pos FROM (
+    SELECT doc_id, pos, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS k
+    FROM threes WHERE run IS NOT NULL) WHERE k > 1),
+copies AS (
+  SELECT doc_id, line FROM (
+    SELECT doc_id, line, row_number() OVER (PARTITION BY x ORDER BY doc_id, pos) AS k
+    FROM lines WHERE len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) >= {LONG_WORDS}) WHERE k > 1),
 gone AS (
   SELECT doc_id, list(line) AS lines FROM (
-    SELECT *, count(*) OVER (PARTITION BY doc_id, run) AS n FROM runs) WHERE n >= 3 GROUP BY doc_id)
+    SELECT l.doc_id, l.line FROM lines l JOIN later r ON l.doc_id = r.doc_id AND l.pos BETWEEN r.pos AND r.pos + 2
+    UNION SELECT doc_id, line FROM copies) GROUP BY doc_id)
 SELECT s.doc_id, CAST(coalesce(len(g.lines), 0) AS BIGINT) AS n_deleted,
        md5(CASE WHEN g.lines IS NULL THEN coalesce(s.text, '') ELSE array_to_string(list_transform(
          list_filter(list_zip(s.ls, range(len(s.ls))), lambda z: NOT list_contains(g.lines, z[2])), lambda z: z[1]),

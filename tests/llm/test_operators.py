@@ -221,6 +221,24 @@ def test_line_runs_whose_pieces_stand_earlier_elsewhere(spark):
     assert all(got[k] == rows[k][1] for k in range(80) if k % 4 < 2)
 
 
+def test_runs_of_different_places_are_not_counted_together(spark):
+    session(spark)
+    rows = [(1, "p\nX\nY\nq\nr"), (2, "p2\nZ\nW\nq2\nr2"), (3, "s\nX\nY\nZ\nW\nt")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r[0]: r[1] for r in lines.delete_repeated_lines(df).collect()} == dict(rows)
+
+
+def test_long_lines_and_long_texts(spark):
+    session(spark)
+    passage = " ".join(f"w{i}" for i in range(50))
+    short = " ".join(f"w{i}" for i in range(49))
+    rows = [(1, f"a\n{passage}\n{short}"), (2, f"{passage}\nb"), (3, f"{short}\nc"), (4, "x\ny\n" * 10000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r[0]: (r[1], r[2]) for r in lines.delete_repeated_lines(df).collect()}
+    assert got[1] == (rows[0][1], 0) and got[2] == ("b", 1) and got[3] == (rows[2][1], 0)
+    assert got[4] == ("x\ny\n", 19998)
+
+
 def test_hot_passage_keeps_one_copy(spark):
     session(spark)
     passage = "\n".join(f"line {i}" for i in range(5))
@@ -396,10 +414,10 @@ def test_spans_against_brute_force(docs):
     texts = {}
     for no_key, key, no_text, text in unique:
         gone = set()
-        for a, b, h in spans.spans(text, spans.MIN_SENTENCES, spans.MIN_WORDS):
-            if h in seen:
+        for a, b, *h in spans.spans(text, spans.MIN_SENTENCES, spans.MIN_WORDS).tolist():
+            if tuple(h) in seen:
                 gone |= set(range(a, b + 1))
-            seen.add(h)
+            seen.add(tuple(h))
         left = "".join(s for i, s in enumerate(spans.sentences(text)) if i not in gone)
         texts[no_key, key, no_text, text] = (None if no_text else left, len(gone))
     for r in rows:
