@@ -17,8 +17,21 @@ from pyspark.sql import types as T
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
+# Keys a join may bring to the scan of its other side as a Bloom filter, and the filter's bits (at
+# most 64 MiB). Spark adds one where a filtered side is too large to broadcast and the other side
+# scans 10 GB or more.
+BLOOM_KEYS = 50_000_000
+BLOOM_BITS = 1 << 29
+BLOOM_SIDE = "2g"
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin the runtime settings whose value changes results or skew handling."""
+    """Pin the runtime settings whose value changes results, skew handling or pruned joins."""
+    bloom = "spark.sql.optimizer.runtime.bloomFilter"
+    spark.conf.set(f"{bloom}.enabled", "true")
+    spark.conf.set(f"{bloom}.maxNumItems", str(BLOOM_KEYS))
+    spark.conf.set(f"{bloom}.maxNumBits", str(BLOOM_BITS))
+    spark.conf.set(f"{bloom}.creationSideThreshold", BLOOM_SIDE)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -97,3 +97,33 @@ def test_age_must_be_a_number(spark):
     u = spark.createDataFrame([(1, "F", "old")], "user_id int, gender string, age string")
     with pytest.raises(Exception):
         op.top_movies_for(r, u, "F", 18).collect()
+
+
+def test_a_large_set_of_users_prunes_the_scan_of_ratings(spark, tmp_path, rows_of):
+    """Beyond the broadcast limit a Bloom filter of the users reaches the ratings' scan."""
+    from pyspark.sql import functions as F
+
+    from tallyloom import session
+
+    rated = spark.range(20000).select(
+        (F.col("id") % 5000).alias("user_id"), (F.col("id") % 97).alias("movie_id"), F.lit(3).alias("rating"))
+    people = spark.range(5000).select(
+        F.col("id").alias("user_id"), F.when(F.col("id") % 50 == 0, "F").otherwise("M").alias("gender"),
+        F.lit(18).alias("age"))
+    rated.write.parquet(str(tmp_path / "rated"))
+    people.write.parquet(str(tmp_path / "people"))
+    rated, people = spark.read.parquet(str(tmp_path / "rated")), spark.read.parquet(str(tmp_path / "people"))
+    want = rows_of(op.top_movies_for(rated, people, "F", 18))
+    bloom = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    settings = {bloom: "1b", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    session.configure(spark)
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        top = op.top_movies_for(rated, people, "F", 18)
+        assert "might_contain" in top._jdf.queryExecution().executedPlan().toString()
+        assert rows_of(top) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
