@@ -332,10 +332,11 @@ def link_vectors(
     points = stage(
         marked.filter("unit is not null")
         .groupBy(F.struct("label", F.size("unit").alias("size")).alias("grp"), "unit")
-        .agg(F.min("key").alias("node"), F.count("*").alias("copies")),
+        .agg(F.min("key").alias("least"), F.count("*").alias("copies"))
+        .withColumn("node", F.xxhash64("grp", "unit")),
         "vector-points",
     )
-    placed, nodes = grow_top(points, leaf)
+    placed, nodes = grow_top(points.drop("least"), leaf)
     placed = stage(placed, "tree-leaves")
     pairs = surviving_pairs(nodes, min_cosine)
     task = F.struct("x", "y").alias("task")
@@ -355,14 +356,17 @@ def link_vectors(
     found = stage(found, "vector-links")
     counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     roots = component_roots(found.filter("a <> b").select("a", "b"))
+    # Nodes are hashes of group and vector, since one key may stand at several vectors.
+    rooted = points.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    heads = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     known = (
-        points.join(counts, "node", "left")
-        .join(roots, "node", "left")
+        rooted.join(counts, "node", "left")
+        .join(heads, "root")
         .select(
             "grp",
             "unit",
             (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("root", "node").alias("component_id"),
+            "component_id",
         )
     )
     known = known.select(
