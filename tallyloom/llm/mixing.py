@@ -155,7 +155,7 @@ def mix_sources(
         "source_size",
         "target",
         F.col("fills").alias(fills),
-        F.coalesce("prefix", "ends").alias(ends),
+        F.when(F.col("target") == 0, 0).otherwise(F.coalesce("prefix", "ends")).alias(ends),
     )
     return (
         sized.withColumn(place, h)
