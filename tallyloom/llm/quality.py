@@ -189,8 +189,8 @@ def quality_rules(
     divergence; the limits are given as divergences. Histograms of fewer than ``min_chars``
     characters or ``min_histogram_words`` words are not judged.
 
-    A document of a language without a reference is held against the nearest one. Null texts count
-    as empty: no words, base_failed. Rows with equal texts and languages get equal verdicts.
+    A document of a language without a reference, null among them, is judged by its characters alone,
+    against the nearest reference; its word divergence is null. Null texts count as empty: no words, base_failed. Rows with equal texts and languages get equal verdicts.
     Columns of the input named like the added ones are replaced. An empty input gives an empty
     result.
     """
@@ -228,7 +228,7 @@ def quality_rules(
                             ),
                             default=0.0,
                         )
-                        if len(words) >= min_histogram_words
+                        if len(words) >= min_histogram_words and language in references
                         else None,
                     )
                 )

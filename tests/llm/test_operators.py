@@ -171,6 +171,47 @@ def test_vectors_empty(spark):
     assert covertree.link_vectors(empty).collect() == []
 
 
+def test_one_key_at_several_vectors(spark):
+    session(spark)
+    rows = [(1, "a", [1.0, 0.0]), (1, "b", [0.0, 1.0]), (2, "a", [1.0, 0.01]), (3, "b", [1.0, 0.0]), (1, "a", [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")
+    got = sorted(tuple(r)[:3] for r in covertree.link_vectors(df).collect())
+    assert got == [(1, 0, 1), (1, 0, 1), (1, 1, 1), (2, 1, 1), (3, 0, 3)]
+
+
+@pytest.mark.parametrize("name", ["vectors", "urls"])
+def test_clashing_columns_and_empty_tables_of_other_kinds(spark, name):
+    session(spark)
+    if name == "vectors":
+        df = spark.createDataFrame([(1, "a", [1.0]), (2, "a", [2.0])], "vec_id long, label string, embedding array<double>")
+        got = covertree.link_vectors(with_clashes(df))
+        assert sorted(tuple(r)[:3] for r in got.collect()) == [(1, 1, 1), (2, 1, 1)]
+        assert covertree.link_vectors(df.limit(0)).count() == 0
+    else:
+        df = spark.createDataFrame([(1, "http://a.net/x", None)], "page_id long, url string, html string")
+        got = urls.filter_urls(with_clashes(df)).collect()
+        assert len(got) == 1 and got[0]["verdict"] == "block"
+        assert urls.filter_urls(df.limit(0)).count() == 0
+
+
+def test_a_source_without_words_is_not_taken(spark):
+    session(spark)
+    rows = [(i, "a b c", "s0") for i in range(20)] + [(100 + i, " ", "s1") for i in range(20)]
+    mixed = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert {r.repeats for r in mixed.filter("source = 's1'").collect()} == {0}
+
+
+def test_a_language_without_a_reference_is_judged_by_characters(spark):
+    session(spark)
+    body = " ".join(f"{a}{b}o" for a in ("kal", "mer", "ton", "vus") for b in ("ali", "emo", "uni") for _ in range(10))
+    rows = [(i, " ".join(["the", "of", "and", "river", "house", "to"][(i * k + k) % 6] + str(k % 7) for k in range(90)), "en") for i in range(5)]
+    words = body.split()
+    body = " ".join(w + "xyzab"[i % 5] + "klmno"[i * 7 % 5] + "e" * (i % 3) + "rst"[i % 3] for i, w in enumerate(words))
+    df = spark.createDataFrame([*rows, (9, body, "eo")], "doc_id long, text string, lang string")
+    row = [r for r in quality.quality_rules(df).collect() if r.doc_id == 9][0]
+    assert row.word_divergence is None and row.char_divergence is not None
+
+
 # 2 -----------------------------------------------------------------------------------------
 
 
