@@ -1,6 +1,6 @@
 """LM scoring with a Katz backoff model of word pairs.
 
-Documents are dealt to blocks of bounded size. A block asks, once for each of its distinct words
+The documents a task reads are cut into blocks of bounded size. A block asks, once for each of its distinct words
 and pairs, what the whole corpus knows of them, and the answers come back in the order of the
 questions. So keys travel one way only, equal n-grams of a block travel once, and neither the
 vocabulary nor the counts are ever held in one place.
@@ -13,7 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -143,11 +146,42 @@ def unpack_hashes(packed: bytes) -> np.ndarray:
     return whole.reshape(-1).view("<i8").astype(np.int64)
 
 
+def framed(block_bytes: int):
+    """Cuts the rows a task reads into blocks of about ``block_bytes`` of text, each a compressed
+    frame: texts travel once, small, and equal rows are dealt like any others."""
+
+    def frame(rows: list[pa.RecordBatch], block: int) -> pa.RecordBatch:
+        whole = pa.Table.from_batches(rows).combine_chunks()
+        sink = pa.BufferOutputStream()
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        with pa.ipc.new_stream(sink, whole.schema, options=options) as stream:
+            stream.write_table(whole)
+        return pa.record_batch(
+            [pa.array([block]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "frame"]
+        )
+
+    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, size = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            start = 0
+            for row, length in enumerate(pc.binary_length(batch.column("text")).to_pylist()):
+                size += (length or 0) + 16
+                if size >= block_bytes:
+                    yield frame([*held, batch.slice(start, row + 1 - start)], block)
+                    block, held, size, start = block + 1, [], 0, row + 1
+            if start < len(batch):
+                held.append(batch.slice(start))
+        if held:
+            yield frame(held, block)
+
+    return frames
+
+
 class Block:
     """The words of a block's documents: numbered, and as pairs of a word and the one before."""
 
-    def __init__(self, docs: pd.DataFrame):
-        docs = docs.sort_values("row", kind="stable", ignore_index=True)
+    def __init__(self, frames: pd.DataFrame):
+        docs = pa.ipc.open_stream(frames["frame"].iloc[0]).read_pandas(integer_object_nulls=True)
         codes = _Codes()
         parts = []
         for text in docs["text"]:
@@ -263,10 +297,18 @@ def _answer_words(asks: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=ANSWER_COLUMNS)
 
 
+def _place_type(words: int) -> str:
+    return "<u2" if words <= 1 << 16 else "<u4"
+
+
+def _places(words: bytes, places: bytes) -> np.ndarray:
+    return np.frombuffer(places, _place_type(len(words) // 6))
+
+
 def _ask_pairs(parts: int):
     def ask(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         columns = ["part", "block", "contexts", "runs", "words"]
-        columns += ["seen", "seen_large", "known", "known_large"]
+        columns += ["known", "known_large", "places", "seen", "seen_large"]
         if not len(docs):
             return pd.DataFrame([], columns=columns)
         block = Block(docs)
@@ -278,7 +320,8 @@ def _ask_pairs(parts: int):
             follower = found["follower"][at]
             real = follower >= 0
             runs = np.add.reduceat(real.astype(np.int64), begins)
-            named = follower[real]
+            # Each follower once, with its count; the pairs say which one they mean.
+            named, places = np.unique(follower[real], return_inverse=True)
             rows.append(
                 (
                     part,
@@ -286,8 +329,9 @@ def _ask_pairs(parts: int):
                     found["context_hash"][found["owner"][at[begins]]] + found["slot"][at[begins]],
                     runs.astype(np.int32),
                     pack_hashes(block.hashes[named]),
-                    *pack(found["seen"][at][real], 1),
                     *pack(counts[named], 2),
+                    places.astype(_place_type(len(named))).tobytes(),
+                    *pack(found["seen"][at][real], 1),
                 )
             )
         return pd.DataFrame(rows, columns=columns)
@@ -299,11 +343,12 @@ def _joined(asks: pd.DataFrame) -> tuple:
     """All questions of a part as one list of pairs: numbers of context and pair for each."""
     contexts = np.concatenate([*asks["contexts"]]).astype(np.int64)
     runs = np.concatenate([*asks["runs"]]).astype(np.int64)
-    words = np.concatenate([unpack_hashes(w) for w in asks["words"]])
-    seen, known = (
-        np.concatenate([unpack(x, y, width) for x, y in zip(asks[name], asks[f"{name}_large"])])
-        for name, width in (("seen", 1), ("known", 2))
+    places = [_places(w, p) for w, p in zip(asks["words"], asks["places"])]
+    words = np.concatenate([unpack_hashes(w)[p] for w, p in zip(asks["words"], places)])
+    known = np.concatenate(
+        [unpack(x, y, 2)[p] for x, y, p in zip(asks["known"], asks["known_large"], places)]
     )
+    seen = np.concatenate([unpack(x, y, 1) for x, y in zip(asks["seen"], asks["seen_large"])])
     distinct, context = np.unique(contexts, return_inverse=True)
     of_pair = np.repeat(context, runs)
     order = np.lexsort((words, of_pair))
@@ -331,12 +376,12 @@ def _answer_pairs(unigrams: Unigrams):
             [np.bincount(owner[totals == r], minlength=size) for r in range(1, GOOD_TURING + 1)], 1
         )
         rows, at, pair_at = [], 0, 0
-        for part, block, contexts, words in zip(
-            asks["part"], asks["block"], asks["contexts"], asks["words"]
+        for part, block, contexts, words, places in zip(
+            asks["part"], asks["block"], asks["contexts"], asks["words"], asks["places"]
         ):
-            own = context[at : at + len(contexts)]
-            pairs = number[pair_at : pair_at + len(words) // 6]
-            at, pair_at = at + len(contexts), pair_at + len(words) // 6
+            own, n = context[at : at + len(contexts)], len(_places(words, places))
+            pairs = number[pair_at : pair_at + n]
+            at, pair_at = at + len(contexts), pair_at + n
             counts, rare = pack(totals[pairs], 1), pack(types[own].ravel(), 1)
             rows.append((block, part, 2, *counts, *rare, mass[own]))
         return pd.DataFrame(rows, columns=ANSWER_COLUMNS)
@@ -442,11 +487,9 @@ def katz_scores(
         "key",
         "text",
         (F.crc32(name.cast("binary")) % modulus != held_remainder).alias("train"),
-        F.xxhash64("key", "text").alias("row"),
     )
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     parts = max(1, -(-total // block_bytes))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(parts)))
     unigram = unigram_table(rows)
     facts = unigram.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"),
@@ -457,7 +500,7 @@ def katz_scores(
     unigrams = Unigrams(tokens, [0, *[facts[f"n{r}"] for r in range(1, GOOD_TURING + 2)]])
 
     # One exchange of the texts serves all three visits to the blocks.
-    dealt = rows.repartition(parts, "block")
+    dealt = rows.mapInArrow(framed(block_bytes), "block long, frame binary").repartition(parts, "block")
     answer = ", ".join(f"{name} {kind}" for name, kind in zip(ANSWER_COLUMNS, ANSWER_TYPES))
     word_asks = dealt.groupBy("block").applyInPandas(
         _ask_words(parts), "part long, block long, words array<long>"
@@ -472,7 +515,8 @@ def katz_scores(
         .applyInPandas(
             _ask_pairs(parts),
             "part long, block long, contexts array<long>, runs array<int>, words binary, "
-            "seen binary, seen_large array<long>, known binary, known_large array<long>",
+            "known binary, known_large array<long>, places binary, seen binary, "
+            "seen_large array<long>",
         )
         .repartition(parts, "part")
     )
