@@ -134,7 +134,8 @@ def repeated_sentences(
     shared = stage(every.join(bounded_broadcast(again), ["h", "g"], "left_semi"), "spans-shared")
     place = F.struct("doc", "first")
     first = stage(shared.groupBy("h", "g").agg(F.min(place).alias("at")), "span-first-places")
-    later = shared.join(bounded_broadcast(first), ["h", "g"]).filter(place > F.col("at"))
+    # Always shuffled: the first places are not much fewer than the spans.
+    later = shared.join(first, ["h", "g"]).filter(place > F.col("at"))
     # At most two spans per sentence of a document are collected.
     return later.groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("gone"))
 
