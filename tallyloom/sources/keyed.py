@@ -9,7 +9,7 @@ process at a time is assumed, and a DataFrame read before a change must be read
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,17 +109,16 @@ class KeyedTable:
 
     # changes -----------------------------------------------------------------------------
 
-    def _settled(self) -> DataFrame | None:
+    def _settled(self) -> Row | None:
         """The note of a change that is written to the side as a whole, if there is one."""
         if not self._exists("pending/note/_SUCCESS"):
             return None
-        return self.spark.read.schema(NOTE).parquet(f"{self.folder}/pending/note")
+        return self.spark.read.schema(NOTE).parquet(f"{self.folder}/pending/note").first()
 
-    def _finish(self) -> None:
+    def _finish(self, change: Row | None = None) -> None:
         """Carry out a settled change; every step can be repeated. What was not settled goes."""
-        note = self._settled()
-        if note is not None:
-            change = note.first()
+        change = change or self._settled()
+        if change is not None:
             (
                 self._rows("pending/rows")
                 .write.mode("overwrite")
@@ -130,10 +129,10 @@ class KeyedTable:
             for former in self._layouts():
                 if former != change.buckets:
                     self._delete(f"buckets={former}")
-            # A repeated row says the same again.
-            applied = note.filter("batch IS NOT NULL").select("batch", "digest")
             if change.batch is not None:
-                applied.write.mode("append").parquet(f"{self.folder}/batches")
+                # A repeated row says the same again.
+                applied = self.spark.createDataFrame([(change.batch, change.digest)], BATCHES)
+                applied.coalesce(1).write.mode("append").parquet(f"{self.folder}/batches")
         if self._exists("pending"):
             self._delete("pending")
 
@@ -146,12 +145,11 @@ class KeyedTable:
     def _applied(self, batch: str, digest: str | None) -> bool:
         """Whether a batch was added before; one that comes with other input is an error."""
         known = self.batches().filter(F.col("batch") == batch)
-        given = self.spark.createDataFrame([(batch, digest)], BATCHES)
-        if not known.isEmpty() and not known.join(
-            given, known.digest.eqNullSafe(given.digest), "left_anti"
-        ).isEmpty():
+        same = F.col("digest").eqNullSafe(F.lit(digest)).alias("same")
+        found = [row.same for row in known.select(same).distinct().collect()]
+        if not all(found):
             raise ValueError(f"batch {batch!r} of {self.name} was added with other input")
-        return not known.isEmpty()
+        return bool(found)
 
     def _shaped(self, df: DataFrame) -> DataFrame:
         """Rows with every column of the table, in its order; columns not given are null."""
@@ -306,9 +304,10 @@ class KeyedTable:
                 .write.partitionBy(BUCKET)
                 .parquet(f"{self.folder}/pending/rows")
             )
-        note = self.spark.createDataFrame([(buckets, batch, digest)], NOTE).coalesce(1)
+        change = Row(buckets=buckets, batch=batch, digest=digest)
+        note = self.spark.createDataFrame([change], NOTE).coalesce(1)
         note.write.parquet(f"{self.folder}/pending/note")
-        self._finish()
+        self._finish(change)
         return self.read()
 
     def _enter(self, incoming: DataFrame) -> None:

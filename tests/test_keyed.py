@@ -90,7 +90,7 @@ def test_a_failed_write_leaves_the_table(spark, table, rows_of):
 def test_a_settled_change_is_finished_by_the_next_call(spark, table, rows_of, monkeypatch):
     finish, calls = KeyedTable._finish, []
 
-    def stopped(self):
+    def stopped(self, change=None):
         calls.append(1)
         if len(calls) == 1:
             return finish(self)
