@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_registered_queries():
     names = contract.queries()
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in names)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in names)] == []
     assert names["pipeline"] is corpus_pipeline.run
     assert set(contract.oracle_sql()) <= set(names)
 
