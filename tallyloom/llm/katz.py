@@ -35,7 +35,7 @@ PAIR_FACTS = [f"n{r}" for r in range(1, GOOD_TURING + 2)]
 
 # An answer to a block: kind 1 for words, 2 for pairs.
 ANSWER_COLUMNS = ["block", "part", "kind", "counts", "large", "types", "types_large", "mass"]
-ANSWER_TYPES = "long long int binary array<long> binary array<long> array<double>".split()
+ANSWER_TYPES = "long long int binary array<long> binary array<long> binary".split()
 
 # The end of a text, and what stands before its first word: no word contains a blank.
 END, START = b"\n", b" "
@@ -135,7 +135,8 @@ def unpack(small: bytes, large: np.ndarray, width: int) -> np.ndarray:
 
 
 def pack_hashes(hashes: np.ndarray) -> bytes:
-    """The lower six bytes of each: enough to tell the followers of one context apart."""
+    """The lower six bytes of each: enough to tell the contexts of one part apart, and the followers
+    of one context."""
     return hashes.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
@@ -146,6 +147,18 @@ def unpack_hashes(packed: bytes) -> np.ndarray:
     return whole.reshape(-1).view("<i8").astype(np.int64)
 
 
+def pack_masses(masses: np.ndarray) -> bytes:
+    """The upper six bytes of each: 36 bits after the point."""
+    return masses.astype("<f8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def unpack_masses(packed: bytes) -> np.ndarray:
+    octets = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    whole = np.zeros((len(octets), 8), np.uint8)
+    whole[:, 2:] = octets
+    return whole.reshape(-1).view("<f8").astype(float)
+
+
 def framed(block_bytes: int):
     """Cuts the rows a task reads into blocks of about ``block_bytes`` of text, each a compressed
     frame: texts travel once, small, and equal rows are dealt like any others."""
@@ -326,7 +339,9 @@ def _ask_pairs(parts: int):
                 (
                     part,
                     number,
-                    found["context_hash"][found["owner"][at[begins]]] + found["slot"][at[begins]],
+                    pack_hashes(
+                        found["context_hash"][found["owner"][at[begins]]] + found["slot"][at[begins]]
+                    ),
                     runs.astype(np.int32),
                     pack_hashes(block.hashes[named]),
                     *pack(counts[named], 2),
@@ -341,7 +356,7 @@ def _ask_pairs(parts: int):
 
 def _joined(asks: pd.DataFrame) -> tuple:
     """All questions of a part as one list of pairs: numbers of context and pair for each."""
-    contexts = np.concatenate([*asks["contexts"]]).astype(np.int64)
+    contexts = np.concatenate([unpack_hashes(c) for c in asks["contexts"]])
     runs = np.concatenate([*asks["runs"]]).astype(np.int64)
     places = [_places(w, p) for w, p in zip(asks["words"], asks["places"])]
     words = np.concatenate([unpack_hashes(w)[p] for w, p in zip(asks["words"], places)])
@@ -379,11 +394,11 @@ def _answer_pairs(unigrams: Unigrams):
         for part, block, contexts, words, places in zip(
             asks["part"], asks["block"], asks["contexts"], asks["words"], asks["places"]
         ):
-            own, n = context[at : at + len(contexts)], len(_places(words, places))
-            pairs = number[pair_at : pair_at + n]
-            at, pair_at = at + len(contexts), pair_at + n
+            size_here, n = len(contexts) // 6, len(_places(words, places))
+            own, pairs = context[at : at + size_here], number[pair_at : pair_at + n]
+            at, pair_at = at + size_here, pair_at + n
             counts, rare = pack(totals[pairs], 1), pack(types[own].ravel(), 1)
-            rows.append((block, part, 2, *counts, *rare, mass[own]))
+            rows.append((block, part, 2, *counts, *rare, pack_masses(mass[own])))
         return pd.DataFrame(rows, columns=ANSWER_COLUMNS)
 
     return answer
@@ -415,7 +430,7 @@ def _score(parts: int, unigrams: Unigrams, tokens: int, vocabulary: int):
             pair_seen[place[place >= 0]] = part_counts
             owners = found["owner"][at[begins]]
             np.add.at(types, owners, part_types.reshape(-1, GOOD_TURING))
-            np.add.at(mass, owners, part_mass)
+            np.add.at(mass, owners, unpack_masses(part_mass))
         of_count = [int(second[n].iloc[0]) for n in PAIR_FACTS] if len(second) else []
         discount = discounts([0, *of_count])
         divisor, weight = backoff(found["totals"], types, mass, discount)
@@ -478,8 +493,9 @@ def katz_scores(
     words are one class, which takes what discounting leaves; so for every context the known words,
     the end and that class add up to one. ``base_score`` is the add-one unigram model's.
 
-    Words are told apart by 64-bit hashes, the followers of one context by 48 bits. A context that makes up most tokens is counted by many
-    tasks, each taking some of its followers. An empty input gives an empty result, and one without
+    Words are told apart by 64-bit hashes, contexts within a part and followers within a context by 48
+    bits. A context that makes up most tokens is counted by many tasks, each taking some of its
+    followers. An empty input gives an empty result, and one without
     training texts scores every token as unknown. Repeated rows are scored, and learnt, each.
     """
     name = F.coalesce(F.col("key").cast("string"), F.lit(""))
@@ -514,7 +530,7 @@ def katz_scores(
         .cogroup(word_answers.groupBy("block"))
         .applyInPandas(
             _ask_pairs(parts),
-            "part long, block long, contexts array<long>, runs array<int>, words binary, "
+            "part long, block long, contexts binary, runs array<int>, words binary, "
             "known binary, known_large array<long>, places binary, seen binary, "
             "seen_large array<long>",
         )
