@@ -166,7 +166,7 @@ def framed(block_bytes: int):
     def frame(rows: list[pa.RecordBatch], block: int) -> pa.RecordBatch:
         whole = pa.Table.from_batches(rows).combine_chunks()
         sink = pa.BufferOutputStream()
-        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=9))
         with pa.ipc.new_stream(sink, whole.schema, options=options) as stream:
             stream.write_table(whole)
         return pa.record_batch(
