@@ -170,7 +170,8 @@ class SortedList:
         while kept.any():
             who, low, high = who[kept], low[kept], high[kept]
             before, level, beyond = before[kept], level[kept], beyond[kept]
-            if depth >= DEEP and (lone := high - low == 1).any():
+            # A word that ends here was looked at when its last letter was.
+            if depth >= DEEP and (lone := (high - low == 1) & (self.sizes[low] > depth)).any():
                 for a, b in zip(who[lone], low[lone]):
                     if _one_more(asking[a], self.words[b]):
                         hits_a.append(np.array([a]))
@@ -245,12 +246,13 @@ def _scan(rows: pd.DataFrame) -> pd.DataFrame:
     order = np.lexsort((rank[other], -counts[other], word))
     word, other = word[order], other[order]
     first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else word
+    # Without a type an empty list is one of numbers, which Spark does not take for texts.
     return pd.DataFrame(
         {
-            "word": [own[i].decode("latin-1") for i in word[first]],
+            "word": pd.Series([own[i].decode("latin-1") for i in word[first]], dtype=object),
             "n_near": np.diff(np.append(first, len(word))).astype(np.int64),
             "best_n": counts[other[first]].astype(np.int64),
-            "best": [own[i].decode("latin-1") for i in other[first]],
+            "best": pd.Series([own[i].decode("latin-1") for i in other[first]], dtype=object),
         }
     )
 

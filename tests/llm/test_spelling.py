@@ -112,3 +112,16 @@ def test_long_words_that_differ_late():
     listed = spelling.SortedList(words)
     a, b = listed.near([long + b"a"])
     assert {words[i] for i in b} == {long + b"b", long + b"ac"}
+
+
+def test_a_long_word_that_is_the_end_of_its_range_counts_once():
+    words = [b"z" * 90, b"z" * 91]
+    a, b = spelling.SortedList(words).near([b"z" * 90])
+    assert [words[i] for i in b] == [b"z" * 91]
+
+
+def test_a_vocabulary_without_near_words(spark, rows_of):
+    session(spark)
+    words = spark.createDataFrame([("bridge", 9), ("rivers", 5)], "word string, n long")
+    assert rows_of(spelling.variants(words)) == [
+        ("bridge", None, "bridge", 9, 0, None), ("rivers", None, "rivers", 5, 0, None)]
