@@ -33,9 +33,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: fingerprints a few bits apart, or texts that
+    share most of their word runs."""
     session(spark)
-    return simhash.drop_near_duplicates(docs)
+    return simhash.drop_near_duplicates(docs, threshold=simhash.BITS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -340,6 +340,9 @@ def link_fingerprints(
 
 # near duplicates ---------------------------------------------------------------------------
 
+# Bits that the fingerprints of near duplicates may differ in. A bound on bits alone loses pairs with an
+# appended or replaced block, so texts whose shingles are so alike are near duplicates too.
+BITS = 3
 SIMILARITY = 0.8
 SHINGLE = 5
 # A prefix holds one shingle more than it must for each so many shingles of the text. Two alike
@@ -442,28 +445,54 @@ def _verified(group: pd.DataFrame, min_similarity: float) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
 
 
+def fingerprint_links(nodes: DataFrame, threshold: int) -> DataFrame:
+    """``a, b``: links that connect every two nodes whose fingerprints differ in at most
+    ``threshold`` bits, found by the anchors. ``nodes`` are ``node, fingerprint`` (longs)."""
+    least = stage(nodes.groupBy("fingerprint").agg(F.min("node").alias("least")), "near-fingerprints")
+    small = bounded_broadcast(least)
+    equal = nodes.join(small, "fingerprint").filter("node != least").select(
+        F.col("least").alias("a"), F.col("node").alias("b")
+    )
+    close = near_links(least.select(F.col("fingerprint").alias("node"), "fingerprint"), threshold)
+    for end in ("a", "b"):
+        named = small.select(F.col("fingerprint").alias(end), F.col("least").alias(f"least_{end}"))
+        close = close.join(named, end)
+    close = close.select(F.col("least_a").alias("a"), F.col("least_b").alias("b"))
+    return equal.unionByName(close)
+
+
 def near_duplicate_groups(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", min_similarity: float = SIMILARITY
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    min_similarity: float = SIMILARITY,
+    threshold: int | None = None,
 ) -> DataFrame:
     """``doc, node, root``: every document's text class and its group of near duplicates.
 
-    Texts equal in their words are one class. Classes that share a rare shingle of their prefixes
-    become candidates, and no similar pair is left out; the candidates' connected groups are then
-    checked exactly: two texts are linked if the sets of their five-word shingles have a Jaccard
-    similarity of at least ``min_similarity``. Groups of any size are compared in pairs of bounded
-    blocks, and only connecting links leave a task.
+    Texts equal in their words are one class. With a ``threshold``, two classes are linked if their
+    fingerprints differ in at most so many bits (see ``Cover``); whatever their fingerprints, they
+    are linked if the sets of their five-word shingles have a Jaccard similarity of at least
+    ``min_similarity``. For the latter, classes that share a rare shingle of their prefixes become
+    candidates, and no similar pair is left out; the candidates' connected groups are then checked
+    exactly. Groups of any size are compared in pairs of bounded blocks, and only connecting links
+    leave a task.
     """
     rows = docs.select(row_key(docs, key).alias("doc"), F.col(text).alias("text")).withColumn(
         "node", F.xxhash64(normal_text(F.col("text")))
     )
-    prints = stage(rows.select("doc", "node"), "near-prints")
-    nodes = stage(prints.groupBy("node").agg(F.min("doc").alias("doc")), "near-nodes")
+    with_bits = [] if threshold is None else ["fingerprint"]
+    prints = (fingerprints(rows) if with_bits else rows).select("doc", "node", *with_bits)
+    prints = stage(prints, "near-prints")
+    # Equal words have equal fingerprints.
+    least = [F.min(c).alias(c) for c in ("doc", *with_bits)]
+    nodes = stage(prints.groupBy("node").agg(*least), "near-nodes")
     candidates = component_roots(prefix_links(rows.select("node", "text"), min_similarity))
     sizes = candidates.groupBy("root").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / GROUP_BLOCK).cast("int")
     wanted = stage(
         candidates.join(sizes, "root")
-        .join(nodes, "node")
+        .join(nodes.select("node", "doc"), "node")
         .select("node", "root", "doc", blocks.alias("blocks")),
         "near-wanted",
     )
@@ -486,6 +515,10 @@ def near_duplicate_groups(
     verified = dealt.groupBy("root", "lo", "hi").applyInPandas(
         lambda group: _verified(group, min_similarity), "a long, b long"
     )
+    if with_bits:
+        verified = verified.unionByName(
+            fingerprint_links(nodes.select("node", "fingerprint"), threshold)
+        )
     roots = component_roots(verified)
     return prints.select("doc", "node").join(roots, "node", "left").select(
         "doc", "node", F.coalesce("root", "node").alias("root")
@@ -502,15 +535,20 @@ def row_key(docs: DataFrame, key: str) -> Column:
 
 
 def drop_near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", min_similarity: float = SIMILARITY
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    min_similarity: float = SIMILARITY,
+    threshold: int | None = None,
 ) -> DataFrame:
     """One row of each group of near duplicates: that with the least key (null last).
 
     Groups are the components of links between texts at least ``min_similarity`` alike in their
-    five-word shingles. Texts without words, null ones included, are equal and make one group.
+    five-word shingles, and with a ``threshold`` also between texts whose fingerprints differ in at
+    most so many bits. Texts without words, null ones included, are equal and make one group.
     Rows equal in every column stand for one another: one of them stays. Columns are unchanged.
     """
-    groups = stage(near_duplicate_groups(docs, key, text, min_similarity), "near-groups")
+    groups = stage(near_duplicate_groups(docs, key, text, min_similarity, threshold), "near-groups")
     counted = groups.groupBy("root", "doc").agg(F.count("*").alias("n"))
     best = counted.groupBy("root").agg(F.min(F.struct("doc", "n")).alias("best"))
     best = stage(best.select("root", "best.doc", "best.n"), "near-best")
