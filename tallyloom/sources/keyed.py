@@ -2,7 +2,7 @@
 
 A change reads and rewrites the buckets its keys fall into and leaves the others alone. The new
 rows of those buckets are first written to the side; from then on the change is settled, and it is
-carried out by a dynamic partition overwrite that can be repeated until it is whole. A job that
+carried out by moving the written buckets into place, which can be repeated until it is whole. A job that
 fails before leaves the table as it was; one that fails after is finished by the next call. One
 process at a time is assumed, and a DataFrame read before a change must be read anew after it.
 """
@@ -17,8 +17,9 @@ from tallyloom.functions.numbers import add_counts
 from tallyloom.session import bounded_broadcast, scratch_scope, stage
 from tallyloom.sources.files import as_schema
 
-# Stored bytes one bucket is planned for, and the most buckets a table gets.
-BUCKET_BYTES = 128 * 1024 * 1024
+# Stored bytes one bucket is planned for, and the most buckets a table gets. A task merges a whole
+# bucket, and sorted rows in memory are some thirty times as large as packed ones in a file.
+BUCKET_BYTES = 16 * 1024 * 1024
 MAX_BUCKETS = 65536
 
 BUCKET = "_bucket"
@@ -119,13 +120,7 @@ class KeyedTable:
         """Carry out a settled change; every step can be repeated. What was not settled goes."""
         change = change or self._settled()
         if change is not None:
-            (
-                self._rows("pending/rows")
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(BUCKET)
-                .parquet(f"{self.folder}/buckets={change.buckets}")
-            )
+            self._move_buckets("pending/rows", f"buckets={change.buckets}")
             for former in self._layouts():
                 if former != change.buckets:
                     self._delete(f"buckets={former}")
@@ -136,6 +131,19 @@ class KeyedTable:
         if self._exists("pending"):
             self._delete("pending")
 
+    def _move_buckets(self, source: str, target: str) -> None:
+        """Put the buckets of a folder in the place of those of another. Moved ones are gone from the
+        source, so a move that was broken off goes on where it stopped."""
+        fs, path = self._at(target)
+        fs.mkdirs(path)
+        for status in fs.listStatus(self._at(source)[1]):
+            name = status.getPath().getName()
+            if name.startswith(f"{BUCKET}="):
+                _, place = self._at(f"{target}/{name}")
+                fs.delete(place, True)
+                if not fs.rename(status.getPath(), place):
+                    raise OSError(f"{status.getPath()} could not be moved to {place}")
+
     def batches(self) -> DataFrame:
         """``batch, digest`` of the batches that were added, as a table."""
         if not self._exists("batches"):

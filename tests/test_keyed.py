@@ -241,3 +241,39 @@ def test_counters_add_once_per_batch(spark, table, rows_of):
     assert rows_of(table.add(batch, batch="first")) == want
     assert rows_of(table.add(batch, batch="first")) == want
     assert rows_of(table.add(batch, batch="second"))[0] == ("a", 11, "old")
+
+
+def test_a_task_merges_a_few_megabytes_of_stored_rows(spark, table):
+    free = KeyedTable(spark, "free", SCHEMA, new_folder(spark, "free"))
+    assert [free._buckets_for(n << 20, None) for n in (1, 100, 1000)] == [1, 8, 64]
+
+
+def test_a_settled_change_is_moved_and_not_written_again(spark, table, rows_of, monkeypatch):
+    finish, written = KeyedTable._finish, []
+
+    def seen(self, change=None):
+        if change is not None:
+            written.extend(f.split("/")[-1] for f in self._rows("pending/rows").inputFiles())
+        return finish(self, change)
+
+    monkeypatch.setattr(KeyedTable, "_finish", seen)
+    table.upsert(many(spark, 60))
+    assert written and set(written) <= {f.split("/")[-1] for f in table._stored().inputFiles()}
+    assert table.read().count() == 62
+
+
+def test_a_move_that_was_broken_off_goes_on(spark, table, rows_of, monkeypatch):
+    move = KeyedTable._move_buckets
+
+    def broken(self, source, target):
+        name = sorted(s.getPath().getName() for s in self._at(source)[0].listStatus(self._at(source)[1]) if "=" in s.getPath().getName())[0]
+        fs, place = self._at(f"{target}/{name}")
+        fs.delete(place, True)
+        assert fs.rename(self._at(f"{source}/{name}")[1], place)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(KeyedTable, "_move_buckets", broken)
+    with pytest.raises(KeyboardInterrupt):
+        table.upsert(many(spark, 60))
+    monkeypatch.setattr(KeyedTable, "_move_buckets", move)
+    assert rows_of(table.read(), "id") == sorted([("a",), ("b",), *[(f"k{i}",) for i in range(60)]], key=repr)
