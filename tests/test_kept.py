@@ -132,6 +132,17 @@ def test_pages_by_the_last_key(spark):
     assert pages.page(10, (99, 0)).count() == 0
 
 
+def test_short_ranges_share_a_file(spark, rows_of):
+    rows = spark.range(1000).select((F.col("id") % 50).alias("a"), F.col("id").alias("b"))
+    pages = Pages(spark, new_folder(spark, "shared"), ["a", "b"], rows_per_range=100)
+    pages.write(rows.repartition(3))
+    assert len(spark.read.parquet(f"{pages.folder}/rows").inputFiles()) == 1
+    ranges = spark.read.parquet(f"{pages.folder}/ranges").orderBy("most")
+    order = sorted((i % 50, i) for i in range(1000))
+    assert [(r["n"], tuple(r["most"])) for r in ranges.collect()] == [(100, order[k]) for k in range(99, 1000, 100)]
+    assert [tuple(r) for r in pages.page(250, order[149]).collect()] == order[150:400]
+
+
 def test_small_files_are_put_together(spark, rows_of):
     folder = new_folder(spark, "written")
     schema = "name string, id string"
