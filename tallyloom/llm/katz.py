@@ -1,14 +1,14 @@
 """LM scoring with a Katz backoff model of word pairs.
 
-The documents a task reads are cut into blocks of bounded size. A block asks, once for each of its distinct words
-and pairs, what the whole corpus knows of them, and the answers come back in the order of the
-questions. So keys travel one way only, equal n-grams of a block travel once, and neither the
-vocabulary nor the counts are ever held in one place.
+The documents a task reads are cut into blocks of bounded size, whose words are numbered once. A
+block asks, once for each of its distinct words and pairs, what the whole corpus knows of them, and
+says how often it has them itself; the answers come back in the order of the questions. So keys
+travel one way only, equal n-grams of a block travel once, and neither the vocabulary nor the counts
+are ever held in one place.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import session, table
-from tallyloom.session import stage
 
 # Text of a block; a longer document is a block's only one at worst.
 BLOCK_BYTES = 8 << 20
@@ -30,13 +29,17 @@ CONTEXT_TOKENS = 1 << 19
 # Counts up to this one are discounted.
 GOOD_TURING = 5
 
-# How many pairs were seen 1, 2, ... times.
+# How many pairs were seen 1, 2, ... times in training; tokens, words, and how many words were.
 PAIR_FACTS = [f"n{r}" for r in range(1, GOOD_TURING + 2)]
+WORD_FACTS = ["tokens", "vocabulary", *[f"w{r}" for r in range(1, GOOD_TURING + 2)]]
 
 # An answer to a block: kind 1 for words, 2 for pairs.
 ANSWER_COLUMNS = ["block", "part", "kind", "counts", "large", "types", "types_large", "mass"]
 ANSWER_TYPES = "long long int binary array<long> binary array<long> binary".split()
 
+# A block as it travels: its number, and frames.
+BLOCK_COLUMNS = ["block", "docs", "words", "tokens"]
+
 # The end of a text, and what stands before its first word: no word contains a blank.
 END, START = b"\n", b" "
 
@@ -46,9 +49,15 @@ def word_hash(word: bytes) -> int:
     return digest - (1 << 64) if digest >> 63 else digest
 
 
-def words_of(text: str | None) -> list[bytes]:
+def words_in(octets: bytes | None) -> list[bytes]:
     """Words with A-Z lower-cased, and the end."""
-    return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), END]
+    words = (octets or b"").lower().split()
+    words.append(END)
+    return words
+
+
+def words_of(text: str | None) -> list[bytes]:
+    return words_in((text or "").encode("utf-8", "surrogatepass"))
 
 
 # the model's arithmetic --------------------------------------------------------------------
@@ -101,7 +110,7 @@ def backoff(
     context without rare followers leaves nothing, so its divisor grows by one count.
     """
     ranks = np.arange(1, GOOD_TURING + 1)
-    left = types @ ((1 - discount[1:]) * ranks)
+    left = (types * ((1 - discount[1:]) * ranks)).sum(axis=1)
     divisor = totals + (left <= 0)
     left = np.where(left > 0, left, 1.0)
     return divisor, left / divisor / np.maximum(1 - mass, 1e-300)
@@ -110,14 +119,6 @@ def backoff(
 # blocks ------------------------------------------------------------------------------------
 
 
-class _Codes(dict):
-    """Numbers for words, in the order they come."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
-
-
 def pack(values: np.ndarray, width: int) -> tuple[bytes, np.ndarray]:
     """Counts as unsigned numbers of one or two bytes, and the places and values of larger ones."""
     most = (1 << 8 * width) - 1
@@ -159,52 +160,87 @@ def unpack_masses(packed: bytes) -> np.ndarray:
     return whole.reshape(-1).view("<f8").astype(float)
 
 
-def framed(block_bytes: int):
-    """Cuts the rows a task reads into blocks of about ``block_bytes`` of text, each a compressed
-    frame: texts travel once, small, and equal rows are dealt like any others."""
+def planes(values: np.ndarray, width: int) -> pa.Table:
+    """The lower ``width`` bytes of each number, a column for each: equal ones compress well."""
+    octets = values.astype("<i8").view(np.uint8).reshape(-1, 8)
+    return pa.table({str(i): np.ascontiguousarray(octets[:, i]) for i in range(width)})
+
+
+def from_planes(columns: pa.Table) -> np.ndarray:
+    octets = np.zeros((len(columns), 8), np.uint8)
+    for i, column in enumerate(columns.columns):
+        octets[:, i] = column.to_numpy()
+    return octets.reshape(-1).view("<i8").astype(np.int64)
+
+
+def framed(whole: pa.Table) -> bytes:
+    """A compressed frame of a table."""
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
+    with pa.ipc.new_stream(sink, whole.schema, options=options) as stream:
+        stream.write_table(whole.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def unframed(frame: bytes) -> pa.Table:
+    return pa.ipc.open_stream(frame).read_all()
+
+
+def numbered(rows: list[pa.RecordBatch], block: int) -> pa.RecordBatch:
+    """A block: its documents, the hashes of its distinct words, the most frequent first, and the
+    number of each token's word."""
+    docs = pa.Table.from_batches(rows)
+    tokens, sizes = [], []
+    for octets in docs.column("text").cast(pa.binary()).to_pylist():
+        words = words_in(octets)
+        tokens += words
+        sizes.append(len(words))
+    coded = pa.array(tokens, pa.large_binary()).dictionary_encode()
+    code, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False)
+    digests = np.fromiter(map(xxhash.xxh64_intdigest, distinct), np.uint64, len(distinct))
+    hashes = digests.view(np.int64)
+    order = np.lexsort((hashes, -np.bincount(code)))
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    width = (len(order).bit_length() + 7) // 8
+    docs = docs.drop_columns("text").append_column("size", pa.array(sizes, pa.int64()))
+    frames = (docs, planes(hashes[order], 8), planes(place[code], width))
+    return pa.record_batch(
+        [pa.array([block]), *[pa.array([framed(f)], pa.binary()) for f in frames]], BLOCK_COLUMNS
+    )
 
-    def frame(rows: list[pa.RecordBatch], block: int) -> pa.RecordBatch:
-        whole = pa.Table.from_batches(rows).combine_chunks()
-        sink = pa.BufferOutputStream()
-        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=9))
-        with pa.ipc.new_stream(sink, whole.schema, options=options) as stream:
-            stream.write_table(whole)
-        return pa.record_batch(
-            [pa.array([block]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "frame"]
-        )
 
-    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def blocks_of(block_bytes: int):
+    """Cuts the rows a task reads into blocks of about ``block_bytes`` of text. Their words are
+    numbered here, once; they travel as compressed frames, and equal rows are dealt like any others."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
             start = 0
             for row, length in enumerate(pc.binary_length(batch.column("text")).to_pylist()):
                 size += (length or 0) + 16
                 if size >= block_bytes:
-                    yield frame([*held, batch.slice(start, row + 1 - start)], block)
+                    yield numbered([*held, batch.slice(start, row + 1 - start)], block)
                     block, held, size, start = block + 1, [], 0, row + 1
             if start < len(batch):
                 held.append(batch.slice(start))
         if held:
-            yield frame(held, block)
+            yield numbered(held, block)
 
-    return frames
+    return blocks
 
 
 class Block:
     """The words of a block's documents: numbered, and as pairs of a word and the one before."""
 
     def __init__(self, frames: pd.DataFrame):
-        docs = pa.ipc.open_stream(frames["frame"].iloc[0]).read_pandas(integer_object_nulls=True)
-        codes = _Codes()
-        parts = []
-        for text in docs["text"]:
-            words = words_of(text)
-            parts.append(np.fromiter(map(codes.__getitem__, words), np.int32, len(words)))
-        self.docs = docs.drop(columns="text")
-        self.sizes = np.array([len(p) for p in parts], np.int64)
-        self.code = np.concatenate(parts).astype(np.int64)
-        self.hashes = np.fromiter(map(word_hash, codes), np.int64, len(codes))
-        self.train = np.repeat(docs["train"].to_numpy(bool), self.sizes)
+        docs, words, tokens = (unframed(frames[c].iloc[0]) for c in BLOCK_COLUMNS[1:])
+        self.docs = docs.to_pandas(integer_object_nulls=True)
+        self.sizes = self.docs["size"].to_numpy(np.int64)
+        self.code = from_planes(tokens)
+        self.hashes = from_planes(words)
+        self.train = np.repeat(self.docs["train"].to_numpy(bool), self.sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def by_part(self, parts: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
@@ -240,73 +276,100 @@ class Block:
         context_hash = np.append(self.hashes, word_hash(START))
         end = np.flatnonzero(self.hashes == word_hash(END))
         totals = np.append(counts, counts[end[0]] if len(end) else 0)
-        asked = (totals[before] > 0) & (counts[self.code] > 0)
-        key = before[asked] * (size + 1) + self.code[asked]
-        key, inverse = np.unique(key, return_inverse=True)
-        context, word = key // (size + 1), key % (size + 1)
-        seen = np.bincount(inverse[self.train[asked]], minlength=len(key))
+        # Owners of pairs: known contexts, or their slots, by the part that counts them.
         slots = -(-totals // CONTEXT_TOKENS)
-        slot = np.where(slots[context] > 1, (self.hashes[word] >> 7) % np.maximum(slots[context], 1), 0)
+        first = np.cumsum(slots) - slots
+        context = np.repeat(np.arange(size + 1), slots)
+        slot = np.arange(len(context)) - first[context]
+        part = ((context_hash[context] >> 3) + slot * 0x9E3779B1) % parts
+        order = np.argsort(part, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        asked = (totals[before] > 0) & (counts[self.code] > 0)
+        of_asked, word = before[asked], self.code[asked]
+        owner = first[of_asked]
+        split = np.flatnonzero(slots[of_asked] > 1)
+        owner[split] += (self.hashes[word[split]] >> 7) % slots[of_asked[split]]
         # Split contexts have a question for every slot, and contexts that only unknown words
         # follow have one without a follower: their weights are needed too.
-        present = np.unique(before[totals[before] > 0])
-        bare = present[(slots[present] > 1) | ~np.isin(present, context)]
-        extra_context = np.repeat(bare, slots[bare])
-        ends = np.cumsum(slots[bare])
-        extra_slot = np.arange(len(extra_context)) - np.repeat(ends - slots[bare], slots[bare])
-        owner = np.concatenate([context, extra_context])
-        owner_slot = np.concatenate([slot, extra_slot])
-        follower = np.concatenate([word, np.full(len(extra_context), -1)])
-        part = ((context_hash[owner] >> 3) + owner_slot * 0x9E3779B1) % parts
-        order = np.lexsort((follower, owner_slot, owner, part))
+        present, followed = np.zeros(size + 1, bool), np.zeros(size + 1, bool)
+        present[before], followed[of_asked] = True, True
+        bare = np.flatnonzero(present[context] & ((slots[context] > 1) | ~followed[context]))
+        key = np.concatenate([place[owner] * (size + 1) + word + 1, place[bare] * (size + 1)])
+        by_key = np.argsort(key)
+        key = key[by_key]
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = key[1:] != key[:-1]
+        number = np.empty(len(key), np.int64)
+        number[by_key] = np.cumsum(fresh) - 1
+        key = key[fresh]
+        inverse = number[: len(word)]
+        owner, follower = np.divmod(key, size + 1)
         return {
             "asked": asked,
             "inverse": inverse,
-            "pair_context": context,
-            "pair_word": word,
             "totals": totals,
             "before": before,
-            "owner": owner[order],
-            "slot": owner_slot[order],
-            "follower": follower[order],
+            "owner": owner,
+            "context": context[order],
+            "slot": slot[order],
             "part": part[order],
-            "place": np.append(np.arange(len(key)), np.full(len(extra_context), -1))[order],
-            "seen": np.append(seen, np.zeros(len(extra_context), np.int64))[order],
+            "follower": follower - 1,
+            "seen": np.bincount(inverse[self.train[asked]], minlength=len(key)),
             "context_hash": context_hash,
         }
 
 
-def _questions(found: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per part: its number, the rows of its questions, and where each context begins in them."""
-    part, owner, slot = found["part"], found["owner"], found["slot"]
-    if not len(part):
+def _questions(found: dict) -> Iterator[tuple[int, slice, np.ndarray]]:
+    """Per part: its number, its questions, and the owners they belong to with where each begins."""
+    owner = found["owner"]
+    if not len(owner):
         return
-    for rows in np.split(np.arange(len(part)), np.flatnonzero(np.diff(part)) + 1):
-        change = (np.diff(owner[rows]) != 0) | (np.diff(slot[rows]) != 0)
-        yield int(part[rows[0]]), rows, np.concatenate([[0], np.flatnonzero(change) + 1])
+    begins = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1])
+    part = found["part"][owner[begins]]
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    ends = np.append(begins, len(owner))
+    for low, high in zip([0, *cuts], [*cuts, len(begins)]):
+        yield int(part[low]), slice(ends[low], ends[high]), begins[low:high]
 
 
 def _ask_words(parts: int):
     def ask(docs: pd.DataFrame) -> pd.DataFrame:
         block = Block(docs)
         number = int(docs["block"].iloc[0])
-        rows = [(part, number, block.hashes[group]) for part, group in block.by_part(parts)[1]]
-        return pd.DataFrame(rows, columns=["part", "block", "words"])
+        counts = np.bincount(block.code[block.train], minlength=len(block.hashes))
+        rows = [
+            (part, number, block.hashes[group].astype("<i8").tobytes(), *pack(counts[group], 1))
+            for part, group in block.by_part(parts)[1]
+        ]
+        return pd.DataFrame(rows, columns=["part", "block", "words", "seen", "seen_large"])
 
     return ask
 
 
-def _answer_words(asks: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-    order = np.argsort(known["w"].to_numpy(np.int64))
-    words = known["w"].to_numpy(np.int64)[order]
-    counts = known["c"].to_numpy(np.int64)[order]
-    rows = []
-    for part, block, asked in zip(asks["part"], asks["block"], asks["words"]):
-        at = np.minimum(np.searchsorted(words, asked), max(0, len(words) - 1))
-        found = np.zeros(len(asked), np.int64)
-        if len(words):
-            found = np.where(words[at] == asked, counts[at], 0)
-        rows.append((block, part, 1, *pack(found, 2), None, None, None))
+def _joined_words(asks: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """All words asked of a part, as numbers, and the training count of each."""
+    words = np.frombuffer(b"".join(asks["words"]), "<i8")
+    seen = np.concatenate([unpack(x, y, 1) for x, y in zip(asks["seen"], asks["seen_large"])])
+    distinct, number = np.unique(words, return_inverse=True)
+    return number, np.bincount(number, weights=seen, minlength=len(distinct)).astype(np.int64)
+
+
+def _count_words(asks: pd.DataFrame) -> pd.DataFrame:
+    """A part's training tokens and words, and how many words were seen 1, 2, ... times."""
+    totals = _joined_words(asks)[1]
+    n = np.bincount(np.minimum(totals, GOOD_TURING + 2), minlength=GOOD_TURING + 3)
+    facts = [totals.sum(), np.count_nonzero(totals), *n[1 : GOOD_TURING + 2]]
+    return pd.DataFrame({name: [int(f)] for name, f in zip(WORD_FACTS, facts)})
+
+
+def _answer_words(asks: pd.DataFrame) -> pd.DataFrame:
+    number, totals = _joined_words(asks)
+    found, rows, at = totals[number], [], 0
+    for part, block, words in zip(asks["part"], asks["block"], asks["words"]):
+        here = found[at : at + len(words) // 8]
+        at += len(here)
+        rows.append((block, part, 1, *pack(here, 2), None, None, None))
     return pd.DataFrame(rows, columns=ANSWER_COLUMNS)
 
 
@@ -331,17 +394,16 @@ def _ask_pairs(parts: int):
         rows = []
         for part, at, begins in _questions(found):
             follower = found["follower"][at]
+            owner = found["owner"][begins]
             real = follower >= 0
-            runs = np.add.reduceat(real.astype(np.int64), begins)
+            runs = np.add.reduceat(real.astype(np.int32), begins - at.start)
             # Each follower once, with its count; the pairs say which one they mean.
             named, places = np.unique(follower[real], return_inverse=True)
             rows.append(
                 (
                     part,
                     number,
-                    pack_hashes(
-                        found["context_hash"][found["owner"][at[begins]]] + found["slot"][at[begins]]
-                    ),
+                    pack_hashes(found["context_hash"][found["context"][owner]] + found["slot"][owner]),
                     runs.astype(np.int32),
                     pack_hashes(block.hashes[named]),
                     *pack(counts[named], 2),
@@ -366,9 +428,12 @@ def _joined(asks: pd.DataFrame) -> tuple:
     seen = np.concatenate([unpack(x, y, 1) for x, y in zip(asks["seen"], asks["seen_large"])])
     distinct, context = np.unique(contexts, return_inverse=True)
     of_pair = np.repeat(context, runs)
-    order = np.lexsort((words, of_pair))
+    # One number of 64 bits for a pair: an odd multiple of the context's hash and the word's.
+    pair = contexts[np.repeat(np.arange(len(contexts)), runs)] * -0x61C8864680B583EB + words
+    order = np.argsort(pair)
+    pair = pair[order]
     fresh = np.ones(len(order), bool)
-    fresh[1:] = (np.diff(of_pair[order]) != 0) | (np.diff(words[order]) != 0)
+    fresh[1:] = pair[1:] != pair[:-1]
     number = np.empty(len(order), np.int64)
     number[order] = np.cumsum(fresh) - 1
     first = order[fresh]
@@ -383,8 +448,13 @@ def _count_types(asks: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({name: [int(n[r])] for r, name in enumerate(PAIR_FACTS, 1)})
 
 
-def _answer_pairs(unigrams: Unigrams):
+def _unigrams(facts: pd.Series) -> Unigrams:
+    return Unigrams(int(facts["tokens"]), [0, *[int(facts[n]) for n in WORD_FACTS[2:]]])
+
+
+def _answer_pairs():
     def answer(asks: pd.DataFrame) -> pd.DataFrame:
+        unigrams = _unigrams(asks.iloc[0])
         size, context, number, owner, known, totals = _joined(asks)
         mass = np.bincount(owner, weights=unigrams(known) * (totals > 0), minlength=size)
         types = np.stack(
@@ -404,8 +474,8 @@ def _answer_pairs(unigrams: Unigrams):
     return answer
 
 
-def _score(parts: int, unigrams: Unigrams, tokens: int, vocabulary: int):
-    columns = ["key", "held_out", "n_tokens", "n_known", "base_score", "score"]
+def _score(parts: int):
+    columns = ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def score(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(docs):
@@ -413,9 +483,8 @@ def _score(parts: int, unigrams: Unigrams, tokens: int, vocabulary: int):
         block = Block(docs)
         counts = block.counts(answers, parts)
         found = block.pairs(counts, parts)
-        pair_seen = np.zeros(len(found["pair_word"]), np.int64)
-        size = len(block.hashes) + 1
-        types, mass = np.zeros((size, GOOD_TURING)), np.zeros(size)
+        facts = answers.iloc[0]
+        unigrams, tokens = _unigrams(facts), int(facts["tokens"])
         second = answers[answers["kind"] == 2]
         given = {
             part: (unpack(*counts, 1), unpack(*rare, 1), mass)
@@ -424,32 +493,38 @@ def _score(parts: int, unigrams: Unigrams, tokens: int, vocabulary: int):
             )
             for counts, rare in [(counts_and_rare[:2], counts_and_rare[2:])]
         }
+        pair_seen = np.zeros(len(found["owner"]), np.int64)
+        of_owner = np.zeros((GOOD_TURING + 1, len(found["context"])))
         for part, at, begins in _questions(found):
             part_counts, part_types, part_mass = given[part]
-            place = found["place"][at]
-            pair_seen[place[place >= 0]] = part_counts
-            owners = found["owner"][at[begins]]
-            np.add.at(types, owners, part_types.reshape(-1, GOOD_TURING))
-            np.add.at(mass, owners, unpack_masses(part_mass))
-        of_count = [int(second[n].iloc[0]) for n in PAIR_FACTS] if len(second) else []
-        discount = discounts([0, *of_count])
+            pair_seen[at][found["follower"][at] >= 0] = part_counts
+            owners = found["owner"][begins]
+            of_owner[0, owners] = unpack_masses(part_mass)
+            of_owner[1:, owners] = part_types.reshape(-1, GOOD_TURING).T
+        # The slots of a context are added up.
+        mass, *types = (
+            np.bincount(found["context"], weights=x, minlength=len(found["totals"])) for x in of_owner
+        )
+        types = np.stack(types, 1)
+        discount = discounts([0, *[int(facts[n]) for n in PAIR_FACTS]])
         divisor, weight = backoff(found["totals"], types, mass, discount)
         single = unigrams(counts)
         # A token's probability: from its pair if that was seen, else from the word alone, with the
         # context's weight if the context was seen.
-        context, word = found["pair_context"], found["pair_word"]
+        context, word = found["context"][found["owner"]], found["follower"]
         kept = discount[np.where(pair_seen <= GOOD_TURING, pair_seen, 0)] * pair_seen / divisor[context]
         pair = np.where(pair_seen > 0, kept, weight[context] * single[word])
         before = found["before"]
         chance = np.where(found["totals"][before] > 0, weight[before], 1.0) * single[block.code]
         chance[found["asked"]] = pair[found["inverse"]]
-        base = np.log10((counts + 1) / (tokens + vocabulary + 1))[block.code]
+        base = np.log10((counts + 1) / (tokens + int(facts["vocabulary"]) + 1))[block.code]
         return pd.DataFrame(
             {
                 "key": block.docs["key"],
                 "held_out": ~block.docs["train"].to_numpy(bool),
                 "n_tokens": block.sizes,
                 "n_known": np.add.reduceat((counts[block.code] > 0).astype(np.int64), block.starts),
+                "train_tokens": tokens,
                 "base_score": np.add.reduceat(base, block.starts),
                 "score": np.add.reduceat(np.log10(chance), block.starts),
             }
@@ -458,21 +533,11 @@ def _score(parts: int, unigrams: Unigrams, tokens: int, vocabulary: int):
     return score
 
 
-def unigram_table(docs: DataFrame) -> DataFrame:
-    """``w, c``: hash and training count of every word (and of the end), a written table."""
-
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter = Counter()
-        for batch in batches:
-            for text in batch["text"]:
-                held.update(words_of(text))
-            if len(held) > 700_000:
-                yield pd.DataFrame({"w": [word_hash(w) for w in held], "c": list(held.values())})
-                held.clear()
-        yield pd.DataFrame({"w": [word_hash(w) for w in held], "c": list(held.values())}, dtype=np.int64)
-
-    parts = docs.filter("train").select("text").mapInPandas(counted, "w long, c long")
-    return stage(parts.groupBy("w").agg(F.sum("c").alias("c")), "katz-unigrams")
+def _facts(asks: DataFrame, counted, names: list[str]) -> DataFrame:
+    """One row with the sums of what ``counted`` gives for each part."""
+    each = asks.groupBy("part").applyInPandas(counted, ", ".join(f"{n} long" for n in names))
+    sums = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]
+    return each.agg(F.struct(*sums).alias("facts"))
 
 
 def katz_scores(
@@ -506,25 +571,21 @@ def katz_scores(
     )
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     parts = max(1, -(-total // block_bytes))
-    unigram = unigram_table(rows)
-    facts = unigram.agg(
-        F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"),
-        F.count("*").alias("vocabulary"),
-        *[F.count(F.when(F.col("c") == r, 1)).alias(f"n{r}") for r in range(1, GOOD_TURING + 2)],
-    ).first()
-    tokens, vocabulary = facts["tokens"], facts["vocabulary"]
-    unigrams = Unigrams(tokens, [0, *[facts[f"n{r}"] for r in range(1, GOOD_TURING + 2)]])
-
-    # One exchange of the texts serves all three visits to the blocks.
-    dealt = rows.mapInArrow(framed(block_bytes), "block long, frame binary").repartition(parts, "block")
+
+    # One exchange of the numbered texts serves all three visits to the blocks.
+    dealt = rows.mapInArrow(
+        blocks_of(block_bytes), "block long, docs binary, words binary, tokens binary"
+    ).repartition(parts, "block")
     answer = ", ".join(f"{name} {kind}" for name, kind in zip(ANSWER_COLUMNS, ANSWER_TYPES))
-    word_asks = dealt.groupBy("block").applyInPandas(
-        _ask_words(parts), "part long, block long, words array<long>"
-    )
-    known = unigram.withColumn("part", F.pmod("w", F.lit(parts)))
-    word_answers = (
-        word_asks.groupBy("part").cogroup(known.groupBy("part")).applyInPandas(_answer_words, answer)
+    word_asks = (
+        dealt.groupBy("block")
+        .applyInPandas(
+            _ask_words(parts), "part long, block long, words binary, seen binary, seen_large array<long>"
+        )
+        .repartition(parts, "part")
     )
+    word_facts = _facts(word_asks, _count_words, WORD_FACTS)
+    word_answers = word_asks.groupBy("part").applyInPandas(_answer_words, answer)
     pair_asks = (
         dealt.groupBy("block")
         .cogroup(word_answers.groupBy("block"))
@@ -536,36 +597,28 @@ def katz_scores(
         )
         .repartition(parts, "part")
     )
-    of_count = (
-        pair_asks.groupBy("part")
-        .applyInPandas(_count_types, ", ".join(f"{n} long" for n in PAIR_FACTS))
-        .agg(F.struct(*[F.sum(n).alias(n) for n in PAIR_FACTS]).alias("f"))
+    pair_facts = _facts(pair_asks, _count_types, PAIR_FACTS)
+    pair_answers = (
+        pair_asks.withColumn("f", word_facts.scalar())
+        .select(*pair_asks.columns, "f.*")
+        .groupBy("part")
+        .applyInPandas(_answer_pairs(), answer)
     )
-    pair_answers = pair_asks.groupBy("part").applyInPandas(_answer_pairs(unigrams), answer)
-    unknown_facts = F.lit(None).cast(of_count.schema["f"].dataType)
     answers = (
-        word_answers.withColumn("f", unknown_facts)
-        .unionByName(pair_answers.withColumn("f", of_count.scalar()))
-        .select(*ANSWER_COLUMNS, "f.*")
+        word_answers.unionByName(pair_answers)
+        .withColumns({"f": word_facts.scalar(), "g": pair_facts.scalar()})
+        .select(*ANSWER_COLUMNS, "f.*", "g.*")
     )
     scored = (
         dealt.groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInPandas(
-            _score(parts, unigrams, tokens, vocabulary),
+            _score(parts),
             f"key {dict(rows.dtypes)['key']}, held_out boolean, n_tokens long, n_known long, "
-            "base_score double, score double",
+            "train_tokens long, base_score double, score double",
         )
     )
-    return scored.select(
-        F.col("key").alias(key),
-        "held_out",
-        "n_tokens",
-        "n_known",
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        "base_score",
-        "score",
-    )
+    return scored.withColumnRenamed("key", key)
 
 
 def op3_katz(spark, sf_dir):
