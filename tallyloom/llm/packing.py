@@ -10,6 +10,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ GAP = 0.0005
 TURNS = 4
 # Chunks whose ids a task remembers before it starts afresh: bounds memory, not results.
 KNOWN_CHUNKS = 600_000
+# Text that is encoded at once; a longer document is by itself at worst.
+GROUP_BYTES = 4 << 20
 
 
 # the plan: a linear program over patterns of lengths --------------------------------------------
@@ -259,32 +262,29 @@ class BatchEncoder(Encoder):
 
     def _learn(self, chunks: list[str]) -> None:
         # What Python knows as letters alone is one word; the library knows the same and some more.
+        letters = [chunk for chunk in chunks if chunk.isalpha()]
+        mixed = [chunk for chunk in chunks if not chunk.isalpha()]
         found = [
-            [chunk]
-            if chunk.isalpha()
-            else self.ascii_words.findall(chunk)
+            self.ascii_words.findall(chunk)
             if chunk.isascii()
             else self.any_words.findall(
                 chunk if max(chunk) < self.capitals else chunk.translate(_NEW_CAPITALS)
             )
-            for chunk in chunks
+            for chunk in mixed
         ]
-        by_size: dict[int, tuple[list[str], list[bytes]]] = {}
-        for word in set(chain.from_iterable(found)).difference(self.by_word):
-            octets = word.encode("utf-8", "surrogatepass")
-            if len(octets) > self.LONGEST:
-                self.by_word[word] = self.word(word)
+        fresh = list(set(letters).union(*found).difference(self.by_word))
+        octets = [word.encode("utf-8", "surrogatepass") for word in fresh]
+        sizes = np.fromiter(map(len, octets), np.int64, len(octets))
+        for size in np.unique(sizes).tolist():
+            same = np.flatnonzero(sizes == size).tolist()
+            words = [fresh[i] for i in same]
+            if size > self.LONGEST:
+                self.by_word.update((word, self.word(word)) for word in words)
             else:
-                words, rows = by_size.setdefault(len(octets), ([], []))
-                words.append(word)
-                rows.append(octets)
-        for size, (words, rows) in by_size.items():
-            self.by_word.update(zip(words, self._merged(rows, size)))
+                self.by_word.update(zip(words, self._merged([octets[i] for i in same], size)))
         packed = self.by_word.__getitem__
-        self.by_chunk.update(
-            (chunk, packed(words[0]) if len(words) == 1 else b"".join(map(packed, words)))
-            for chunk, words in zip(chunks, found)
-        )
+        self.by_chunk.update(zip(letters, map(packed, letters)))
+        self.by_chunk.update((c, b"".join(map(packed, words))) for c, words in zip(mixed, found))
 
     def _chunks(self, text: str) -> list[str]:
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
@@ -292,18 +292,51 @@ class BatchEncoder(Encoder):
             return self.spaces.split(text)
         return text.split()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = []
+    def arrays(self, texts: list[str], close: bytes = b"") -> tuple[np.ndarray, pa.Array]:
+        """Numbers of ids and the packed ids of each text, closed by ``close``. Equal chunks of the
+        texts are looked up once, and their ids gathered side by side."""
+        end = " "  # no chunk is blank
+        chunks, ends = [], []
         for text in texts:
             if any(map(text.__contains__, self.special)):
-                pieces = self.cut.split(text)
-                split.append([c for p in pieces for c in ([p] if p in self.special else self._chunks(p))])
+                for piece in self.cut.split(text):
+                    chunks += [piece] if piece in self.special else self._chunks(piece)
             else:
-                split.append(self._chunks(text))
+                chunks += self._chunks(text)
+            chunks.append(end)
+            ends.append(len(chunks))
+        coded = pa.array(chunks, pa.large_string()).dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.by_chunk) > KNOWN_CHUNKS:
             self.by_chunk, self.by_word = dict(self.special), {}
-        self._learn(list(set().union(*split).difference(self.by_chunk)))
-        return [b"".join(map(self.by_chunk.__getitem__, chunks)) for chunks in split]
+        self.by_chunk[end] = close
+        self._learn([chunk for chunk in distinct if chunk not in self.by_chunk])
+        packed = pa.array(map(self.by_chunk.__getitem__, distinct), pa.binary())
+        gathered = packed.take(coded.indices)
+        _, offsets, octets = gathered.buffers()
+        # A text's ids end where those of its last chunk do.
+        offsets = np.frombuffer(offsets, np.int32)[[0, *ends]]
+        buffers = [None, pa.py_buffer(offsets), octets or pa.py_buffer(b"")]
+        return np.diff(offsets) // 4, pa.Array.from_buffers(pa.binary(), len(texts), buffers)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return self.arrays(texts)[1].to_pylist()
+
+
+def groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
+    """The rows in groups of about ``most`` bytes of their second column."""
+    held, size = [], 0
+    for batch in batches:
+        start = 0
+        for row, length in enumerate(pc.binary_length(batch.column(1)).to_pylist()):
+            size += length or 0
+            if size >= most:
+                yield [*held, batch.slice(start, row + 1 - start)]
+                held, size, start = [], 0, row + 1
+        if start < len(batch):
+            held.append(batch.slice(start))
+    if held:
+        yield held
 
 
 def _encoded(docs: DataFrame, path: str, key: str, text: str, end: int, length: int) -> DataFrame:
@@ -320,21 +353,23 @@ def _encoded(docs: DataFrame, path: str, key: str, text: str, end: int, length:
             known["encoder"] = BatchEncoder(known)
         encoder = known["encoder"]
         part, seq, fulls, same = TaskContext.get().partitionId(), 0, 0, {}
-        for batch in batches:
-            columns = [[] for _ in range(6)]
-            texts = [(body or b"").decode("utf-8", "replace") for body in batch.column(1).to_pylist()]
-            for ids in encoder.encode(texts):
-                ids += close
-                tokens = len(ids) // 4
+        for held in groups(batches, GROUP_BYTES):
+            columns = [[] for _ in range(4)]
+            bodies = chain.from_iterable(batch.column(1).to_pylist() for batch in held)
+            texts = [(body or b"").decode("utf-8", "replace") for body in bodies]
+            doc_tokens, ids = encoder.arrays(texts, close)
+            for tokens in doc_tokens.tolist():
                 size = -(-(tokens % length) // STEP)
-                for column, value in zip(columns, (seq, fulls, size, same.get(size, 0), tokens, ids)):
+                for column, value in zip(columns, (seq, fulls, size, same.get(size, 0))):
                     column.append(value)
                 seq, fulls = seq + 1, fulls + tokens // length
                 same[size] = same.get(size, 0) + 1
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+            keys = pa.concat_arrays([batch.column(0) for batch in held])
             yield pa.record_batch(
-                [batch.column(0), pa.array([part] * len(batch), pa.int32())]
-                + [pa.array(c, k) for c, k in zip(columns, kinds)],
+                [keys, pa.array([part] * len(texts), pa.int32())]
+                + [pa.array(c, k) for c, k in zip(columns, kinds)]
+                + [pa.array(doc_tokens, pa.int64()), ids],
                 ["key", "part", "seq", "fulls", "size", "same", "doc_tokens", "ids"],
             )
 

@@ -4,6 +4,7 @@ import collections
 import random
 import struct
 
+import pyarrow as pa
 import pytest
 from test_operators import DOCS, sample, with_clashes
 from tokenizers import Tokenizer
@@ -113,3 +114,22 @@ def test_words_merged_side_by_side_equal_the_search():
     texts = words + [" ".join(words[i : i + 40]) for i in range(0, 3000, 40)]
     assert batch.encode(texts) == [plain(t) for t in texts]
     assert batch.encode(texts[::-1]) == [plain(t) for t in texts[::-1]]
+
+
+def test_a_task_encodes_its_texts_in_groups():
+    texts = ["a b", None, "", "c" * 50, "a<|endoftext|> b", "é", "x y z"] * 3
+    batches = [
+        pa.record_batch([pa.array(range(i, i + 3)), pa.array(texts[i : i + 3], pa.binary())], ["key", "body"])
+        for i in range(0, 21, 3)
+    ]
+    held = list(packing.groups(iter(batches), 40))
+    keys = [[k for batch in group for k in batch.column(0).to_pylist()] for group in held]
+    assert sum(keys, []) == list(range(21))
+    assert 1 < len(keys) < len(batches)  # over batches, and bounded
+    for group in keys:
+        assert sum(len((texts[k] or "").encode()) for k in group[:-1]) < 40
+    encoder = packing.BatchEncoder(bpe.read_vocabulary(bpe.default_path()))
+    for group in [*keys, []]:
+        want = expected([texts[k] for k in group])
+        counts, ids = encoder.arrays([texts[k] or "" for k in group], struct.pack("<I", 1))
+        assert [struct.unpack(f"<{n}I", i) for n, i in zip(counts, ids.to_pylist(), strict=True)] == want
