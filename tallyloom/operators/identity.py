@@ -54,4 +54,5 @@ class Identities:
             moved = members.join(joined, members.root == joined.old).select(
                 "node", F.col("new").alias("root")
             )
-            return self.table.upsert(fresh.unionByName(moved))
+            # A node has one root, and is either new or stored.
+            return self.table.upsert(fresh.unionByName(moved), unique=True)

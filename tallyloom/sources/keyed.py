@@ -246,12 +246,15 @@ class KeyedTable:
         first = [F.col(order).alias("_order")] if order else []
         best = F.max(F.struct(*first, *[F.col(f"`{c}`") for c in rest])).alias("_row")
         picked = incoming.groupBy(self.key).agg(best)
+        return self._keys_known(
+            picked.select(self.key, *[F.col(f"_row.`{c}`").alias(c) for c in rest])
+        )
+
+    def _keys_known(self, incoming: DataFrame) -> DataFrame:
         key = F.when(
             F.col(self.key).isNull(), F.raise_error(F.lit(f"null key for table {self.name}"))
         ).otherwise(F.col(self.key))
-        return picked.select(
-            key.alias(self.key), *[F.col(f"_row.`{c}`").alias(c) for c in rest]
-        )
+        return incoming.withColumn(self.key, key)
 
     def _merge(
         self,
@@ -260,8 +263,10 @@ class KeyedTable:
         new_value,
         batch: str | None = None,
         digest: str | None = None,
+        unique: bool = False,
     ) -> DataFrame:
-        """Merge incoming rows into their buckets.
+        """Merge incoming rows into their buckets; ``unique`` says that no key comes twice, which
+        saves a grouping.
 
         ``new_value(old, new, stored)`` is what a column of a supplied row becomes; ``new`` is None
         for a column that is not supplied, and ``stored`` tells whether the key was known. A
@@ -271,7 +276,8 @@ class KeyedTable:
         if batch is not None and self._applied(batch, digest):
             return self.read()
         with scratch_scope(self.spark):
-            incoming = stage(self.one_per_key(incoming, order), "incoming")
+            picked = self._keys_known(incoming) if unique else self.one_per_key(incoming, order)
+            incoming = stage(picked, "incoming")
             self._enter(incoming)
             now = (self._layouts() or [None])[-1]
             size = self.spark._jvm.org.apache.hadoop.fs.Path(incoming._staged_path)
@@ -324,10 +330,12 @@ class KeyedTable:
             if column in incoming.columns:
                 value, key = F.col(column).cast("string"), F.col(self.key).cast("string")
                 entry = F.concat_ws("#", F.length(value), value, key)
+                # Rows have a key each, and so have entries.
                 index.insert_missing(
                     incoming.filter(F.col(column).isNotNull()).select(
                         entry.alias("entry"), value.alias("value"), key.alias("id")
-                    )
+                    ),
+                    unique=True,
                 )
 
     def replace(self, incoming: DataFrame, order: str | None = None) -> DataFrame:
@@ -337,7 +345,11 @@ class KeyedTable:
         )
 
     def upsert(
-        self, incoming: DataFrame, order: str | None = None, skip_nulls: bool = False
+        self,
+        incoming: DataFrame,
+        order: str | None = None,
+        skip_nulls: bool = False,
+        unique: bool = False,
     ) -> DataFrame:
         """Update by id: supplied columns win, other columns stay, unknown ids are added.
 
@@ -350,7 +362,7 @@ class KeyedTable:
                 return old
             return F.coalesce(new, old) if skip_nulls else new
 
-        return self._merge(incoming, order, value)
+        return self._merge(incoming, order, value, unique=unique)
 
     def add(
         self, incoming: DataFrame, batch: str | None = None, digest: str | None = None
@@ -369,13 +381,15 @@ class KeyedTable:
             digest,
         )
 
-    def insert_missing(self, incoming: DataFrame, order: str | None = None) -> DataFrame:
+    def insert_missing(
+        self, incoming: DataFrame, order: str | None = None, unique: bool = False
+    ) -> DataFrame:
         """Add the rows whose id is unknown; stored rows stay as they are."""
 
         def value(old, new, stored):
             return F.when(stored, old).otherwise(F.lit(None) if new is None else new)
 
-        return self._merge(incoming, order, value)
+        return self._merge(incoming, order, value, unique=unique)
 
 
 def append_generated(df: DataFrame, folder: str, id_column: str = "id") -> None:

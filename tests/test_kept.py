@@ -13,7 +13,7 @@ from tallyloom.operators.identity import Identities
 from tallyloom.operators.prefix import numbered, running_sum
 from tallyloom.session import new_folder
 from tallyloom.sources import compaction
-from tallyloom.sources.keyed import append_generated
+from tallyloom.sources.keyed import KeyedTable, append_generated
 from tallyloom.sources.pages import Pages
 
 
@@ -157,3 +157,22 @@ def test_small_files_are_put_together(spark, rows_of):
     assert compaction.compact(spark, folder, schema, target_bytes=10) == 0
     assert compaction.compact(spark, folder, schema) == 2
     assert spark.read.schema(schema).parquet(folder).count() == 37
+
+
+def test_identities_are_merged_without_a_grouping(spark, monkeypatch):
+    """Their rows have a key each, and so have the entries of the index; null keys stay refused."""
+    grouped = []
+    one_per_key = KeyedTable.one_per_key
+
+    def noted(self, *args):
+        grouped.append(self.name)
+        return one_per_key(self, *args)
+
+    monkeypatch.setattr(KeyedTable, "one_per_key", noted)
+    kept = Identities(spark, "lean", new_folder(spark, "lean"), buckets=2)
+    kept.absorb(spark.createDataFrame([("b", "c"), ("d", "e")], "a string, b string"))
+    rows = kept.absorb(spark.createDataFrame([("a", "c"), ("e", "f")], "a string, b string"))
+    assert sorted(map(tuple, rows.collect())) == [*zip("abc", "aaa"), *zip("def", "ddd")]
+    assert grouped == []
+    with pytest.raises(Exception, match="null key"):
+        kept.table.upsert(spark.createDataFrame([(None, "a")], "node string, root string"), unique=True)
