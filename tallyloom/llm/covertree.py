@@ -2,23 +2,40 @@
 
 from __future__ import annotations
 
+import contextlib
+import hashlib
 import math
+from collections import defaultdict
+from functools import reduce
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.llm.common import session, table
 from tallyloom.operators.components import component_roots
-from tallyloom.session import bounded_broadcast, stage
+from tallyloom.session import BROADCAST_LIMIT, bounded_broadcast, drop_staged, stage
 
-# Vectors that one task holds of one node; larger nodes get children. The fan-out of a split.
-LEAF = 1024
+# Points that a leaf node holds, and bytes of their vectors; larger nodes get children, so many.
+LEAF = 16384
+LEAF_BYTES = 4 << 20
 FAN_OUT = 16
-# Points of a node inside a task that are compared outright.
-BUCKET = 48
+# Bytes of vectors in a bag, which is a row of leaf nodes. A task holds two bags.
+BAG_BYTES = 8 << 20
+# Bags that one job holds against all their partners.
+BAGS_A_JOB = 32
+# Points of a node inside a task that are compared outright, and the mean of a node's children
+# below which opening it costs more than comparing all its points.
+BUCKET = 256
+CHILD = 32
+# Points of either side in one block of products.
+ROWS, COLUMNS = 512, 2048
+# Links that wait to be merged.
+WAITING = 1 << 20
+# Rows in an Arrow batch of single vectors.
+BATCH = "1024"
 # Rounding of distances between unit vectors in double precision, many times over.
 SLACK = 1e-9
 
@@ -28,11 +45,16 @@ class Tree:
 
     The children of a node are a net of its points: each point lies within the level's radius of
     its child's centre, and centres lie further than that apart. ``radius`` is the measured
-    covering radius, never more than the level's. A node of few points has no children.
+    covering radius, never more than the level's. A node of few points has no children, nor has
+    one whose net would have almost as many centres as points.
     """
 
     def __init__(self, points: np.ndarray):
         self.points = points
+        # The first dimensions, and as one more the length of the rest.
+        part = max(1, points.shape[1] * 3 // 8) if points.shape[1] >= 32 else points.shape[1]
+        rest = np.sqrt(np.einsum("ij,ij->i", points[:, part:], points[:, part:]))
+        self.short = np.column_stack([points[:, :part], rest]).astype(np.float32)
         self.centre: list[np.ndarray] = []
         self.radius: list[float] = []
         self.members: list[np.ndarray] = []
@@ -41,37 +63,31 @@ class Tree:
             self._node(np.arange(len(points)), points[0], 2.0)
 
     def _node(self, members: np.ndarray, centre: np.ndarray, level: float) -> int:
-        number = len(self.centre)
-        away = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (self.points[members] @ centre)))
-        self.centre.append(centre)
-        self.radius.append(float(away.max()) + SLACK)
-        self.members.append(members)
-        self.children.append([])
+        number = self._bucket(members, centre)
         # Skip the levels that would only repeat this node.
         while level / 2 >= self.radius[number] and level > 1e-6:
             level /= 2
         if len(members) > BUCKET and level > 1e-6:
-            rest, found = members, []
-            while len(rest):
-                own = self.points[rest[0]]
-                far = 2.0 - 2.0 * (self.points[rest] @ own) > (level / 2) ** 2
-                far[0] = False
-                found.append((rest[~far], own))
-                rest = rest[far]
+            block, left, found = self.points[members], np.ones(len(members), bool), []
+            while left.any():
+                if len(found) > CHILD + (len(members) - np.count_nonzero(left)) // CHILD:
+                    return number
+                first = int(np.argmax(left))
+                near = (2.0 - 2.0 * (block @ block[first]) <= (level / 2) ** 2) & left
+                near[first] = True
+                found.append((members[near], block[first]))
+                left &= ~near
             # Children of one point each are one bucket: comparing them outright costs less.
             alone = [m for m, _ in found if len(m) == 1]
             for group, own in found:
                 if len(group) > 1:
                     self.children[number].append(self._node(group, own, level / 2))
-            if len(alone) == len(members):
-                return number
             for start in range(0, len(alone), BUCKET):
                 group = np.concatenate(alone[start : start + BUCKET])
-                self.children[number].append(self._bucket(group))
+                self.children[number].append(self._bucket(group, self.points[group[0]]))
         return number
 
-    def _bucket(self, members: np.ndarray) -> int:
-        centre = self.points[members[0]]
+    def _bucket(self, members: np.ndarray, centre: np.ndarray) -> int:
         away = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (self.points[members] @ centre)))
         self.centre.append(centre)
         self.radius.append(float(away.max()) + SLACK)
@@ -80,6 +96,37 @@ class Tree:
         return len(self.centre) - 1
 
 
+def _near(a: Tree, left: list[int], b: Tree, right: list[int], reach: float) -> np.ndarray:
+    """Which nodes ``left`` of one tree may hold a link to which nodes ``right`` of the other."""
+    dots = np.stack([a.centre[i] for i in left]) @ np.stack([b.centre[j] for j in right]).T
+    radii = np.add.outer([a.radius[i] for i in left], [b.radius[j] for j in right])
+    return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * dots)) <= radii + reach
+
+
+def _blocks(a: Tree, rows: np.ndarray, b: Tree, columns: np.ndarray, min_cosine: float):
+    """Blocks of two sets of points that hold a hit, with their hits.
+
+    A product over some dimensions plus the product of the lengths of the others is at least the
+    whole one. In single precision it leaves few pairs of most blocks; their cosines are computed in
+    double precision.
+    """
+    floor = min_cosine - (a.short.shape[1] + 4) * 2.0**-23
+    for i in range(0, len(rows), ROWS):
+        own = a.short[rows[i : i + ROWS]]
+        for j in range(0, len(columns), COLUMNS):
+            others = columns[j : j + COLUMNS]
+            hits = own @ b.short[others].T >= floor
+            n = np.count_nonzero(hits)
+            if n > hits.size // 64:
+                hits = a.points[rows[i : i + ROWS]] @ b.points[others].T >= min_cosine
+            elif n:
+                x, y = np.divmod(np.flatnonzero(hits), hits.shape[1])
+                left, right = a.points[rows[i + x]], b.points[others[y]]
+                hits[x, y] = np.einsum("ij,ij->i", left, right) >= min_cosine
+            if n and hits.any():
+                yield rows[i : i + ROWS], others, hits
+
+
 def traverse(a: Tree, b: Tree, min_cosine: float):
     """Blocks ``rows of a, rows of b, hits`` of the points that survive the pruning.
 
@@ -88,28 +135,27 @@ def traverse(a: Tree, b: Tree, min_cosine: float):
     radius is opened. If ``a is b``, each pair of different points comes once.
     """
     reach = math.sqrt(max(0.0, 2.0 - 2.0 * min_cosine)) + SLACK
-    waiting = [(0, 0)] if len(a.points) and len(b.points) else []
+    waiting = []
+    if len(a.points) and len(b.points) and _near(a, [0], b, [0], reach)[0, 0]:
+        waiting.append((0, 0))
     while waiting:
         i, j = waiting.pop()
-        apart = math.sqrt(max(0.0, 2.0 - 2.0 * float(a.centre[i] @ b.centre[j])))
-        if apart > a.radius[i] + b.radius[j] + reach:
-            continue
         inner, outer = a.children[i], b.children[j]
         if a is b and i == j:
             if inner:
-                waiting += [(x, y) for k, x in enumerate(inner) for y in inner[k:]]
+                x, y = np.nonzero(np.triu(_near(a, inner, b, inner, reach)))
+                waiting += [(inner[k], inner[m]) for k, m in zip(x, y)]
                 continue
         elif inner and (not outer or a.radius[i] >= b.radius[j]):
-            waiting += [(x, j) for x in inner]
+            waiting += [(inner[k], j) for k in np.flatnonzero(_near(a, inner, b, [j], reach))]
             continue
         elif outer:
-            waiting += [(i, y) for y in outer]
+            waiting += [(i, outer[k]) for k in np.flatnonzero(_near(a, [i], b, outer, reach))]
             continue
-        rows, columns = a.members[i], b.members[j]
-        hits = a.points[rows] @ b.points[columns].T >= min_cosine
-        if a is b and i == j:
-            hits = np.triu(hits, 1)
-        yield rows, columns, hits
+        for rows, columns, hits in _blocks(a, a.members[i], b, b.members[j], min_cosine):
+            if a is b and i == j:
+                hits &= rows[:, None] < columns[None, :]
+            yield rows, columns, hits
 
 
 def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -123,138 +169,192 @@ def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             labels[:] = labels[labels]
 
 
-def _compare(task: pd.DataFrame, min_cosine: float) -> pd.DataFrame:
-    """One pair of nodes: per point its number of links, and a link to another of its component."""
-    left = task[task["side"] == 0]
-    right = task[task["side"] == 1]
-    same = not len(right)
-    points = [np.vstack(s["unit"].to_numpy()) for s in (left, right) if len(s)]
-    trees = [Tree(p) for p in points]
-    if same:
-        trees.append(trees[0])
-    node = np.concatenate([left["node"].to_numpy(np.int64), right["node"].to_numpy(np.int64)])
-    copies = np.concatenate([left["copies"].to_numpy(np.int64), right["copies"].to_numpy(np.int64)])
-    shift = 0 if same else len(left)
-    labels, counts = np.arange(len(node)), np.zeros(len(node), np.int64)
-    for rows, columns, hits in traverse(trees[0], trees[1], min_cosine):
-        i, j = np.nonzero(hits)
-        if len(i):
-            a, b = rows[i], columns[j] + shift
-            np.add.at(counts, a, copies[b])
-            np.add.at(counts, b, copies[a])
-            _merge(labels, a, b)
-    touched = np.flatnonzero(counts)
-    return pd.DataFrame({"a": node[touched], "b": node[labels[touched]], "n": counts[touched]})
-
-
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _unit(vectors: pd.Series) -> pd.Series:
-    """Vectors of length one; null for those that have no direction."""
-    found = []
-    for vector in vectors:
-        values = np.asarray([] if vector is None else vector, np.float64)
-        top = np.abs(values).max(initial=0.0)
-        if not np.isfinite(values).all() or not top > 0:
-            found.append(None)
-            continue
-        values = values / top  # so that no square overflows or vanishes
-        found.append(values / np.sqrt(values @ values) + 0.0)
-    return pd.Series(found, dtype=object)
+def _scaled(matrix: np.ndarray) -> np.ndarray:
+    """Rows with their greatest component at one, so that no square overflows or vanishes."""
+    with np.errstate(all="ignore"):
+        return matrix / np.abs(matrix).max(axis=1, initial=0.0)[:, None] + 0.0
+
+
+def _units(matrix: np.ndarray) -> np.ndarray:
+    """Rows of length one, in double precision."""
+    scaled = _scaled(matrix.astype(np.float64))
+    return scaled / np.sqrt(np.einsum("ij,ij->i", scaled, scaled))[:, None]
+
+
+def _matrices(column: pa.Array, dtype: type):
+    """``row numbers, matrix`` of a column of packed vectors, one for each length."""
+    held = [np.frombuffer(v.as_buffer(), dtype) for v in column]
+    lengths = np.array([len(v) for v in held])
+    for length in np.unique(lengths):
+        rows = np.flatnonzero(lengths == length)
+        yield rows, np.vstack([held[r] for r in rows])
+
+
+def _packed(dtype: type):
+    """``key, label, vector`` to ``key, label, size, digest, raw``, all but the first two null for a
+    vector without direction. Equal digests are equal directions; ``raw`` is the vector as given."""
+
+    def pack(batches):
+        for batch in batches:
+            vectors = batch.column(2)
+            vectors = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+            lengths = vectors.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(dtype)
+            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
+            sizes, digests, raw = ([None] * len(lengths) for _ in range(3))
+            for length in np.unique(lengths[lengths > 0]):
+                rows = np.flatnonzero(lengths == length)
+                given = flat[starts[rows][:, None] + np.arange(length)]
+                double = given.astype(np.float64)
+                sound = np.isfinite(double).all(axis=1) & double.any(axis=1)
+                rows, given = rows[sound], given[sound]
+                for row, own, scaled in zip(rows, given, _scaled(double[sound])):
+                    sizes[row] = int(length)
+                    digests[row] = hashlib.blake2b(scaled, digest_size=16).digest()
+                    raw[row] = own.tobytes()
+            columns = [pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()), pa.array(raw, pa.binary())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *columns], ["key", "label", "size", "digest", "raw"]
+            )
+
+    return pack
+
+
+@contextlib.contextmanager
+def _settings(spark: SparkSession, **values: str):
+    """Session settings for what is planned and run inside."""
+    names = {
+        "batch": "spark.sql.execution.arrow.maxRecordsPerBatch",
+        "split": "spark.sql.files.maxPartitionBytes",
+        "opening": "spark.sql.files.openCostInBytes",
+    }
+    before = {names[k]: spark.conf.get(names[k]) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(names[k], v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+SMALL = {
+    "share": pa.float64(),
+    "radius": pa.float64(),
+    "centre": pa.list_(pa.float64()),
+}
+
+
+def _small(spark: SparkSession, **columns) -> DataFrame:
+    """A table of what the driver knows; columns are longs unless ``SMALL`` names them."""
+    return spark.createDataFrame(
+        pa.table({n: pa.array(list(v), SMALL.get(n, pa.int64())) for n, v in columns.items()})
+    )
 
 
-def _nearest_centre(df: DataFrame) -> DataFrame:
-    """``centre_no`` and ``away`` of each row's unit vector among its list of centres."""
+def _child(cell: int, number: int, level: int) -> int:
+    text = f"{cell},{number},{level}".encode()
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+
+
+def _nearest(centres: dict, level: int, dtype: type):
+    """Moves each point to the child whose centre is nearest, ``centres`` being matrices by cell."""
+
+    def assign(batches):
+        for batch in batches:
+            names = batch.schema.names
+            cells = batch.column(names.index("cell")).to_numpy(zero_copy_only=False).copy()
+            away = batch.column(names.index("away")).to_numpy(zero_copy_only=False).copy()
+            for rows, matrix in _matrices(batch.column(names.index("raw")), dtype):
+                units, own = _units(matrix), cells[rows]
+                order = np.argsort(own, kind="stable")
+                bounds = np.flatnonzero(np.diff(own[order], prepend=own[order[0]] - 1))
+                for part in np.split(order, bounds[1:]):
+                    cell = int(own[part[0]])
+                    dots = units[part] @ centres[cell].T
+                    best = np.argmax(dots, axis=1)
+                    children = np.array([_child(cell, k, level) for k in range(dots.shape[1])])
+                    cells[rows[part]] = children[best]
+                    least = np.maximum(0.0, 2.0 - 2.0 * dots[np.arange(len(part)), best])
+                    away[rows[part]] = np.sqrt(least)
+            columns = {"cell": pa.array(cells), "away": pa.array(away)}
+            yield pa.RecordBatch.from_arrays(
+                [columns.get(n, batch.column(k)) for k, n in enumerate(names)], names
+            )
 
-    @F.pandas_udf("centre_no int, away double")
-    def nearest(units: pd.Series, centres: pd.Series) -> pd.DataFrame:
-        found = []
-        for unit, options in zip(units, centres):
-            dots = np.vstack(options) @ unit
-            best = int(np.argmax(dots))
-            found.append((best, math.sqrt(max(0.0, 2.0 - 2.0 * float(dots[best])))))
-        return pd.DataFrame(found, columns=["centre_no", "away"])
+    return assign
 
-    return df.withColumn("near", nearest("unit", "centres"))
 
+def grow_top(points: DataFrame, width: int, leaf: int = LEAF) -> tuple[list, dict, int]:
+    """The upper levels of the trees.
 
-def grow_top(points: DataFrame, leaf: int = LEAF) -> tuple[DataFrame, DataFrame]:
-    """The upper levels of the trees, as tables.
+    ``points`` are staged: ``node, root, copies, size, raw, cell, away``. The first ``cell`` is the
+    group's ``root``, with all points 2 ``away`` from its centre at most. Returns staged tables of
+    the points with their leaf nodes, for which ``points`` are dropped if one was split; the nodes of groups of more than one leaf, ``cell: (parent, centre, radius,
+    bytes)``, no bytes for inner ones; and the bytes of all other groups.
 
-    Returns the points with the id of their leaf node (``cell``), and the nodes: ``cell, parent,
-    grp, centre, radius, is_leaf``. Each group's root is its own node. Every round splits all nodes
-    of more than ``leaf`` points at once: a hash threshold picks about ``FAN_OUT`` of a node's
-    points as centres, the others join the nearest, and the covering radius is measured. Only
-    counts and centres are grouped, map-side first; a node of any size is split by many tasks.
-    A node whose points no round could part (none was picked) is tried again with other hashes.
+    Every round splits all nodes of more than ``leaf`` points at once: a hash threshold picks up to
+    about ``FAN_OUT`` of a node's points as centres, the others join the nearest, and the covering
+    radius is measured. Sizes are grouped map-side first and a node of any size is split by many
+    tasks; only large nodes' sizes and centres, about one point in a thousand, come to the driver,
+    and no more than ``BROADCAST_LIMIT`` of centres are sent out at once. Vectors are not shuffled.
+    A node whose points no round could part (fewer than two were picked) is tried again with other
+    hashes.
     """
-    current = stage(
-        points.withColumn("cell", F.xxhash64("grp")).withColumn("away", F.lit(2.0)), "tree-points"
-    )
-    nodes = None
-    finished = None
-    level = 0
-    while True:
-        sizes = current.groupBy("cell").agg(
-            F.count("*").alias("n"), F.max("away").alias("radius"), F.first("grp").alias("grp")
-        )
-        sizes = stage(sizes, "tree-sizes")
-        small = sizes.filter(F.col("n") <= leaf).select("cell")
-        done = current.join(bounded_broadcast(small), "cell")
-        finished = done if finished is None else finished.unionByName(done)
-        large = sizes.filter(F.col("n") > leaf)
-        if large.isEmpty() or level >= 60:
-            if not large.isEmpty():
-                raise RuntimeError("vectors could not be parted; choose a larger leaf")
-            break
-        crowd = current.join(bounded_broadcast(large.select("cell", "n")), "cell")
-        draw = F.pmod(F.xxhash64("node", F.lit(level)), F.lit(1 << 30)) * F.col("n")
-        centres = (
-            crowd.filter(draw < FAN_OUT << 30)
-            .groupBy("cell")
-            .agg(F.sort_array(F.collect_list(F.struct("node", "unit"))).alias("picked"))
-            .select("cell", F.col("picked.unit").alias("centres"))
+    spark, dtype = points.sparkSession, np.float32 if width == 4 else np.float64
+    columns = ["node", "root", "copies", "size", "raw", "cell", "away"]
+    tables, nodes, others = [], {}, 0
+    current = [points]
+    for level in range(60):
+        together = reduce(DataFrame.unionByName, current)
+        sizes = together.groupBy("cell").agg(
+            F.count("*").alias("n"), F.max("away").alias("radius"), F.max("size").alias("size")
         )
-        centres = stage(centres, "tree-centres")
-        parted = _nearest_centre(
-            crowd.drop("n")
-            .join(bounded_broadcast(centres), "cell", "left")
-            .withColumn("centres", F.coalesce("centres", F.array("unit")))
-            .withColumn("tried", F.size("centres") > 1)
-        )
-        child = F.when(
-            F.col("tried"), F.xxhash64("cell", "near.centre_no", F.lit(level))
-        ).otherwise(F.col("cell"))
-        following = parted.select(
-            *points.columns,
-            child.alias("cell"),
-            F.col("near.away").alias("away"),
-            F.col("cell").alias("parent"),
-            F.element_at("centres", F.col("near.centre_no") + 1).alias("centre"),
-            "tried",
-        )
-        following = stage(following, "tree-points")
-        made = (
-            following.filter("tried")
-            .groupBy("cell", "parent")
-            .agg(
-                F.first("grp").alias("grp"),
-                F.first("centre").alias("centre"),
-                F.max("away").alias("radius"),
-            )
-        )
-        nodes = made if nodes is None else nodes.unionByName(made)
-        current = following.select(*points.columns, "cell", "away")
-        level += 1
-    roots = points.select("grp").distinct().select(
-        F.xxhash64("grp").alias("cell"),
-        F.lit(None).cast("long").alias("parent"),
-        "grp",
-        F.lit(None).cast("array<double>").alias("centre"),
-        F.lit(2.0).alias("radius"),
-    )
-    return finished.select(*points.columns, "cell"), stage(
-        roots if nodes is None else roots.unionByName(nodes), "tree-nodes"
-    )
+        sizes = stage(sizes.withColumn("bytes", F.col("n") * F.col("size") * width), "tree-sizes")
+        full = F.greatest(F.col("n") / leaf, F.col("bytes") / LEAF_BYTES)
+        large = sizes.filter(full > 1).withColumn("full", full)
+        if level:
+            for cell, radius, held in sizes.select("cell", "radius", "bytes").toLocalIterator():
+                nodes[cell] = (*nodes[cell][:2], radius + SLACK, held)
+        else:
+            others = sizes.filter(full <= 1).agg(F.sum("bytes")).first()[0] or 0
+        large = large.select("cell", "n", "size", "full").collect()
+        for row in large:
+            parent, centre, radius, _ = nodes.get(row.cell, (None, None, 2.0, 0))
+            nodes[row.cell] = (parent, centre, radius, 0)  # no bytes of its own
+        if not large:
+            return [*tables, *current], nodes, others
+        asked = {r.cell: min(FAN_OUT, max(8, math.ceil(4 * r.full))) / r.n for r in large}
+        shares = F.broadcast(_small(spark, cell=asked.keys(), share=asked.values()))
+        if len(large) < sizes.count():
+            rest = together.join(shares.select("cell"), "cell", "left_anti").select(*columns)
+            tables.append(stage(rest, "tree-leaves"))
+        step = max(1, BROADCAST_LIMIT // (2 * FAN_OUT * 8 * max(r["size"] for r in large)))
+        following = []
+        for start in range(0, len(asked), step):
+            part = dict(list(asked.items())[start : start + step])
+            crowd = together.join(F.broadcast(_small(spark, cell=part.keys(), share=part.values())), "cell")
+            draw = F.pmod(F.xxhash64("node", F.lit(level)), F.lit(1 << 30)) / float(1 << 30)
+            picked = defaultdict(list)
+            for row in crowd.filter(draw < F.col("share")).select("cell", "node", "raw").collect():
+                picked[row.cell].append((row.node, bytes(row.raw)))
+            centres = {}
+            for cell, found in picked.items():
+                if len(found) > 1:
+                    centres[cell] = _units(np.vstack([np.frombuffer(v, dtype) for _, v in sorted(found)]))
+                    for k, centre in enumerate(centres[cell]):
+                        nodes[_child(cell, k, level)] = (cell, centre, 0.0, 0)
+            tried = F.broadcast(_small(spark, cell=centres.keys()))
+            still = crowd.join(tried, "cell", "left_anti").select(*columns)
+            moved = crowd.join(tried, "cell", "left_semi").select(*columns)
+            with _settings(spark, batch=BATCH):
+                following.append(stage(moved.mapInArrow(_nearest(centres, level, dtype), moved.schema), "tree-points"))
+            if len(centres) < len(part):
+                following.append(stage(still, "tree-points"))
+        for t in current:
+            drop_staged(t)
+        current = following
+    raise RuntimeError("vectors could not be parted; choose a larger leaf")
 
 
 def surviving_pairs(nodes: DataFrame, min_cosine: float) -> DataFrame:
@@ -288,7 +388,7 @@ def surviving_pairs(nodes: DataFrame, min_cosine: float) -> DataFrame:
             )
             for side in ("x", "y")
         )
-        both = pairs.join(left, "x").join(right, "y")
+        both = pairs.join(bounded_broadcast(left), "x").join(bounded_broadcast(right), "y")
         products = F.zip_with("x_centre", "y_centre", lambda a, b: a * b)
         dot = F.aggregate(products, F.lit(0.0), lambda s, v: s + v)
         apart = F.sqrt(F.greatest(F.lit(0.0), 2.0 - 2.0 * dot))
@@ -303,6 +403,153 @@ def surviving_pairs(nodes: DataFrame, min_cosine: float) -> DataFrame:
         )
 
 
+def _node_table(spark: SparkSession, nodes: dict) -> DataFrame:
+    parent, centre, radius, _ = zip(*nodes.values())
+    made = _small(spark, cell=nodes, parent=parent, centre=centre, radius=radius)
+    return stage(made, "tree-nodes")
+
+
+def _bags_of(nodes: dict) -> dict[int, int]:
+    """The bag of each leaf node: leaves in the order of the trees, up to ``BAG_BYTES`` together."""
+    below = defaultdict(list)
+    for cell, node in nodes.items():
+        below[node[0]].append(cell)
+    bags, bag, held = {}, 0, 0
+    waiting = sorted(below[None], reverse=True)
+    while waiting:
+        cell = waiting.pop()
+        if cell in below:
+            waiting += sorted(below[cell], reverse=True)
+            continue
+        if held and held + nodes[cell][3] > BAG_BYTES:
+            bag, held = bag + 1, 0
+        bags[cell] = bag
+        held += nodes[cell][3]
+    return bags
+
+
+BAG = "leaves binary, nodes binary, copies binary, raw binary, bag long"
+
+
+def _pack_bag(points: pa.Table) -> pa.Table:
+    """One row of a bag's points, leaf node by leaf node, the points next to its centre first."""
+    held = {n: points[n].to_numpy() for n in ("root", "cell", "away", "node", "copies", "size")}
+    order = np.lexsort((held["node"], held["away"], held["cell"], held["root"]))
+    held = {n: v[order] for n, v in held.items()}
+    raw = [v.as_py() for v in points["raw"].combine_chunks().take(pa.array(order))]
+    new = np.flatnonzero((np.diff(held["cell"]) != 0) | (np.diff(held["root"]) != 0)) + 1
+    starts = np.concatenate([[0], new])
+    counts = np.diff(np.concatenate([starts, [len(order)]]))
+    leaves = np.stack([held["root"][starts], counts, held["size"][starts]], axis=1).astype(np.int64)
+    return pa.table(
+        {
+            "leaves": pa.array([leaves.tobytes()], pa.binary()),
+            "nodes": pa.array([held["node"].astype(np.int64).tobytes()], pa.binary()),
+            "copies": pa.array([held["copies"].astype(np.int64).tobytes()], pa.binary()),
+            "raw": pa.array([b"".join(raw)], pa.binary()),
+            "bag": pa.array([points["bag"][0].as_py()], pa.int64()),
+        }
+    )
+
+
+class _Bag:
+    """A bag's leaf nodes by group; trees are built when they are asked for."""
+
+    def __init__(self, leaves, nodes, copies, raw, dtype: type):
+        self.nodes = np.frombuffer(nodes, np.int64)
+        self.copies = np.frombuffer(copies, np.int64)
+        self.raw = np.frombuffer(raw, dtype)
+        self.groups: dict[int, list[tuple]] = defaultdict(list)
+        self.trees: dict[int, Tree] = {}
+        start = at = 0
+        for root, count, size in np.frombuffer(leaves, np.int64).reshape(-1, 3):
+            self.groups[int(root)].append((start, count, at, size))
+            start, at = start + count, at + count * size
+
+    def tree(self, leaf: tuple) -> Tree:
+        start, count, at, size = leaf
+        if start not in self.trees:
+            matrix = self.raw[at : at + count * size].reshape(count, size)
+            self.trees[start] = Tree(_units(matrix))
+        return self.trees[start]
+
+
+def _compared(a: _Bag, b: _Bag, min_cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two bags: per point its number of links, and a link to another of its component."""
+    same = a is b
+    node = a.nodes if same else np.concatenate([a.nodes, b.nodes])
+    copies = a.copies if same else np.concatenate([a.copies, b.copies])
+    shift = 0 if same else len(a.nodes)
+    labels, counts = np.arange(len(node)), np.zeros(len(node), np.int64)
+    links, n_links = [], 0
+    for root in a.groups.keys() & b.groups.keys():
+        left, right = a.groups[root], b.groups[root]
+        if same and len(left) == 1 and left[0][1] == 1:
+            continue
+        for k, x in enumerate(left):
+            for y in left[k:] if same else right:
+                for rows, columns, hits in traverse(a.tree(x), b.tree(y), min_cosine):
+                    i, j = np.nonzero(hits)
+                    if not len(i):
+                        continue
+                    i, j = rows[i] + x[0], columns[j] + (y[0] + shift)
+                    np.add.at(counts, i, copies[j])
+                    np.add.at(counts, j, copies[i])
+                    differ = labels[i] != labels[j]
+                    links.append((i[differ], j[differ]))
+                    n_links += len(links[-1][0])
+                    if n_links > WAITING:
+                        _merge(labels, *map(np.concatenate, zip(*links)))
+                        links, n_links = [], 0
+    if links:
+        _merge(labels, *map(np.concatenate, zip(*links)))
+    touched = np.flatnonzero(counts)
+    return node[touched], node[labels[touched]], counts[touched]
+
+
+def _compare(min_cosine: float, dtype: type):
+    """Rows of two bags each to ``a, b, n``; see ``_compared``."""
+
+    def compare(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                value = {n: batch.column(k)[row] for k, n in enumerate(batch.schema.names)}
+                sides = [
+                    [value[side + n].as_buffer() for n in ("leaves", "nodes", "copies", "raw")]
+                    for side in ("x_", "y_")
+                ]
+                a = _Bag(*sides[0], dtype)
+                b = a if value["x_bag"] == value["y_bag"] else _Bag(*sides[1], dtype)
+                found = _compared(a, b, min_cosine)
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in found], ["a", "b", "n"])
+
+    return compare
+
+
+def _links_of(bags: DataFrame, partners: dict[int, list[int]], min_cosine: float, dtype: type) -> DataFrame:
+    """``a, b, n`` of all pairs of bags in ``partners``.
+
+    A task reads both bags of a pair from the written table, so no vector is shuffled, however many
+    partners its bag has: a bag and each of its partners are one partition of a cartesian product.
+    """
+    spark, found = bags.sparkSession, []
+    names = [n for n in bags.columns]
+    one_file = str(2 * BAG_BYTES)
+    todo = sorted(partners)
+    for start in range(0, len(todo), BAGS_A_JOB):
+        pairs = []
+        for bag in todo[start : start + BAGS_A_JOB]:
+            own = bags.filter(F.col("bag") == bag).select(*[F.col(n).alias(f"x_{n}") for n in names])
+            others = bags.filter(F.col("bag").isin(partners[bag]))
+            others = others.select(*[F.col(n).alias(f"y_{n}") for n in names])
+            pairs.append(others.crossJoin(own.hint("shuffle_replicate_nl")))
+        both = reduce(DataFrame.unionByName, pairs)
+        with _settings(spark, batch="1", split=one_file, opening=one_file):
+            links = both.mapInArrow(_compare(min_cosine, dtype), "a long, b long, n long")
+            found.append(stage(links, "vector-links"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def link_vectors(
     vectors: DataFrame,
     key: str = "vec_id",
@@ -318,61 +565,99 @@ def link_vectors(
     that cannot hold one. Equal vectors are one point with a number of copies, so they are never
     paired; the pairs themselves are counted inside the tasks and leave them as one link per point.
 
+    Vectors are written as they are given and shuffled once, to put leaf nodes together, some of
+    which make a bag, a row of a table. Tasks read pairs of bags from it.
+
     A vector that is null, empty, zero or holds null or non-finite components, and one whose group
     is null, links with nothing: no links, itself its component, kept. ``component_id`` is the least
     key reachable by links, ``kept`` marks it. Repeated rows count as vectors of their own.
     """
+    spark = vectors.sparkSession
+    single = vectors.schema[vector].dataType
+    single = isinstance(single, T.ArrayType) and isinstance(single.elementType, T.FloatType)
+    width, dtype = (4, np.float32) if single else (8, np.float64)
+    usable = F.col("label").isNotNull() & F.col("key").isNotNull()
     rows = vectors.select(
         F.col(key).alias("key"),
         F.col(group).cast("string").alias("label"),
-        F.col(vector).cast("array<double>").alias("v"),
+        F.col(vector).cast("array<float>" if single else "array<double>").alias("v"),
+    ).withColumn("v", F.when(usable, F.col("v")))
+    kind = T.StructType(
+        [*rows.schema.fields[:2], *T._parse_datatype_string("size int, digest binary, raw binary").fields]
     )
-    usable = F.col("label").isNotNull() & F.col("key").isNotNull()
-    marked = stage(rows.select("key", "label", F.when(usable, _unit("v")).alias("unit")), "vectors")
-    points = stage(
-        marked.filter("unit is not null")
-        .groupBy(F.struct("label", F.size("unit").alias("size")).alias("grp"), "unit")
-        .agg(F.min("key").alias("least"), F.count("*").alias("copies"))
-        .withColumn("node", F.xxhash64("grp", "unit")),
-        "vector-points",
+    root = F.xxhash64("label", "size")
+    with _settings(spark, batch=BATCH):
+        marked = rows.mapInArrow(_packed(dtype), kind)
+        node = F.when(F.col("size").isNotNull(), F.xxhash64("label", "size", "digest"))
+        marked = marked.select("key", root.alias("root"), node.alias("node"), "size", "raw")
+        marked = stage(marked.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    keys = stage(marked.select("key", "node"), "vector-keys")
+    sound = marked.filter("node is not null")
+    heads = sound.groupBy("node").agg(
+        F.min("key").alias("least"), F.count("*").alias("copies"), F.min("row").alias("first")
     )
-    placed, nodes = grow_top(points.drop("least"), leaf)
-    placed = stage(placed, "tree-leaves")
-    pairs = surviving_pairs(nodes, min_cosine)
-    task = F.struct("x", "y").alias("task")
-    left = placed.join(pairs.select(F.col("x").alias("cell"), task), "cell").select(
-        "task", F.lit(0).alias("side"), "node", "copies", "unit"
+    heads = stage(heads, "vector-heads")
+    # Only vectors that occur again are looked up, so that others need not be shuffled.
+    again = heads.filter("copies > 1").select("node", "copies", "first")
+    points = (
+        sound.join(bounded_broadcast(again), "node", "left")
+        .filter("first is null or first = row")
+        .select(
+            "node",
+            "root",
+            F.coalesce("copies", F.lit(1)).alias("copies"),
+            "size",
+            "raw",
+            F.col("root").alias("cell"),
+            F.lit(2.0).alias("away"),
+        )
     )
-    right = placed.join(pairs.filter("x <> y").select(F.col("y").alias("cell"), task), "cell").select(
-        "task", F.lit(1).alias("side"), "node", "copies", "unit"
+    points = stage(points, "vector-points")
+    drop_staged(marked)
+
+    placed, nodes, others = grow_top(points, width, leaf)
+    bag_of = _bags_of(nodes)
+    split = len(set(bag_of.values()))
+    small = max(1, math.ceil(2 * others / BAG_BYTES))
+    chosen = stage(_small(spark, cell=bag_of.keys(), bag=bag_of.values()), "tree-bags")
+    # A group of one leaf meets no other: any bag will do.
+    whole = F.lit(split) + F.pmod("cell", F.lit(small))
+    bags = stage(
+        reduce(DataFrame.unionByName, placed)
+        .join(bounded_broadcast(chosen), "cell", "left")
+        .withColumn("bag", F.coalesce("bag", whole))
+        .groupBy("bag")
+        .applyInArrow(_pack_bag, BAG),
+        "vector-bags",
+        by="bag",
     )
-    found = (
-        left.unionByName(right)
-        .groupBy("task")
-        .applyInPandas(
-            lambda part: _compare(part, min_cosine), "a long, b long, n long"
+    for used in placed:
+        drop_staged(used)
+    pairs = surviving_pairs(_node_table(spark, nodes), min_cosine) if nodes else None
+    partners = {b: {b} for b in range(split + small)}
+    if pairs is not None:
+        left, right = (
+            bounded_broadcast(chosen.select(F.col("cell").alias(s), F.col("bag").alias(f"{s}_bag")))
+            for s in ("x", "y")
         )
-    )
-    found = stage(found, "vector-links")
+        low, high = F.least("x_bag", "y_bag"), F.greatest("x_bag", "y_bag")
+        met = pairs.join(left, "x").join(right, "y").select(low.alias("x"), high.alias("y")).distinct()
+        for x, y in met.collect():
+            partners[x].add(y)
+    found = _links_of(bags, {x: sorted(y) for x, y in partners.items()}, min_cosine, dtype)
+
     counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     roots = component_roots(found.filter("a <> b").select("a", "b"))
     # Nodes are hashes of group and vector, since one key may stand at several vectors.
-    rooted = points.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    heads = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = (
-        rooted.join(counts, "node", "left")
-        .join(heads, "root")
-        .select(
-            "grp",
-            "unit",
-            (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            "component_id",
-        )
-    )
-    known = known.select(
-        F.col("grp.label").alias("label"), F.col("unit"), "n_links", "component_id"
+    linked = counts.join(roots, "node").join(heads.select("node", "least"), "node")
+    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    linked = linked.join(least, "root").select("node", "n", "component_id")
+    known = heads.join(linked, "node", "left").select(
+        "node",
+        (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.coalesce("component_id", "least").alias("component_id"),
     )
-    return marked.join(known, ["label", "unit"], "left").select(
+    return keys.join(known, "node", "left").select(
         F.col("key").alias(key),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
         F.coalesce("component_id", "key").alias("component_id"),

@@ -63,15 +63,16 @@ def new_folder(spark: SparkSession, label: str) -> str:
 _scope: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scope", default=None)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the scratch area and return the written table.
+def stage(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet in the scratch area and return the written table, in a folder
+    per value of the column ``by`` if one is given.
 
     Cuts the lineage: what follows restarts from the files when an executor is lost, and a table
     used several times is computed once. The table belongs to the scope around it (see
     ``scratch_scope``); without one it stays until ``drop_staged`` or the cluster's own clean-up.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     staged = df.sparkSession.read.schema(df.schema).parquet(path)
     staged._staged_path = path
     owned = _scope.get()
