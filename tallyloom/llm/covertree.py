@@ -30,8 +30,9 @@ BAGS_A_JOB = 32
 # below which opening it costs more than comparing all its points.
 BUCKET = 256
 CHILD = 32
-# Points of either side in one block of products.
-ROWS, COLUMNS = 512, 2048
+# Points of either side in one block of products, and the share of hits from which it is dense.
+BLOCK = 512
+DENSE = 64
 # Links that wait to be merged.
 WAITING = 1 << 20
 # Rows in an Arrow batch of single vectors.
@@ -52,7 +53,7 @@ class Tree:
     def __init__(self, points: np.ndarray):
         self.points = points
         # The first dimensions, and as one more the length of the rest.
-        part = max(1, points.shape[1] * 3 // 8) if points.shape[1] >= 32 else points.shape[1]
+        part = points.shape[1] // 2 if points.shape[1] >= 32 else points.shape[1]
         rest = np.sqrt(np.einsum("ij,ij->i", points[:, part:], points[:, part:]))
         self.short = np.column_stack([points[:, :part], rest]).astype(np.float32)
         self.centre: list[np.ndarray] = []
@@ -103,28 +104,43 @@ def _near(a: Tree, left: list[int], b: Tree, right: list[int], reach: float) ->
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * dots)) <= radii + reach
 
 
-def _blocks(a: Tree, rows: np.ndarray, b: Tree, columns: np.ndarray, min_cosine: float):
-    """Blocks of two sets of points that hold a hit, with their hits.
+def _blocks(a: Tree, rows: np.ndarray, b: Tree, columns: np.ndarray, min_cosine: float, same: bool):
+    """Blocks of two sets of points that hold a hit, with their hits; of one set, each pair once.
 
     A product over some dimensions plus the product of the lengths of the others is at least the
     whole one. In single precision it leaves few pairs of most blocks; their cosines are computed in
     double precision.
     """
-    floor = min_cosine - (a.short.shape[1] + 4) * 2.0**-23
-    for i in range(0, len(rows), ROWS):
-        own = a.short[rows[i : i + ROWS]]
-        for j in range(0, len(columns), COLUMNS):
-            others = columns[j : j + COLUMNS]
-            hits = own @ b.short[others].T >= floor
-            n = np.count_nonzero(hits)
-            if n > hits.size // 64:
-                hits = a.points[rows[i : i + ROWS]] @ b.points[others].T >= min_cosine
-            elif n:
-                x, y = np.divmod(np.flatnonzero(hits), hits.shape[1])
-                left, right = a.points[rows[i + x]], b.points[others[y]]
-                hits[x, y] = np.einsum("ij,ij->i", left, right) >= min_cosine
-            if n and hits.any():
-                yield rows[i : i + ROWS], others, hits
+    floor = np.float32(min_cosine - (a.short.shape[1] + 4) * 2.0**-22)
+    above = np.ascontiguousarray(b.short[columns].T)
+    shape = min(BLOCK, len(rows)), min(BLOCK, len(columns))
+    products, near = np.empty(shape, np.float32), np.empty(shape, bool)
+    for i in range(0, len(rows), BLOCK):
+        left = rows[i : i + BLOCK]
+        own = a.short[left]
+        for j in range(i if same else 0, len(columns), BLOCK):
+            right = columns[j : j + BLOCK]
+            if (len(left), len(right)) != shape:
+                near = own @ above[:, j : j + BLOCK] >= floor
+            else:
+                if near.shape != shape:
+                    near = np.empty(shape, bool)
+                np.matmul(own, above[:, j : j + BLOCK], out=products)
+                np.greater_equal(products, floor, out=near)
+            n = np.count_nonzero(near)
+            if not n:
+                continue
+            if n > near.size // DENSE:
+                hits = a.points[left] @ b.points[right].T >= min_cosine
+            else:
+                x, y = np.divmod(np.flatnonzero(near), near.shape[1])
+                exact = np.einsum("ij,ij->i", a.points[left[x]], b.points[right[y]])
+                hits = np.zeros(near.shape, bool)
+                hits[x, y] = exact >= min_cosine
+            if same:
+                hits &= left[:, None] < right[None, :]
+            if hits.any():
+                yield left, right, hits
 
 
 def traverse(a: Tree, b: Tree, min_cosine: float):
@@ -152,10 +168,7 @@ def traverse(a: Tree, b: Tree, min_cosine: float):
         elif outer:
             waiting += [(i, outer[k]) for k in np.flatnonzero(_near(a, [i], b, outer, reach))]
             continue
-        for rows, columns, hits in _blocks(a, a.members[i], b, b.members[j], min_cosine):
-            if a is b and i == j:
-                hits &= rows[:, None] < columns[None, :]
-            yield rows, columns, hits
+        yield from _blocks(a, a.members[i], b, b.members[j], min_cosine, a is b and i == j)
 
 
 def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -197,7 +210,6 @@ def _packed(dtype: type):
     def pack(batches):
         for batch in batches:
             vectors = batch.column(2)
-            vectors = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
             lengths = vectors.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(dtype)
             starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
@@ -461,17 +473,36 @@ class _Bag:
         self.raw = np.frombuffer(raw, dtype)
         self.groups: dict[int, list[tuple]] = defaultdict(list)
         self.trees: dict[int, Tree] = {}
+        held = np.frombuffer(leaves, np.int64).reshape(-1, 3)
+        # Units of all leaves at once if they have one length.
+        self.units = None
+        if len(np.unique(held[:, 2])) == 1:
+            self.units = _units(self.raw.reshape(-1, held[0, 2]))
         start = at = 0
-        for root, count, size in np.frombuffer(leaves, np.int64).reshape(-1, 3):
-            self.groups[int(root)].append((start, count, at, size))
+        for root, count, size in held.tolist():
+            self.groups[root].append((start, count, at, size))
             start, at = start + count, at + count * size
 
-    def tree(self, leaf: tuple) -> Tree:
+    def points(self, leaf: tuple) -> np.ndarray:
         start, count, at, size = leaf
-        if start not in self.trees:
-            matrix = self.raw[at : at + count * size].reshape(count, size)
-            self.trees[start] = Tree(_units(matrix))
-        return self.trees[start]
+        if self.units is not None:
+            return self.units[start : start + count]
+        return _units(self.raw[at : at + count * size].reshape(count, size))
+
+    def tree(self, leaf: tuple) -> Tree:
+        if leaf[0] not in self.trees:
+            self.trees[leaf[0]] = Tree(self.points(leaf))
+        return self.trees[leaf[0]]
+
+    def blocks(self, leaf: tuple, other: _Bag, its: tuple, min_cosine: float):
+        """Rows of a leaf of this bag, of one of another, and their hits."""
+        if leaf[1] > BUCKET or its[1] > BUCKET:
+            yield from traverse(self.tree(leaf), other.tree(its), min_cosine)
+            return
+        hits = self.points(leaf) @ other.points(its).T >= min_cosine
+        if self is other and leaf is its:
+            hits = np.triu(hits, 1)
+        yield np.arange(leaf[1]), np.arange(its[1]), hits
 
 
 def _compared(a: _Bag, b: _Bag, min_cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -488,11 +519,23 @@ def _compared(a: _Bag, b: _Bag, min_cosine: float) -> tuple[np.ndarray, np.ndarr
             continue
         for k, x in enumerate(left):
             for y in left[k:] if same else right:
-                for rows, columns, hits in traverse(a.tree(x), b.tree(y), min_cosine):
-                    i, j = np.nonzero(hits)
-                    if not len(i):
+                for rows, columns, hits in a.blocks(x, b, y, min_cosine):
+                    rows, columns = rows + x[0], columns + (y[0] + shift)
+                    n = np.count_nonzero(hits)
+                    if not n:
+                        continue
+                    if n > BLOCK and n > hits.size // DENSE:
+                        counts[rows] += hits @ copies[columns]
+                        counts[columns] += copies[rows] @ hits
+                        # Most dense blocks lie in a component that earlier ones have joined.
+                        p, q = labels[rows[hits.any(axis=1)]], labels[columns[hits.any(axis=0)]]
+                        if (p == p[0]).all() and (q == p[0]).all():
+                            continue
+                        i, j = np.nonzero(hits)
+                        _merge(labels, rows[i], columns[j])
                         continue
-                    i, j = rows[i] + x[0], columns[j] + (y[0] + shift)
+                    i, j = np.nonzero(hits)
+                    i, j = rows[i], columns[j]
                     np.add.at(counts, i, copies[j])
                     np.add.at(counts, j, copies[i])
                     differ = labels[i] != labels[j]
@@ -508,44 +551,44 @@ def _compared(a: _Bag, b: _Bag, min_cosine: float) -> tuple[np.ndarray, np.ndarr
 
 
 def _compare(min_cosine: float, dtype: type):
-    """Rows of two bags each to ``a, b, n``; see ``_compared``."""
+    """Rows of one bag (``x_``), held against itself, or of two to ``a, b, n``; see ``_compared``."""
 
     def compare(batches):
         for batch in batches:
             for row in range(batch.num_rows):
                 value = {n: batch.column(k)[row] for k, n in enumerate(batch.schema.names)}
                 sides = [
-                    [value[side + n].as_buffer() for n in ("leaves", "nodes", "copies", "raw")]
+                    _Bag(*(value[side + n].as_buffer() for n in ("leaves", "nodes", "copies", "raw")), dtype)
                     for side in ("x_", "y_")
+                    if f"{side}bag" in value
                 ]
-                a = _Bag(*sides[0], dtype)
-                b = a if value["x_bag"] == value["y_bag"] else _Bag(*sides[1], dtype)
-                found = _compared(a, b, min_cosine)
+                found = _compared(sides[0], sides[-1], min_cosine)
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in found], ["a", "b", "n"])
 
     return compare
 
 
 def _links_of(bags: DataFrame, partners: dict[int, list[int]], min_cosine: float, dtype: type) -> DataFrame:
-    """``a, b, n`` of all pairs of bags in ``partners``.
+    """``a, b, n`` of each bag and of all pairs of different bags in ``partners``.
 
     A task reads both bags of a pair from the written table, so no vector is shuffled, however many
     partners its bag has: a bag and each of its partners are one partition of a cartesian product.
     """
-    spark, found = bags.sparkSession, []
-    names = [n for n in bags.columns]
     one_file = str(2 * BAG_BYTES)
-    todo = sorted(partners)
+    left, right = (bags.select(*[F.col(n).alias(side + n) for n in bags.columns]) for side in ("x_", "y_"))
+    jobs, todo = [left], sorted(partners)
     for start in range(0, len(todo), BAGS_A_JOB):
-        pairs = []
-        for bag in todo[start : start + BAGS_A_JOB]:
-            own = bags.filter(F.col("bag") == bag).select(*[F.col(n).alias(f"x_{n}") for n in names])
-            others = bags.filter(F.col("bag").isin(partners[bag]))
-            others = others.select(*[F.col(n).alias(f"y_{n}") for n in names])
-            pairs.append(others.crossJoin(own.hint("shuffle_replicate_nl")))
-        both = reduce(DataFrame.unionByName, pairs)
-        with _settings(spark, batch="1", split=one_file, opening=one_file):
-            links = both.mapInArrow(_compare(min_cosine, dtype), "a long, b long, n long")
+        pairs = [
+            right.filter(F.col("y_bag").isin(partners[bag])).crossJoin(
+                left.filter(F.col("x_bag") == bag).hint("shuffle_replicate_nl")
+            )
+            for bag in todo[start : start + BAGS_A_JOB]
+        ]
+        jobs.append(reduce(DataFrame.unionByName, pairs))
+    found = []
+    with _settings(bags.sparkSession, batch="1", split=one_file, opening=one_file):
+        for job in jobs:
+            links = job.mapInArrow(_compare(min_cosine, dtype), "a long, b long, n long")
             found.append(stage(links, "vector-links"))
     return reduce(DataFrame.unionByName, found)
 
@@ -582,9 +625,8 @@ def link_vectors(
         F.col(group).cast("string").alias("label"),
         F.col(vector).cast("array<float>" if single else "array<double>").alias("v"),
     ).withColumn("v", F.when(usable, F.col("v")))
-    kind = T.StructType(
-        [*rows.schema.fields[:2], *T._parse_datatype_string("size int, digest binary, raw binary").fields]
-    )
+    made = {"size": T.IntegerType(), "digest": T.BinaryType(), "raw": T.BinaryType()}
+    kind = T.StructType([*rows.schema.fields[:2], *(T.StructField(n, t) for n, t in made.items())])
     root = F.xxhash64("label", "size")
     with _settings(spark, batch=BATCH):
         marked = rows.mapInArrow(_packed(dtype), kind)
@@ -633,18 +675,18 @@ def link_vectors(
     )
     for used in placed:
         drop_staged(used)
-    pairs = surviving_pairs(_node_table(spark, nodes), min_cosine) if nodes else None
-    partners = {b: {b} for b in range(split + small)}
-    if pairs is not None:
+    partners = defaultdict(list)
+    if nodes:
+        pairs = surviving_pairs(_node_table(spark, nodes), min_cosine)
         left, right = (
             bounded_broadcast(chosen.select(F.col("cell").alias(s), F.col("bag").alias(f"{s}_bag")))
             for s in ("x", "y")
         )
         low, high = F.least("x_bag", "y_bag"), F.greatest("x_bag", "y_bag")
-        met = pairs.join(left, "x").join(right, "y").select(low.alias("x"), high.alias("y")).distinct()
-        for x, y in met.collect():
-            partners[x].add(y)
-    found = _links_of(bags, {x: sorted(y) for x, y in partners.items()}, min_cosine, dtype)
+        met = pairs.join(left, "x").join(right, "y").select(low.alias("x"), high.alias("y"))
+        for x, y in met.filter("x <> y").distinct().collect():
+            partners[x].append(y)
+    found = _links_of(bags, partners, min_cosine, dtype)
 
     counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     roots = component_roots(found.filter("a <> b").select("a", "b"))
